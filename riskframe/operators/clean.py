@@ -126,7 +126,7 @@ def near_constant(df: DataFrame, threshold: float, protected: set[str] = frozens
     """Columns whose most frequent present value covers at least ``threshold``.
 
     Above one half such a value is also the median under any order, so a sketched
-    median names the only candidate and a second scan counts it exactly:
+    median of the hashed values names the only candidate and a second scan counts it exactly:
     no value is ever shuffled. Lower thresholds count all values.
     """
     use = [c for c in df.columns if c not in protected]
@@ -134,19 +134,27 @@ def near_constant(df: DataFrame, threshold: float, protected: set[str] = frozens
     schema = "column_name string, top_share double"
     if not use:
         return small_table(spark, [], schema)
-    if threshold <= 0.51:
-        counts = value_counts(df, use)
-        shares = counts.groupBy("column_name").agg(safe_div(F.max("n"), F.sum("n")).alias("top_share"))
+
+    def counted(cols: Sequence[str]) -> DataFrame:
+        shares = value_counts(df, cols).groupBy("column_name").agg(safe_div(F.max("n"), F.sum("n")).alias("top_share"))
         return shares.where(F.col("top_share") >= threshold)
-    key = {c: F.when(value_of(df, c).isNotNull(), F.xxhash64(value_of(df, c))) for c in use}
+
+    if threshold <= 0.51:
+        return counted(use)
+    # 52 bits survive the sketch's double arithmetic unchanged
+    key = {c: F.when(value_of(df, c).isNotNull(), F.shiftright(F.xxhash64(value_of(df, c)), 12)) for c in use}
     middle = wide_agg(df, {c: F.percentile_approx(key[c], 0.5, 10_000) for c in use})
     found = {c: h for c, h in middle.items() if h is not None}
     if not found:
         return small_table(spark, [], schema)
-    shares = spread(df, list(found), {
-        "top_share": lambda c: safe_div(F.count_if(key[c] == F.lit(found[c])), F.count(value_of(df, c)))},
-        name="column_name")
-    return shares.where(F.col("top_share") >= threshold)
+    hit = lambda c: F.when(key[c] == F.lit(found[c]), value_of(df, c).cast("string"))
+    rows = spread(df, list(found), {
+        "top_share": lambda c: safe_div(F.count(hit(c)), F.count(value_of(df, c))),
+        "first": lambda c: F.min(hit(c)), "last": lambda c: F.max(hit(c))}, name="column_name").where(
+        F.col("top_share") >= threshold).collect()
+    sure = small_table(spark, [(r.column_name, r.top_share) for r in rows if r['first'] == r['last']], schema)
+    mixed = [r.column_name for r in rows if r['first'] != r['last']]  # two values under one hash
+    return sure.unionByName(counted(mixed)) if mixed else sure
 
 
 def medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict[str, float | None]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskframe.plans.views import VIEW_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
+NUDGE = "1.00000000000001"
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,14 +24,18 @@ def oracle_text(body: str, views: Sequence[str] = (), doubles: str = "", digits:
     elif ctes:
         text = "WITH " + ", ".join(ctes) + " " + text
     if doubles:
-        parts = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in doubles.split())
+        parts = ", ".join(f"round(CAST({c} AS DOUBLE) * {NUDGE}::DOUBLE, {digits}) + 0.0 AS {c}" for c in doubles.split())
         text = f"SELECT * REPLACE ({parts}) FROM ({text})"
     return text
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded (and -0.0 made 0.0) so that summation order does not show."""
-    return df.select(*[(F.round(F.col(f"`{n}`"), digits) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
+    """Doubles rounded (and -0.0 made 0.0) so that summation order does not show.
+
+    Engines break decimal ties differently; the nudge, below double precision of the result, moves
+    every tie to the same side.
+    """
+    return df.select(*[(F.round(F.col(f"`{n}`") * F.lit(float(NUDGE)), digits) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
                        for n, t in df.dtypes])
 
 

@@ -29,7 +29,7 @@ SELECT c.c_custkey AS id, CASE WHEN c.c_acctbal < 0 THEN 1 ELSE 0 END AS target,
  CASE WHEN c.c_custkey % 40 = 0 THEN 1 ELSE 0 END AS near_const
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS sum_price,
-  round(avg(o_totalprice), 4) AS avg_price, max(o_totalprice) AS max_price
+  round(sum(o_totalprice), 2) / count(*) AS avg_price, max(o_totalprice) AS max_price
   FROM orders GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey""",
     # one-to-many child
     "v_child": """
