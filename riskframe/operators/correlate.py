@@ -79,7 +79,9 @@ def _gram_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     vy = F.col("syy") / nn - F.pow(F.col("sy") / nn, 2)
     cov = F.col("sxy") / nn - (F.col("sx") / nn) * (F.col("sy") / nn)
     dead = [int(i) for i in np.flatnonzero(flat)]
-    usable = (vx > 1e-20) & (vy > 1e-20)
+    # what rounding leaves of the variance of a constant is about 1e-16 of its mean square
+    alive = lambda v, square: v > F.greatest(F.lit(1e-20), F.lit(1e-12) * square / nn)
+    usable = alive(vx, F.col("sxx")) & alive(vy, F.col("syy"))
     if dead:
         usable = usable & ~F.col("i").isin(dead) & ~F.col("j").isin(dead)
     r = F.when(usable, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx * vy))))

@@ -148,11 +148,11 @@ def drift_ks(reference: DataFrame, current: DataFrame, features: Sequence[str],
         F.max(_gap()).alias("ks"), F.max("neg_total").alias("n_ref"), F.max("pos_total").alias("n_cur"))
     n = F.col("n_ref").cast("double") * F.col("n_cur") / F.nullif((F.col("n_ref") + F.col("n_cur")).cast("double"), F.lit(0.0))
     lam2 = n * F.col("ks") * F.col("ks")
-    series = F.lit(0.0)
-    for j in range(1, 101):
-        series = series + F.lit(2.0 * (-1) ** (j - 1)) * F.exp(F.lit(-2.0 * j * j) * lam2)
+    term = lambda acc, j: acc + F.when(j % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * j * j * F.col("lam2"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), term)
+    res = res.withColumn("lam2", lam2)
     # below this lambda^2 the alternating series has not converged; the probability is 1 to 8 digits
-    p = F.when(lam2 < 0.04, F.lit(1.0)).otherwise(clamp(series, 0.0, 1.0))
+    p = F.when(F.col("lam2") < 0.04, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
     return res.select("feature", "ks", "n_ref", "n_cur", p.alias("p_value")).withColumn(
         "drifted", F.col("p_value") < alpha)
 

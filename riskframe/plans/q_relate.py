@@ -212,13 +212,9 @@ def column_set_difference(spark, sf):
             .unionByName(spread(b, extra, {"n_present": F.count}, name="column_name").withColumn("side", F.lit("extra"))))
 
 
-@query("sort_nulls_last", "SELECT id, half_missing, row_number() OVER (ORDER BY half_missing DESC NULLS LAST, id) AS pos FROM v_app ORDER BY pos LIMIT 900", ["v_app"], doubles="half_missing")
+@query("sort_nulls_last", "SELECT id, half_missing FROM v_app ORDER BY half_missing DESC NULLS LAST", ["v_app"], doubles="half_missing")
 def sort_nulls_last(spark, sf):
-    # the order shows as the position inside a report of 900 rows
-    from pyspark.sql import Window
-    first = r.top_k(view(spark, sf, "v_app").select("id", "half_missing"), "half_missing", 900, tie=["id"])
-    w = Window.partitionBy(F.lit(1)).orderBy(F.col("half_missing").desc_nulls_last(), "id")
-    return first.withColumn("pos", F.row_number().over(w).cast("long"))
+    return r.sort_nulls_last(view(spark, sf, "v_app").select("id", "half_missing"), "half_missing")
 
 
 @query("top_k", "SELECT id, days_emp FROM v_app ORDER BY abs(days_emp) DESC, id LIMIT 25", ["v_app"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from riskframe.functions.frames import long_form, value_of
 from riskframe.functions.scalars import col, edge_code, safe_div
@@ -25,11 +25,11 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     """Processes everything available into Parquet (exactly once per checkpoint) and reads it back."""
     query = (stream.writeStream.format("parquet").outputMode(mode).option("path", path)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    _finish(query, timeout)
+    finish(query, timeout)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def _finish(query, timeout: int | None) -> None:
+def finish(query, timeout: int | None) -> None:
     done = query.awaitTermination(timeout) if timeout else query.awaitTermination()
     if timeout and not done:
         query.stop()
@@ -41,6 +41,15 @@ def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], pat
     return run_to_table(score(stream), path, checkpoint)
 
 
+def run_latest(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = 600) -> DataFrame:
+    """Complete-mode aggregates: every trigger overwrites the table with the current result."""
+    query = (stream.writeStream.outputMode("complete")
+             .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finish(query, timeout)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
 def windowed_bin_counts(df: DataFrame, ts: str, features: Mapping[str, Sequence[float]], width: str,
                         lateness: str | None = "1 hour") -> DataFrame:
     """``start, feature, bin, n`` per tumbling window against fixed reference edges.
@@ -88,8 +97,8 @@ def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str,
 
     query = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    _finish(query, timeout)
+    finish(query, timeout)
     spark = stream.sparkSession
-    bad_schema = StructType(stream.schema.fields).add("broken_rules", "array<string>")
+    bad_schema = StructType(list(stream.schema.fields)).add("broken_rules", ArrayType(StringType()))
     read = lambda path, schema: spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
     return read(good_path, stream.schema), read(bad_path, bad_schema)
