@@ -58,11 +58,10 @@ def edge_code(c: Column, inner_edges: Sequence[float], closed_left: bool = True)
 
     Edges are literals, so the code is one generated expression without a join.
     """
-    code = F.lit(0)
+    code = F.lit(0) * F.when(c.isNotNull(), 1)
     for e in inner_edges:
-        hit = (c >= F.lit(float(e))) if closed_left else (c > F.lit(float(e)))
-        code = code + flag(hit)
-    return F.when(c.isNotNull(), code)
+        code = code + ((c >= float(e)) if closed_left else (c > float(e))).cast("int")
+    return code
 
 
 def even_grid(low: float, high: float, n: int) -> list[float]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskframe.functions.frames import small_table, spread, value_of, wide_agg
 from riskframe.functions.scalars import safe_div
 
-_NARROW = 8  # up to this many columns the pairs are plain JVM aggregates
+_NARROW = 3  # up to this many columns the pairs are plain JVM aggregates; more pairs outgrow generated code
 
 
 def corr_expr(x: Column, y: Column) -> Column:

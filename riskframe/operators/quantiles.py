@@ -24,18 +24,26 @@ _STRIDE = 4096
 _HUGE = 1.7976931348623157e308
 
 
-def _cell_expr(v: Column, intervals: Sequence[tuple[float, float]], cells: int) -> Column:
+def _sql(values: Sequence[float]) -> list[str]:
+    return [f"{float(v)!r}D" for v in values]
+
+
+def _index_sql(v: str, intervals: Sequence[tuple[float, float]]) -> str:
+    """Number of intervals that start at or below the value."""
+    return " + ".join(["0", *[f"CAST({v} >= {lo} AS INT)" for lo in _sql([x for x, _ in intervals])]])
+
+
+def _cell_sql(v: str, at: str, intervals: Sequence[tuple[float, float]], cells: int) -> str:
     """Code of the gap or sub-interval a value lies in, increasing with the value."""
     if not intervals:
-        return F.lit(0).cast("long")
-    expr = None
-    for j, (lo, hi) in enumerate(intervals):
-        width = F.lit(hi * 0.5 - lo * 0.5)
-        part = F.least(F.lit(cells - 1), F.floor((v * 0.5 - F.lit(lo * 0.5)) / width * F.lit(float(cells))))
-        gap, inside = F.lit(2 * j * _STRIDE), F.lit((2 * j + 1) * _STRIDE) + part
-        expr = F.when(v < F.lit(lo), gap) if expr is None else expr.when(v < F.lit(lo), gap)
-        expr = expr.when(v <= F.lit(hi), inside)
-    return expr.otherwise(F.lit(2 * len(intervals) * _STRIDE)).cast("long")
+        return "0L"
+    pick = lambda values: f"element_at(array({', '.join(_sql(values))}), greatest({at}, 1))"
+    lo, hi = pick([x * 0.5 for x, _ in intervals]), pick([y for _, y in intervals])
+    # halves keep the width of the widest interval finite; a one-value interval has no parts
+    width = pick([(y * 0.5 - x * 0.5) or 1.0 for x, y in intervals])
+    part = f"least({cells - 1}, floor(({v} * 0.5D - {lo}) / {width} * {float(cells)!r}D))"
+    gap = f"2L * {at} * {_STRIDE}"
+    return f"CASE WHEN {at} > 0 AND {v} <= {hi} THEN {gap} - {_STRIDE} + {part} ELSE {gap} END"
 
 
 def _merge(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -50,13 +58,13 @@ def _merge(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
 
 def _count_cells(base: DataFrame, intervals: Mapping[int, list], cells: int) -> dict[int, list]:
     """{feature: [(count, min, max), ...] in value order} from one job."""
-    items = [
-        F.struct(F.lit(i).alias("f"), F.col(f"v{i}").alias("v"),
-                 _cell_expr(F.col(f"v{i}"), iv, cells).alias("cell"))
-        for i, iv in intervals.items()
-    ]
+    # the index is a projection of its own so that its comparisons are generated once
+    indexed = base.selectExpr(*[f"v{i}" for i in intervals],
+                              *[f"{_index_sql(f'v{i}', iv)} AS at{i}" for i, iv in intervals.items()])
+    items = ", ".join(f"struct({i} AS f, v{i} AS v, {_cell_sql(f'v{i}', f'at{i}', iv, cells)} AS cell)"
+                      for i, iv in intervals.items())
     rows = (
-        base.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+        indexed.selectExpr(f"inline(array({items}))")
         .where("v is not null")
         .groupBy("f", "cell").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         .collect()
@@ -89,11 +97,9 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
     per = WIDE_LIMIT // 4
     for start in range(0, len(names), per):
         idx = range(start, min(start + per, len(names)))
-        aggs = []
-        for i in idx:
-            c = F.col(f"v{i}")
-            aggs += [F.count(c), F.min(c), F.max(c), F.percentile_approx(c, probes, _ACCURACY)]
-        row = base.agg(*[a.alias(f"a{j}") for j, a in enumerate(aggs)]).first()
+        sketch = ", ".join(_sql(probes))
+        row = base.selectExpr(*[x for i in idx for x in (
+            f"count(v{i})", f"min(v{i})", f"max(v{i})", f"percentile_approx(v{i}, array({sketch}), {_ACCURACY})")]).first()
         for j, i in enumerate(idx):
             stats[i] = tuple(row[4 * j:4 * j + 4])
 
@@ -123,7 +129,7 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
                 found.update({(i, r): lo for r in wanted[i]})
                 wanted[i] = set()
             else:
-                intervals[i] = [b for b in _merge(brackets) if b[0] < b[1]]
+                intervals[i] = _merge(brackets)
 
     while intervals:
         total = sum(len(v) for v in intervals.values())
