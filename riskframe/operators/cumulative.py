@@ -40,7 +40,7 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
         F.col(score).cast("double").alias("score"),
         F.col(label).cast("int").alias("label"),
     ).where("score is not null and label is not null and not isnan(score)")
-    n = n_ranges or default_ranges(df, n_features)
+    n = max(2, n_ranges or default_ranges(df, n_features))
     probes = [i / n for i in range(1, n)]
     cut_rows = (
         src.groupBy("feature")

@@ -54,9 +54,9 @@ def bin_counts(reference: DataFrame, current: DataFrame, bins: Mapping[str, tupl
 
 def _psi(counts: DataFrame) -> DataFrame:
     """PSI per feature from bin counts; an exactly empty share becomes 1e-4, shares are not rescaled."""
-    w = Window.partitionBy("feature")  # one row per bin
-    shares = counts.select("feature", safe_div(F.col("n_ref"), F.sum("n_ref").over(w)).alias("r"),
-                           safe_div(F.col("n_cur"), F.sum("n_cur").over(w)).alias("c"))
+    totals = counts.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    shares = counts.join(totals, "feature").select(
+        "feature", safe_div(F.col("n_ref"), F.col("t_ref")).alias("r"), safe_div(F.col("n_cur"), F.col("t_cur")).alias("c"))
     fix = lambda x: F.when(F.col(x) == 0, F.lit(EMPTY_SHARE)).otherwise(F.col(x))
     term = (fix("c") - fix("r")) * F.log(fix("c") / fix("r"))
     # a side without any value has null shares: the sum is null

@@ -15,6 +15,7 @@ from riskframe.functions.hashing import hash60
 from riskframe.functions.scalars import add_all, col, edge_code, flag, safe_div
 from riskframe.operators.clean import value_counts
 from riskframe.operators.quantiles import exact_quantiles
+from riskframe.sources.staging import stage
 
 NULL_LEVEL = "__nan__"
 UNLISTED = 0.0
@@ -168,13 +169,21 @@ def target_artifact(train: DataFrame, columns: Sequence[str], target: str, folds
 
 # --- weight of evidence ---------------------------------------------------------------
 
+MAX_CASE_BINS = 200  # features with more bins are looked up by a join
+
+
 @dataclass
 class WoeModel:
-    """Fitted bins: inner edges of numeric features and the WOE of every (feature, bin)."""
+    """Fitted bins: inner edges of numeric features and the WOE of every (feature, bin).
+
+    ``woe`` holds features with few bins; ``wide`` names those whose bins stay in ``table``.
+    """
 
     edges: dict[str, list[float]] = field(default_factory=dict)
     categorical: list[str] = field(default_factory=list)
     woe: dict[str, dict[str, float]] = field(default_factory=dict)
+    wide: list[str] = field(default_factory=list)
+    table: DataFrame | None = None
 
     @property
     def features(self) -> list[str]:
@@ -236,21 +245,41 @@ def fit_woe(train: DataFrame, target: str, features: Sequence[str], n_bins: int
     binned, levels = split_feature_kinds(train, features, max_levels)
     edges = woe_edges(train, binned, n_bins)
     model = WoeModel(edges, levels)
-    for r in woe_table(train, target, edges, levels, smoothing).select("feature", "bin", "woe").collect():
+    fitted = woe_table(train, target, edges, levels, smoothing).select("feature", "bin", "woe")
+    text = string_columns(train)
+    if any(f in text for f in levels):  # only text can have many levels
+        fitted = stage(fitted, "woe")
+        sizes = {r.feature: r["n"] for r in fitted.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+        model.wide = [f for f, n in sizes.items() if n > MAX_CASE_BINS]
+    small = fitted.where(~F.col("feature").isin(model.wide)) if model.wide else fitted
+    for r in small.collect():
         model.woe.setdefault(r.feature, {})[r.bin] = r.woe
+    if model.wide:
+        model.table = fitted.where(F.col("feature").isin(model.wide))
     return model
 
 
 def woe_apply(df: DataFrame, model: WoeModel, suffix: str = "_WOE") -> DataFrame:
-    """WOE per feature as a generated CASE; unseen bins are neutral, an absent column counts as null."""
-    out = {}
-    for f, b in woe_bins(df, model.edges, model.categorical).items():
+    """WOE per feature as a generated CASE, or as a join where the bins are many.
+
+    Unseen bins are neutral, an absent column counts as null.
+    """
+    bins = woe_bins(df, model.edges, model.categorical)
+    out, result = {}, df
+    for f, b in bins.items():
+        if f in model.wide:
+            continue
         expr = None
         for value, w in sorted(model.woe.get(f, {}).items()):
             hit = b == F.lit(value)
             expr = F.when(hit, F.lit(w)) if expr is None else expr.when(hit, F.lit(w))
         out[f + suffix] = expr.otherwise(F.lit(UNLISTED)) if expr is not None else F.lit(UNLISTED)
-    return df.withColumns(out)
+    result = result.withColumns(out)
+    for f in model.wide:
+        m = model.table.where(F.col("feature") == f).select(F.col("bin").alias("__bin"), F.col("woe").alias("__woe"))
+        result = (result.withColumn("__b", bins[f]).join(m, F.col("__b") == F.col("__bin"), "left")
+                  .withColumn(f + suffix, F.coalesce("__woe", F.lit(UNLISTED))).drop("__b", "__bin", "__woe"))
+    return result
 
 
 def information_value(table: DataFrame) -> DataFrame:

@@ -216,6 +216,8 @@ def profile_auto(df: DataFrame, top: int = 3, approx: bool = False) -> DataFrame
     """One row per column: counts, nulls, distinct values, zeros, range, quartiles, most frequent value.
 
     Jobs: sketch and cells of the quantiles, then one plan with a wide aggregate and one value count.
+    ``approx=True`` sketches quantiles and distinct counts and leaves out the most frequent value, so
+    no value is shuffled.
     """
     numeric, text = numeric_columns(df), string_columns(df)
     cols = [*numeric, *text]
@@ -231,6 +233,9 @@ def profile_auto(df: DataFrame, top: int = 3, approx: bool = False) -> DataFrame
     q = exact_quantiles(df, {c: value_of(df, c) for c in numeric}, [0.25, 0.5, 0.75], approx)
     q.update({c: [None] * 3 for c in text})
     out = with_fitted(basic, q, ["q25", "q50", "q75"], "column_name")
+    if approx:
+        n = spread(df, cols, {"n_unique": lambda c: F.approx_count_distinct(value_of(df, c))}, name="column_name")
+        return out.join(n, "column_name")
     counts = value_counts(df, cols)
     best = counts.groupBy("column_name").agg(
         F.count("*").alias("n_unique"),
@@ -240,7 +245,8 @@ def profile_auto(df: DataFrame, top: int = 3, approx: bool = False) -> DataFrame
 
 def feature_registry(df: DataFrame, cols: Sequence[str], target: str, groups: Mapping[str, str],
                      methods: Sequence[tuple[str, Sequence[str], Sequence[str], Sequence[str]]],
-                     default_group: str = "application", default_method: str = "raw_or_cleaned") -> DataFrame:
+                     default_group: str = "application", default_method: str = "raw_or_cleaned",
+                     approx: bool = False) -> DataFrame:
     """One row per feature with its source group, engineering method and statistics.
 
     ``groups``: name prefix -> group. ``methods``: ``(method, names, prefixes, suffixes)``, first hit wins.
@@ -265,7 +271,7 @@ def feature_registry(df: DataFrame, cols: Sequence[str], target: str, groups: Ma
     types = small_table(df.sparkSession, [(c, dtype_of(df, c)) for c in cols], "feature_name string, dtype string")
     corr = target_corr(df, cols, target).select(
         F.col("feature").alias("feature_name"), F.coalesce("corr", F.lit(0.0)).alias("corr_with_target"))
-    uniq = cardinality(df, cols).select(F.col("column_name").alias("feature_name"), "n_unique")
+    uniq = profile_cardinality(df, cols, approx=approx).select(F.col("column_name").alias("feature_name"), "n_unique")
     out = stats.join(types, "feature_name").join(corr, "feature_name").join(uniq, "feature_name")
     return out.select(
         "feature_name", group.alias("feature_group"), method.alias("engineering_method"), "dtype", "n_unique",

@@ -34,8 +34,14 @@ def largest_remainder(counts: Mapping, total: int) -> dict:
     return out
 
 
+MAX_STRATA = 10_000
+
+
 def stratum_counts(df: DataFrame, stratum: Column) -> dict:
-    rows = df.groupBy(stratum.cast("string").alias("s")).count().collect()
+    """Rows per class. A label has few classes; a column with many is refused, not collected."""
+    rows = df.groupBy(stratum.cast("string").alias("s")).count().limit(MAX_STRATA + 1).collect()
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata: stratify on a label, not on a key")
     return {r.s: r["count"] for r in rows}
 
 

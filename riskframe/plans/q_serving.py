@@ -13,7 +13,7 @@ from riskframe.plans.q_evaluate import WEIGHTS
 from riskframe.plans.registry import query
 from riskframe.plans.settings import BINARY, CLEANING, REGION_RULES
 from riskframe.plans.views import VIEW_SQL, staged, table, view
-from riskframe.sources.staging import fresh_path
+from riskframe.sources.staging import fresh_path, stage
 from riskframe.streaming import jobs
 
 MODEL_COLUMNS = ["cnt_a", "amt_a", "amt_b", "size_ratio", "employed_years", "flag_yn", "region_ASIA", "region_EUROPE", "segment_BUILDING", "other_X",
@@ -30,7 +30,7 @@ def serving(spark, sf):
     app = staged(spark, sf, "v_app")
     train = app.where(TRAIN)
     art = clean.fit_cleaning(train, CLEANING)
-    nation = {r.category: r.encoding for r in encode.target_map(train, "nation", "target").collect()}
+    nation = stage(encode.target_map(train, "nation", "target"), "te")
     project = functools.partial(sc.raw_to_features, art=art, cfg=CLEANING, build=stateless, binary=BINARY, onehot=REGION_RULES,
                                 target_encoded={"nation_TE": nation, "region_TE": None}, model_columns=MODEL_COLUMNS, keep=["id"])
     return app, project
