@@ -28,12 +28,13 @@ def _range_code(score: Column, cuts: Column, n: int) -> Column:
 
 
 def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | None = None,
-                        n_features: int = 1, n_ranges: int | None = None) -> DataFrame:
+                        n_features: int = 1, n_ranges: int | None = None, sketch: DataFrame | None = None) -> DataFrame:
     """One row per distinct (feature, score).
 
     Columns: ``feature, score, pos, neg`` (rows at the score), ``pos_below,
     neg_below`` (strictly below), ``pos_total, neg_total`` and ``next_score``.
-    Rows with a null score or label are left out.
+    Rows with a null score or label are left out. ``sketch`` names a cheaper table with about the same
+    scores for the cut points, e.g. one side of the join that made ``df``.
     """
     src = df.select(
         (F.col(feature) if feature else F.lit("score")).alias("feature"),
@@ -42,8 +43,10 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
     ).where("score is not null and label is not null and not isnan(score)")
     n = max(2, n_ranges or default_ranges(df, n_features))
     probes = [i / n for i in range(1, n)]
+    probe = src if sketch is None else sketch.select(
+        F.lit("score").alias("feature"), F.col(score).cast("double").alias("score")).where("score is not null and not isnan(score)")
     cut_rows = (
-        src.groupBy("feature")
+        probe.groupBy("feature")
         .agg(F.percentile_approx("score", probes, max(10_000, 5 * n)).alias("cuts"))
         .select("feature", F.array_sort(F.array_distinct("cuts")).alias("cuts"))
     ).collect()

@@ -15,7 +15,7 @@ from riskframe.functions.hashing import hash60
 from riskframe.functions.scalars import add_all, col, edge_code, flag, safe_div
 from riskframe.operators.clean import value_counts
 from riskframe.operators.quantiles import exact_quantiles
-from riskframe.sources.staging import stage
+from riskframe.sources.staging import lookup_side, stage
 
 NULL_LEVEL = "__nan__"
 UNLISTED = 0.0
@@ -129,21 +129,24 @@ def target_encode_oof(train: DataFrame, key: str, columns: Sequence[str], target
                       smoothing: float = 10, seed: int = 42) -> DataFrame:
     """Out-of-fold encoding, ``{column}_TE`` per column.
 
-    Sums per (category, fold) are built once; the sums of the other folds are the total minus the own fold,
-    so the table is scanned once per column instead of once per fold.
+    One aggregation per column gives every category its totals and its sums per fold; the sums of the other
+    folds are the total minus the own fold, so the table is not scanned once per fold.
     """
     g = target_mean(train, target)
     out = train.withColumn("__fold", F.pmod(hash60(col(key), seed), F.lit(folds)).cast("int"))
     for c in columns:
         if c not in train.columns:
             continue
-        cell = (out.where(col(c).isNotNull()).groupBy(col(c).alias("__cat"), "__fold")
-                .agg(F.count("*").alias("n"), F.sum(col(target).cast("double")).alias("t")))
-        whole = cell.groupBy("__cat").agg(F.sum("n").alias("n_all"), F.sum("t").alias("t_all"))
-        enc = cell.join(whole, "__cat").select(
-            "__cat", F.col("__fold").alias("__f"),
-            F.when(F.col("n_all") > F.col("n"),
-                   _smooth(F.col("t_all") - F.col("t"), F.col("n_all") - F.col("n"), F.lit(g), smoothing)).alias("__enc"))
+        y = col(target).cast("double")
+        own = [(F.count_if(F.col("__fold") == f), F.sum(F.when(F.col("__fold") == f, y))) for f in range(folds)]
+        sums = out.where(col(c).isNotNull()).groupBy(col(c).alias("__cat")).agg(
+            F.count("*").alias("n"), F.sum(y).alias("t"),
+            *[e.alias(f"{w}{f}") for f, pair in enumerate(own) for w, e in zip("nt", pair)])
+        rest = [F.struct(F.lit(f).alias("__f"), F.when(
+            F.col("n") > F.col(f"n{f}"),
+            _smooth(F.col("t") - F.coalesce(f"t{f}", F.lit(0.0)), F.col("n") - F.col(f"n{f}"), F.lit(g), smoothing)).alias("__enc"))
+            for f in range(folds)]
+        enc = lookup_side(sums.select("__cat", F.inline(F.array(*rest))), "oof")
         out = (out.join(enc, (col(c) == F.col("__cat")) & (F.col("__fold") == F.col("__f")), "left")
                .withColumn(f"{c}_TE", F.coalesce("__enc", F.lit(g))).drop("__cat", "__f", "__enc"))
     return out.drop("__fold")
@@ -151,7 +154,7 @@ def target_encode_oof(train: DataFrame, key: str, columns: Sequence[str], target
 
 def target_encode_apply(df: DataFrame, column: str, mapping: DataFrame, prior: float) -> DataFrame:
     """Full-training encoding on another split; unknown and null categories take the prior."""
-    m = mapping.select(F.col("category").alias("__cat"), F.col("encoding").alias("__enc"))
+    m = lookup_side(mapping.select(F.col("category").alias("__cat"), F.col("encoding").alias("__enc")), "encoding")
     return (df.join(m, col(column) == F.col("__cat"), "left")
             .withColumn(f"{column}_TE", F.coalesce("__enc", F.lit(prior))).drop("__cat", "__enc"))
 
@@ -276,7 +279,8 @@ def woe_apply(df: DataFrame, model: WoeModel, suffix: str = "_WOE") -> DataFrame
         out[f + suffix] = expr.otherwise(F.lit(UNLISTED)) if expr is not None else F.lit(UNLISTED)
     result = result.withColumns(out)
     for f in model.wide:
-        m = model.table.where(F.col("feature") == f).select(F.col("bin").alias("__bin"), F.col("woe").alias("__woe"))
+        m = lookup_side(model.table.where(F.col("feature") == f).select(
+            F.col("bin").alias("__bin"), F.col("woe").alias("__woe")), "woe")
         result = (result.withColumn("__b", bins[f]).join(m, F.col("__b") == F.col("__bin"), "left")
                   .withColumn(f + suffix, F.coalesce("__woe", F.lit(UNLISTED))).drop("__b", "__bin", "__woe"))
     return result

@@ -113,9 +113,9 @@ def metrics_at_threshold(df: DataFrame, score: str, label: str, threshold: float
 def evaluate_predictions(predictions: DataFrame, labels: DataFrame, key: str, score: str, label: str,
                          threshold: float) -> DataFrame:
     """Serving-time panel of a scored batch; scores and labels meet by key, never by position."""
-    both = predictions.select(col(key), col(score).alias("score")).join(
-        labels.select(col(key), col(label).alias("label")), key)
-    rank = cumulative_by_score(both, "score", "label")
+    scores = predictions.select(col(key), col(score).alias("score"))
+    both = scores.join(labels.select(col(key), col(label).alias("label")), key)
+    rank = cumulative_by_score(both, "score", "label", sketch=scores)
     # the confusion counts follow from the running counts: no second pass over the rows
     hit = F.col("score") >= F.lit(float(threshold))
     one = rank.agg(

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from riskframe.functions.frames import long_form, value_of
-from riskframe.functions.scalars import add_all, at_least, col, flag, safe_div
+from riskframe.functions.scalars import at_least, col
+from riskframe.sources.staging import lookup_side
 
 
 @dataclass(frozen=True)
@@ -85,7 +86,7 @@ def keep_known_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, out: str, default=None) -> DataFrame:
     """Attaches ``mapping.value`` by key, with a default for unknown or null keys."""
-    m = mapping.select(col(key), col(value).alias("__v"))
+    m = lookup_side(mapping.select(col(key), col(value).alias("__v")))
     joined = df.join(m, key, "left")
     v = F.col("__v") if default is None else F.coalesce(F.col("__v"), F.lit(default))
     return joined.withColumn(out, v).drop("__v").select(*[col(c) for c in df.columns if c != out], out)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskframe.functions.scalars import col, flag
 from riskframe.operators import clean, encode
+from riskframe.sources.staging import lookup_side
 
 TARGET_RATE_FALLBACK = 0.0807  # fixed value: default of a target encoding without a fitted map
 
@@ -80,7 +81,7 @@ def raw_to_features(df: DataFrame, art: clean.CleaningArtifact, cfg: clean.Clean
     for name, fitted in target_encoded.items():
         src = raw.get(name[:-3])
         if fitted is not None and src:
-            m = fitted.select(F.col("category").alias("__cat"), F.col("encoding").alias("__enc"))
+            m = lookup_side(fitted.select(F.col("category").alias("__cat"), F.col("encoding").alias("__enc")), "encoding")
             out = out.join(m, F.col(src) == F.col("__cat"), "left").withColumn(
                 name, F.coalesce("__enc", F.lit(TARGET_RATE_FALLBACK))).drop("__cat", "__enc")
         else:
