@@ -16,7 +16,7 @@ from riskframe.functions.frames import (
     dtype_of, long_form, numeric_columns, small_table, spread, string_columns, value_of, wide_agg,
 )
 from riskframe.functions.scalars import add_all, at_most, clamp, col, flag, safe_div, to_whole
-from riskframe.operators.correlate import strong_pairs
+from riskframe.operators.correlate import moment_exprs, strong_pairs
 from riskframe.operators.quantiles import exact_quantiles
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
@@ -109,10 +109,11 @@ def high_missing(df: DataFrame, threshold: float, protected: set[str] = frozense
     return missing_shares(df, use).where(F.col("missing_share") > threshold)
 
 
-def high_correlation(df: DataFrame, threshold: float, protected: set[str] = frozenset()) -> DataFrame:
+def high_correlation(df: DataFrame, threshold: float, protected: set[str] = frozenset(),
+                     moments: dict | None = None) -> DataFrame:
     """The later column of every pair above the threshold, each once."""
     cols = numeric_columns(df, protected)
-    return (strong_pairs(df, cols, threshold).groupBy(F.col("right_feature").alias("column_name"))
+    return (strong_pairs(df, cols, threshold, moments).groupBy(F.col("right_feature").alias("column_name"))
             .agg(F.max(F.abs("r")).alias("max_abs_corr")))
 
 
@@ -122,38 +123,51 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .where("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n")))
 
 
-def near_constant(df: DataFrame, threshold: float, protected: set[str] = frozenset()) -> DataFrame:
+def _hash_key(df: DataFrame, c: str) -> Column:
+    """52 hash bits of a present value; they survive the sketch's double arithmetic unchanged."""
+    return F.when(value_of(df, c).isNotNull(), F.shiftright(F.xxhash64(value_of(df, c)), 12))
+
+
+def dominance_exprs(df: DataFrame, cols: Sequence[str], threshold: float) -> dict[str, Column]:
+    """Per column a sketch of the hashed values at the ranks a value of that share must cover."""
+    probes = [1.0 - threshold + 2e-4, 0.5, threshold - 2e-4]
+    return {f"d:{c}": F.percentile_approx(_hash_key(df, c), probes, 10_000) for c in cols}
+
+
+def near_constant(df: DataFrame, threshold: float, protected: set[str] = frozenset(),
+                  sketch: dict | None = None) -> DataFrame:
     """Columns whose most frequent present value covers at least ``threshold``.
 
-    Above one half such a value is also the median under any order, so a sketched
-    median of the hashed values names the only candidate and a second scan counts it exactly:
-    no value is ever shuffled. Lower thresholds count all values.
+    Under any order such a value covers all ranks between 1 - threshold and threshold. A sketch of the
+    hashed values names the only candidate and rules most columns out; a second scan counts the candidates
+    exactly. No value is shuffled. Thresholds near one half and below count all values.
+    ``sketch`` may bring the values of ``dominance_exprs`` from an earlier pass.
     """
     use = [c for c in df.columns if c not in protected]
     spark = df.sparkSession
     schema = "column_name string, top_share double"
-    if not use:
-        return small_table(spark, [], schema)
 
     def counted(cols: Sequence[str]) -> DataFrame:
         shares = value_counts(df, cols).groupBy("column_name").agg(safe_div(F.max("n"), F.sum("n")).alias("top_share"))
         return shares.where(F.col("top_share") >= threshold)
 
-    if threshold <= 0.51:
+    if use and threshold <= 0.51:
         return counted(use)
-    # 52 bits survive the sketch's double arithmetic unchanged
-    key = {c: F.when(value_of(df, c).isNotNull(), F.shiftright(F.xxhash64(value_of(df, c)), 12)) for c in use}
-    middle = wide_agg(df, {c: F.percentile_approx(key[c], 0.5, 10_000) for c in use})
-    found = {c: h for c, h in middle.items() if h is not None}
+    sketch = sketch or (wide_agg(df, dominance_exprs(df, use, threshold)) if threshold <= 1.0 else {})
+    found = {}
+    for c in use:
+        ranks = sketch.get(f"d:{c}")
+        if ranks and len(set(ranks)) == 1:
+            found[c] = ranks[0]
     if not found:
         return small_table(spark, [], schema)
-    hit = lambda c: F.when(key[c] == F.lit(found[c]), value_of(df, c).cast("string"))
+    hit = lambda c: F.when(_hash_key(df, c) == F.lit(found[c]), value_of(df, c).cast("string"))
     rows = spread(df, list(found), {
         "top_share": lambda c: safe_div(F.count(hit(c)), F.count(value_of(df, c))),
-        "first": lambda c: F.min(hit(c)), "last": lambda c: F.max(hit(c))}, name="column_name").where(
+        "first_value": lambda c: F.min(hit(c)), "last_value": lambda c: F.max(hit(c))}, name="column_name").where(
         F.col("top_share") >= threshold).collect()
-    sure = small_table(spark, [(r.column_name, r.top_share) for r in rows if r['first'] == r['last']], schema)
-    mixed = [r.column_name for r in rows if r['first'] != r['last']]  # two values under one hash
+    sure = small_table(spark, [(r.column_name, r.top_share) for r in rows if r.first_value == r.last_value], schema)
+    mixed = [r.column_name for r in rows if r.first_value != r.last_value]  # two values under one hash
     return sure.unionByName(counted(mixed)) if mixed else sure
 
 
@@ -179,12 +193,20 @@ def fit_cleaning(train: DataFrame, cfg: CleaningConfig, approx_medians: bool = F
     keep = cfg.protected()
     art = CleaningArtifact()
     order = {c: i for i, c in enumerate(df.columns)}
-    art.drop_missing = sorted((r.column_name for r in high_missing(df, cfg.missing_threshold, keep).collect()), key=order.get)
+    # one pass feeds all three structural steps
+    open_cols = [c for c in df.columns if c not in keep]
+    first = {f"n:{c}": F.avg(flag(value_of(df, c).isNull())) for c in open_cols}
+    first |= moment_exprs(df, numeric_columns(df, keep))
+    if 0.51 < cfg.near_constant_threshold <= 1.0:
+        first |= dominance_exprs(df, open_cols, cfg.near_constant_threshold)
+    seen = wide_agg(df, first)
+    art.drop_missing = [c for c in open_cols if (seen[f"n:{c}"] or 0.0) > cfg.missing_threshold]
     df = df.drop(*art.drop_missing)
-    art.drop_corr = sorted(r.column_name for r in high_correlation(df, cfg.corr_threshold, keep).collect())
+    if cfg.corr_threshold < 1.0:
+        art.drop_corr = sorted(r.column_name for r in high_correlation(df, cfg.corr_threshold, keep, seen).collect())
     df = df.drop(*art.drop_corr)
     art.drop_near_constant = sorted(
-        (r.column_name for r in near_constant(df, cfg.near_constant_threshold, keep).collect()), key=order.get)
+        (r.column_name for r in near_constant(df, cfg.near_constant_threshold, keep, seen).collect()), key=order.get)
     df = df.drop(*art.drop_near_constant)
 
     outside = {*cfg.id_columns, cfg.target}

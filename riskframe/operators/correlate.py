@@ -22,8 +22,16 @@ def corr_expr(x: Column, y: Column) -> Column:
     return safe_div(F.covar_pop(xs, ys), spread_xy)
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per column pair in column order: ``i, j, left_feature, right_feature, n, r``."""
+def moment_exprs(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """Mean and population deviation per column, as ``m:{c}`` and ``s:{c}``."""
+    return {f"{w}:{c}": fn(value_of(df, c).cast("double")) for c in cols for w, fn in (("m", F.avg), ("s", F.stddev_pop))}
+
+
+def corr_pairs(df: DataFrame, cols: Sequence[str], moments: dict | None = None) -> DataFrame:
+    """One row per column pair in column order: ``i, j, left_feature, right_feature, n, r``.
+
+    ``moments`` may bring the values of ``moment_exprs`` from an earlier pass.
+    """
     cols = list(cols)
     if len(cols) < 2:
         return small_table(df.sparkSession, [], "i int, j int, left_feature string, right_feature string, n long, r double")
@@ -36,23 +44,21 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         }, name="pair").select(
             F.split("pair", r"\|")[0].cast("int").alias("i"), F.split("pair", r"\|")[1].cast("int").alias("j"), "n", "r")
     else:
-        res = _gram_pairs(df, cols)
+        res = _gram_pairs(df, cols, moments or wide_agg(df, moment_exprs(df, cols)))
     names = F.array(*[F.lit(c) for c in cols])
     return res.select("i", "j", F.element_at(names, F.col("i") + 1).alias("left_feature"),
                       F.element_at(names, F.col("j") + 1).alias("right_feature"), "n", "r")
 
 
-def _gram_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+def _gram_pairs(df: DataFrame, cols: list[str], moments: dict) -> DataFrame:
     """Masked Gram sums per partition, added up per pair.
 
     Values are standardised first so that sums of squares keep their digits.
     """
     base = df.select(*[value_of(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
     k = len(cols)
-    moments = wide_agg(base, {f"{w}{i}": fn(F.col(f"v{i}")) for i in range(k)
-                              for w, fn in (("m", F.avg), ("s", F.stddev_pop))})
-    mean = np.array([moments[f"m{i}"] or 0.0 for i in range(k)])
-    std = np.array([moments[f"s{i}"] or 0.0 for i in range(k)])
+    mean = np.array([moments[f"m:{c}"] or 0.0 for c in cols])
+    std = np.array([moments[f"s:{c}"] or 0.0 for c in cols])
     flat = std == 0.0
     scale = np.where(flat, 1.0, std)
     upper_i, upper_j = np.triu_indices(k, 1)
@@ -98,8 +104,8 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return half.unionByName(mirror).unionByName(diag.select("feature", F.col("feature").alias("other"), "r"))
 
 
-def strong_pairs(df: DataFrame, cols: Sequence[str], threshold: float) -> DataFrame:
-    return corr_pairs(df, cols).where(F.abs("r") > threshold)
+def strong_pairs(df: DataFrame, cols: Sequence[str], threshold: float, moments: dict | None = None) -> DataFrame:
+    return corr_pairs(df, cols, moments).where(F.abs("r") > threshold)
 
 
 def target_corr(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:

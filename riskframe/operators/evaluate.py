@@ -167,18 +167,26 @@ def _objective(strategy: str) -> Column:
     return 2.0 * p * r / (p + r + F.lit(1e-12))
 
 
-def threshold_search(df: DataFrame, score: str, label: str, strategy: str = "f1_positive", low: float = 0.0,
+STRATEGIES = ("f1_positive", "f1_macro", "balanced_accuracy", "cost")
+_KEPT = ("f1_positive", "f1_macro", "precision_positive", "recall_positive", "balanced_accuracy", "expected_cost")
+
+
+def threshold_search(df: DataFrame, score: str, label: str, strategy: str | Sequence[str] = "f1_positive", low: float = 0.0,
                      high: float = 1.0, cost_fn: float = 10.0, cost_fp: float = 1.0) -> DataFrame:
-    """The lowest of the best thresholds with its panel; candidates are the distinct scores in [low, high],
-    or all of them when none lies inside; without scores the threshold is 0.5."""
-    known = strategy if strategy in ("f1_macro", "balanced_accuracy", "cost") else "f1_positive"
+    """The lowest of the best thresholds with its panel, one row per strategy from one aggregation.
+
+    Candidates are the distinct scores in [low, high], or all of them when none lies inside; without
+    scores the threshold is 0.5. An unknown strategy means ``f1_positive``.
+    """
+    asked = [strategy] if isinstance(strategy, str) else list(strategy)
+    names = list(dict.fromkeys(s if s in STRATEGIES else STRATEGIES[0] for s in asked))
     t = threshold_table(df, score, label, cost_fn, cost_fp)
     inside = flag((F.col("threshold") >= low) & (F.col("threshold") <= high))
-    best = (t.withColumn("__in", inside).withColumn("__obj", _objective(known))
-            .orderBy(F.col("__in").desc(), F.col("__obj").desc(), F.col("threshold")).limit(1))
-    keep = ["f1_positive", "f1_macro", "precision_positive", "recall_positive", "balanced_accuracy", "expected_cost"]
-    found = best.agg(F.first("threshold").alias("threshold"), *[F.first(c).alias(c) for c in keep])
-    return found.select(F.coalesce("threshold", F.lit(0.5)).alias("threshold"), F.lit(known).alias("strategy"), *keep)
+    kept = F.struct("threshold", *_KEPT)
+    best = t.agg(*[F.max_by(kept, F.struct(inside, _objective(s), -F.col("threshold"))).alias(s) for s in names])
+    rows = F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(s).alias("b")) for s in names])
+    return best.select(F.inline(rows)).select(
+        F.coalesce("b.threshold", F.lit(0.5)).alias("threshold"), "strategy", *[F.col(f"b.{c}").alias(c) for c in _KEPT])
 
 
 def threshold_sweep(df: DataFrame, score: str, label: str, low: float = 0.05, high: float = 0.95, n: int = 100,

@@ -100,12 +100,7 @@ m AS (SELECT threshold, {PANEL} FROM t WHERE threshold >= 0.05 AND threshold <=
  FROM m ORDER BY round({o}, 12) DESC, threshold LIMIT 1)""" for s, o in STRATEGIES.items()), ["v_scored"],
        doubles="threshold f1_positive f1_macro precision_positive recall_positive balanced_accuracy expected_cost", digits=9)
 def threshold_search(spark, sf):
-    s = scored(spark, sf)
-    out = None
-    for name in STRATEGIES:
-        part = ev.threshold_search(s, "p", "label", name, 0.05, 0.95)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return ev.threshold_search(scored(spark, sf), "p", "label", list(STRATEGIES), 0.05, 0.95)
 
 
 @query("threshold_sweep", """WITH grid AS (SELECT CASE WHEN i = 99 THEN 0.95::DOUBLE ELSE 0.05::DOUBLE + i * ((0.95::DOUBLE - 0.05::DOUBLE) / 99) END AS threshold FROM range(100) r(i)),
