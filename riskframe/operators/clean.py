@@ -255,7 +255,9 @@ def clean_columns(df: DataFrame, art: CleaningArtifact, cfg: CleaningConfig) ->
         if name in art.modes:
             c = F.coalesce(c, F.lit(art.modes[name]))
         if name in art.bounds:
-            c = clamp(c, *art.bounds[name])
+            # whole bounds keep an integral column integral
+            whole_type = kind in _INTEGRAL or name in whole
+            c = clamp(c, *[int(b) if b is not None and whole_type and float(b).is_integer() else b for b in art.bounds[name]])
         if name in cfg.cast_int:
             c = to_whole(c)
         exprs[name] = c

@@ -12,6 +12,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskframe.functions.scalars import edge_code
+
+
+_FEW_CUTS = 64
+
 
 def default_ranges(df: DataFrame, features: int = 1) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -53,25 +58,30 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
     cuts = df.sparkSession.createDataFrame(
         [(r.feature, r.cuts) for r in cut_rows], "feature string, cuts array<double>")
 
-    counts = src.groupBy("feature", "score").agg(
+    part = [] if feature is None else ["feature"]
+    counts = src.groupBy(*part, "score").agg(
         F.sum("label").alias("pos"), (F.count("*") - F.sum("label")).alias("neg"))
     if feature is None:
         only = cut_rows[0].cuts if cut_rows else []
-        ranged = counts.withColumn(
-            "range_id", _range_code(F.col("score"), F.array(*[F.lit(c) for c in only]), n) if only else F.lit(0))
+        if len(only) <= _FEW_CUTS:  # short lists compile to plain comparisons
+            code = edge_code(F.col("score"), only)
+        else:
+            code = _range_code(F.col("score"), F.array(*[F.lit(c) for c in only]), n)
+        ranged = counts.withColumn("range_id", code)
     else:
         # at most n_features x n_ranges numbers
         ranged = counts.join(F.broadcast(cuts), "feature").withColumn(
             "range_id", _range_code(F.col("score"), F.col("cuts"), n)).drop("cuts")
 
-    by_range = Window.partitionBy("feature").orderBy("range_id")
+    group = part or [F.lit(1)]
+    by_range = Window.partitionBy(*group).orderBy("range_id")
     earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
+    whole = Window.partitionBy(*group)
     offsets = (
-        ranged.groupBy("feature", "range_id")
+        ranged.groupBy(*part, "range_id")
         .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.min("score").alias("first_score"))
         .select(
-            "feature", "range_id",
+            *part, "range_id",
             F.coalesce(F.sum("p").over(earlier), F.lit(0)).alias("pos_off"),
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("neg_off"),
             F.lead("first_score").over(by_range).alias("next_range_score"),
@@ -79,12 +89,12 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
             F.sum("n").over(whole).alias("neg_total"),
         )
     )
-    inside = Window.partitionBy("feature", "range_id").orderBy("score")
+    inside = Window.partitionBy(*part, "range_id").orderBy("score")
     below = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranged.join(offsets, ["feature", "range_id"])
+        ranged.join(offsets, [*part, "range_id"])
         .select(
-            "feature", "score", "pos", "neg",
+            F.col("feature") if part else F.lit("score").alias("feature"), "score", "pos", "neg",
             (F.col("pos_off") + F.coalesce(F.sum("pos").over(below), F.lit(0))).alias("pos_below"),
             (F.col("neg_off") + F.coalesce(F.sum("neg").over(below), F.lit(0))).alias("neg_below"),
             "pos_total", "neg_total",

@@ -2,8 +2,8 @@
 
 Rows are ordered by a portable 60-bit hash of (seed, id). A split needs only
 the hash value below which the wanted number of rows lies, per stratum. That value
-is found by counting 12 hash bits at a time (at most 4096 counts per stratum and
-target), so the split itself is a predicate: no sort, no window, no shuffle.
+is found by counting up to 15 hash bits at a time (a bounded number of counts per
+pass), so the split itself is a predicate: no sort, no window, no shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskframe.functions.hashing import HASH_BITS, hash60
 from riskframe.functions.scalars import col
 
-_STEP = 12
+_MAX_COUNTS = 500_000  # counts brought to the driver per pass
 _FULL = 1 << HASH_BITS
 
 
@@ -59,7 +59,9 @@ def hash_thresholds(df: DataFrame, key: Column, stratum: Column, wanted: Mapping
                 open_[s, c] = (0, c)  # prefix so far, rows still to take below it
     bits = 0
     while open_:
-        shift = HASH_BITS - bits - _STEP
+        fan = max(1, len(open_) if bits else len(wanted))
+        step = min(HASH_BITS - bits, max(4, min(15, (_MAX_COUNTS // fan).bit_length() - 1)))
+        shift = HASH_BITS - bits - step
         probe = src
         if bits:
             keys = sorted({(s or "", p) for (s, _), (p, _) in open_.items()})
@@ -70,11 +72,11 @@ def hash_thresholds(df: DataFrame, key: Column, stratum: Column, wanted: Mapping
         hist: dict = {}
         for r in rows:
             hist.setdefault(r.s, []).append((r.b, r["count"]))
-        bits += _STEP
+        bits += step
         nxt = {}
         for (s, c), (prefix, left) in open_.items():
             answer = None
-            for b, n in sorted(x for x in hist.get(s, []) if bits == _STEP or x[0] >> _STEP == prefix):
+            for b, n in sorted(x for x in hist.get(s, []) if bits == step or x[0] >> step == prefix):
                 if left == n:
                     answer = ((b + 1) << shift, 0)
                 elif left < n:

@@ -230,3 +230,14 @@ def cleaning_audit_log(spark, sf):
 SELECT child_id, step, coalesce(disc, 0) AS disc, nullif(qty, 50) AS qty FROM v_hist""", ["v_hist"], doubles="disc qty")
 def clean_secondary_tables(spark, sf):
     return c.clean_child_table(view(spark, sf, "v_hist").select("child_id", "step", "disc", "qty"), ["disc"], ["qty"], 50.0)
+
+
+PROTECTED = ["amt_c", "cnt_a", "days_emp", "id", "nation", "target"]
+
+
+@query("clean_protected_set", " UNION ALL ".join(f"SELECT '{x}' AS column_name, count({x}) AS n_present FROM v_app" for x in PROTECTED), ["v_app"])
+def clean_protected_set(spark, sf):
+    from riskframe.functions.frames import spread
+    app = view(spark, sf, "v_app")
+    keep = CLEANING.protected()
+    return spread(app, [x for x in app.columns if x in keep], {"n_present": F.count}, name="column_name")

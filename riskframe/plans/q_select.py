@@ -69,3 +69,14 @@ def select_leak_suspects(spark, sf):
        ["v_app"], doubles="corr abs_corr")
 def rank_target_corr(spark, sf):
     return s.rank_by_target(view(spark, sf, "v_app"), APP_NUMERIC, "target", 5)
+
+
+@query("select_guard", "SELECT 50 AS asked, 8 AS available, 8 AS kept, count(*) AS n_rows FROM v_app UNION ALL SELECT 3, 8, 3, count(*) FROM v_app", ["v_app"])
+def select_guard(spark, sf):
+    app = view(spark, sf, "v_app").select(*APP_NUMERIC)
+    out = None
+    for asked in (50, 3):
+        row = app.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(asked).alias("asked"), F.lit(len(app.columns)).alias("available"), F.lit(s.wanted_count(asked, len(app.columns))).alias("kept"), "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out

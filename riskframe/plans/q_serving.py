@@ -107,6 +107,7 @@ def stream_drift_window(spark, sf):
     ref = drift.bin_counts(reference, reference.limit(0), {x: (drift.edge_code(F.col(x).cast("double"), e),) * 2 for x, e in edges.items()})
     events = table(spark, sf, "events")
     stream = jobs.file_stream(spark, sf, events.schema, "events.parquet")
+    # a watermark needs an instant: wall-clock times are read in the session zone
     recent = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("f_num"), F.col("user_id").alias("f_user")).where(
         F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp"))
     counts = jobs.windowed_bin_counts(recent, "ts", edges, "1 day")
