@@ -20,8 +20,8 @@ def _counts(df, rules, fold=False):
 @query("dq_between", """
 SELECT 'between:cnt_a' AS rule, count(*) AS n_rows, count(cnt_a) AS n_present, count_if(cnt_a < 1 OR cnt_a > 18)::BIGINT AS n_bad,
  count_if(cnt_a < 1 OR cnt_a > 18) = 0 AS success FROM v_app
-UNION ALL SELECT 'between:amt_b', count(*), count(amt_b), count_if(amt_b < 1000), count_if(amt_b < 1000) = 0 FROM v_app
-UNION ALL SELECT 'between:days_emp', count(*), count(days_emp), count_if(days_emp > 0), count_if(days_emp > 0) = 0 FROM v_app
+UNION ALL SELECT 'between:amt_b', count(*), count(amt_b), count_if(amt_b < 1000)::BIGINT, count_if(amt_b < 1000) = 0 FROM v_app
+UNION ALL SELECT 'between:days_emp', count(*), count(days_emp), count_if(days_emp > 0)::BIGINT, count_if(days_emp > 0) = 0 FROM v_app
 """, ["v_app"])
 def dq_between(spark, sf):
     return _counts(view(spark, sf, "v_app"), [q.between("cnt_a", 1, 18), q.between("amt_b", 1000), q.between("days_emp", high=0)])
@@ -52,7 +52,7 @@ def dq_unique(spark, sf):
 @query("dq_not_null", """
 SELECT 'not_null:nation' AS rule, count(*) AS n_rows, count(*) AS n_present, count_if(nation IS NULL)::BIGINT AS n_bad,
  count_if(nation IS NULL) = 0 AS success FROM v_app
-UNION ALL SELECT 'not_null:target', count(*), count(*), count_if(target IS NULL), count_if(target IS NULL) = 0 FROM v_app""", ["v_app"])
+UNION ALL SELECT 'not_null:target', count(*), count(*), count_if(target IS NULL)::BIGINT, count_if(target IS NULL) = 0 FROM v_app""", ["v_app"])
 def dq_not_null(spark, sf):
     return _counts(view(spark, sf, "v_app"), [q.not_null("nation"), q.not_null("target")])
 

@@ -19,13 +19,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder.
     """
-    named = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
+    sc = spark.sparkContext
+    named = spark.conf.get(_KEY, None) or sc.getConf().get(_KEY, None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise ValueError(f"set {_KEY} to a shared folder before staging tables")
     fallback = tempfile.mkdtemp(prefix="riskframe-")
-    spark.conf.set(_KEY, fallback)
+    sc.setCheckpointDir(fallback)
     return fallback
 
 
