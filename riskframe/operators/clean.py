@@ -119,6 +119,8 @@ def high_correlation(df: DataFrame, threshold: float, protected: set[str] = froz
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``column_name, value, n`` over present values, one shuffle for all columns."""
+    if not cols:
+        return small_table(df.sparkSession, [], "column_name string, value string, n long")
     return (long_form(df, {c: value_of(df, c).cast("string") for c in cols}, name="column_name")
             .where("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n")))
 
@@ -286,6 +288,10 @@ def outlier_stats(df: DataFrame, cols: Sequence[str], k: float = 3.0) -> DataFra
     """Quartiles, fences at k interquartile ranges, P99, maximum and rows outside the fences."""
     q = exact_quantiles(df, {c: value_of(df, c) for c in cols}, [0.25, 0.75, 0.99])
     fit = {c: v for c, v in q.items() if v[0] is not None}
+    if not fit:
+        return small_table(df.sparkSession, [], "column_name string, " + ", ".join(
+            f"{n} {'long' if n == 'n_outliers' else 'double'}" for n in (
+                "q1", "q3", "p99", "iqr", "low_fence", "high_fence", "max_value", "n_outliers", "outlier_percent")))
     fences = {c: (v[0] - k * (v[1] - v[0]), v[1] + k * (v[1] - v[0])) for c, v in fit.items()}
     lit = lambda i: (lambda c: F.max(F.lit(float(fit[c][i]))))
     return spread(df, list(fit), {

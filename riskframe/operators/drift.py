@@ -237,6 +237,8 @@ def drift_distributions(reference: DataFrame, current: DataFrame, features: Sequ
         lo, hi = (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5)
         grids[f] = even_grid(lo, hi, bins + 1)
         codes[f] = edge_code(clamp(value_of(both, f).cast("double"), lo, hi), grids[f][1:-1])
+    if not codes:
+        return small_table(both.sparkSession, [], "feature string, side string, bin int, left_edge double, n long, density double")
     counts = (long_form(both, codes, keep=[F.col("__side").alias("side")], value="bin").where("bin is not null")
               .groupBy("feature", "side", "bin").agg(F.count("*").alias("n")))
     widths = small_table(both.sparkSession, [(f, g[0], (g[-1] - g[0]) / bins) for f, g in grids.items()],

@@ -92,7 +92,7 @@ def onehot_fit_apply(train: DataFrame, tables: Mapping[str, DataFrame], limit: i
                      skip: Sequence[str] = ()) -> dict[str, DataFrame]:
     cols = small_domains(train, string_columns(train, skip), limit)
     vocab = sorted((r.column_name, r.value, r.feature) for r in onehot_vocabulary(train, cols).collect()) if cols else []
-    return {n: onehot_apply(t, vocab) for n, t in tables.items()}
+    return {n: onehot_apply(t, vocab).drop(*cols) for n, t in tables.items()}
 
 
 def rule_onehot(df: DataFrame, rules: Mapping[str, tuple[str, str]]) -> DataFrame:

@@ -45,7 +45,7 @@ def encode_splits(train: DataFrame, others: Mapping[str, DataFrame], root: str,
     base = splits["train"]
     short = encode.small_domains(base, string_columns(base, [credit.ID]), credit.ONE_HOT_LIMIT)
     vocab = sorted((r.column_name, r.value, r.feature) for r in encode.onehot_vocabulary(base, short).collect()) if short else []
-    splits = {n: encode.onehot_apply(d, vocab) for n, d in splits.items()}
+    splits = {n: encode.onehot_apply(d, vocab).drop(*short) for n, d in splits.items()}
     base = splits["train"]
     te = [c for c in credit.TARGET_ENCODED if c in base.columns]
     if te:

@@ -145,3 +145,21 @@ def test_selection_rules(spark):
     with pytest.raises(ValueError):
         select.wanted_count(0, 5)
     assert select.wanted_count(9, 5) == 5
+
+
+def test_empty_tables_do_not_break_the_fits(spark):
+    empty = spark.createDataFrame([], "id long, y int, a double, b double, c string")
+    cfg = clean.CleaningConfig(("id",), "y", sentinels=(("a", "a_anom", 5),))
+    assert clean.apply_cleaning(empty, clean.fit_cleaning(empty, cfg), cfg).columns == ["id", "y", "a", "b", "c", "a_anom"]
+    assert clean.outlier_stats(empty, ["a"]).count() == 0 and clean.modes(empty, []).count() == 0
+    assert encode.onehot_fit_apply(empty, {"t": empty})["t"].columns == ["id", "y", "a", "b"]
+    assert encode.target_encode_oof(empty, "id", ["c"], "y").count() == 0
+
+
+def test_a_category_with_a_third_of_the_rows(spark):
+    n = 3000
+    df = spark.range(n).selectExpr("id", "cast(id % 11 = 0 as int) as y", "if(id % 3 = 0, 'hot', concat('c', cast(id % 700 as string))) as c")
+    out = encode.target_encode_oof(df, "id", ["c"], "y", 5, 10)
+    assert out.count() == n and out.where("c_TE is null").count() == 0
+    hot = out.where("c = 'hot'").select("c_TE").distinct().count()
+    assert hot == 5  # one value per fold
