@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -303,21 +304,46 @@ def links(docs: DataFrame, percent: int = 75) -> DataFrame:
     return out
 
 
-def with_components(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _tagged(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """row (all columns of docs), doc_id, n_shingles, cid."""
+    def run(texts: pd.Series) -> pd.DataFrame:
+        n, keys = [], []
+        for t in texts:
+            s = sh.shingle_set(t)
+            n.append(len(s))
+            keys.append(sh.set_key(s))
+        return pd.DataFrame({"n": np.array(n, dtype=np.int64), "cid": np.array(keys, dtype=np.int64)})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, sets, keys in _classes(batches):
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys)],
-                                             names=["doc_id", "n_shingles", "cid"])
+    keyed = F.pandas_udf(run, "n long, cid long")
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("doc_id"),
+                       keyed(docs[text]).alias("k")).select("row", "doc_id", F.col("k.n").alias("n_shingles"), F.col("k.cid").alias("cid"))
 
-    meta = stage(docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, cid long"), "classes")
+
+def _named(meta: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """cid, root and the first doc_id of every class that has shingles."""
     roots = stage(components(links(docs, percent)), "roots")
     firsts = meta.where("n_shingles > 0").groupBy("cid").agg(F.min("doc_id").alias("first"))
-    named = firsts.join(roots, firsts["cid"] == roots["node"], "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
+    return firsts.join(roots, firsts["cid"] == roots["node"], "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
+
+
+def with_components(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    texts = docs.select(docs[text].alias("text"))
+    meta = stage(_tagged(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")), "text", "doc_id")
+                 .select("doc_id", "n_shingles", "cid"), "classes")
+    named = stage(_named(meta, texts, percent), "named")
     best = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = named.join(best, "root").select("cid", "component_id")
     return meta.join(of_class, "cid", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs without all but the first (by doc_id) of each component; rows without shingles all stay."""
+    tagged = _tagged(docs, text, doc_id)
+    meta = stage(tagged.select("doc_id", "n_shingles", "cid"), "classes")
+    named = _named(meta, docs.select(docs[text].alias("text")), percent)
+    winners = named.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("no"), "first", "cid")).alias("w")).select(
+        F.col("w.first").alias("id"), F.col("w.cid").alias("key"))
+    kept = tagged.where("n_shingles > 0").join(winners, (F.col("cid") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "cid"]).select("row.*").unionByName(tagged.where("n_shingles = 0").select("row.*"))

@@ -253,6 +253,12 @@ def score(docs: DataFrame, model: LineCrf, keep: Sequence[str] = ("doc_id",), te
     return docs.select(*[docs[c] for c in keep], run(docs[text]).alias("score"))
 
 
+def keep_good(docs: DataFrame, model: LineCrf, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows whose score is at least ``least``, with their own columns."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return score(rows.select("row", F.col("row")[text].alias("text")), model, ["row"]).where(F.col("score") >= least).select("row.*")
+
+
 def label_lines(docs: DataFrame, model: LineCrf, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """One row per line with a word: the ``keep`` columns, line (its text), p_good and good."""
     def run(texts: pd.Series) -> pd.Series:

@@ -170,10 +170,15 @@ def masked(text: str | None, model: MarkovPair | None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def mask(docs: DataFrame, model: MarkovPair | None, text: str = "text") -> DataFrame:
-    """``docs`` with secrets masked; rows and columns stay."""
+def mask(docs: DataFrame, model: MarkovPair | None, text: str = "text", length: str | None = None) -> DataFrame:
+    """``docs`` with secrets masked; rows and columns stay. ``length`` names a column that counts the text's characters."""
     run = F.pandas_udf(lambda texts: texts.map(lambda t: masked(t, model), na_action="ignore"), "string")
-    return docs.withColumn(text, run(docs[text]))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), run(docs[text]).alias("new"))
+    new = {text: F.col("new")}
+    if length is not None:
+        new[length] = F.when(F.col("new") == F.col("row")[text], F.col("row")[length]).otherwise(
+            F.char_length("new").cast(docs.schema[length].dataType))
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def digest(spans: list[tuple[str, int, int]]) -> str:
