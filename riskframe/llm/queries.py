@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import common, q_jaccard, q_line_crf, q_packing, q_quality_rules, q_secrets, q_shards  # noqa: F401
+from riskframe.llm import common, q_jaccard, q_line_crf, q_packing, q_quality_rules, q_secrets, q_shards, q_spann  # noqa: F401
 
 QUERIES = common.QUERIES
 ORACLES = common.ORACLES
