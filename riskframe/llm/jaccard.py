@@ -4,8 +4,8 @@
 2. Almost all pairs of texts are at distance 1, so regions are found from shared shingles: two sets that link
    share, among the first ``prefix`` shingles of one global order, at least a known number. A class whose
    prefix holds too few shared shingles has no link and drops out.
-3. Pivots: of the classes that share a prefix shingle, the one first by hash. A pivot's region holds every class
-   that shares a shingle it leads; so two classes that link meet in a region, with known distances to its pivot.
+3. Pivots: of the classes that share a prefix shingle, the one with the least key. A pivot's region holds every class
+   that shares enough shingles it leads; two classes that link meet in a region, with known distances to its pivot.
 4. Inside a region, members within the threshold of the pivot are connected by it and need no comparison among
    each other. Every other member is compared with the members whose distance to the pivot differs from its own
    by no more than the threshold (triangle inequality).
@@ -77,23 +77,23 @@ def frequent_shingles(docs: DataFrame, total: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, late, percent: int) -> DataFrame:
-    """cid, need, s: the prefix shingles of every class, once per task."""
+    """cid, n, s: the prefix shingles of every class, once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets, keys in _classes(batches):
-            cid, need, parts = [], [], []
+            cid, size, parts = [], [], []
             for s, k in zip(sets, keys.tolist(), strict=True):
                 if not len(s) or k in seen:
                     continue
                 seen.add(k)
-                length, least = needs(len(s), percent)
+                length, _ = needs(len(s), percent)
                 parts.append(s[sh.order(s, late.value)[:length]])
                 cid.append(np.full(length, k, dtype=np.int64))
-                need.append(np.full(length, least, dtype=np.int32))
+                size.append(np.full(length, len(s), dtype=np.int32))
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cid)), pa.array(np.concatenate(need)),
-                                                  pa.array(np.concatenate(parts).view(np.int64))], names=["cid", "need", "s"])
-    return docs.select("text").mapInArrow(run, "cid long, need int, s long")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cid)), pa.array(np.concatenate(size)),
+                                                  pa.array(np.concatenate(parts).view(np.int64))], names=["cid", "n", "s"])
+    return docs.select("text").mapInArrow(run, "cid long, n int, s long")
 
 
 def _filter(ids: DataFrame) -> np.ndarray:
@@ -109,7 +109,7 @@ def _filter(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """cid, n, shingles (little-endian 64-bit) of the classes in ids."""
+    """cid, n, shingles (little-endian 64-bit) of the classes in ids, and of few others."""
     spark = docs.sparkSession
     words = spark.sparkContext.broadcast(_filter(ids))
 
@@ -132,7 +132,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     found = docs.select("text").mapInArrow(run, "cid long, n long, shingles binary")
     found = found.select("*", *[F.xxhash64("cid", F.lit(i)).alias(f"h{i}") for i in range(3)]).mapInArrow(hit, "cid long, n long, shingles binary")
-    return found.join(ids.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+    return found.dropDuplicates(["cid"])
 
 
 def join_region(ids: np.ndarray, sets: list[np.ndarray], percent: int, tags: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -272,28 +272,41 @@ def _split(rows: DataFrame, sizes: DataFrame, percent: int, recurse: bool) -> tu
     return found, stage(parts.withColumn("final", F.lit(False)).union(blocks.withColumn("final", F.lit(True))), "regions")
 
 
-def shared_prefixes(docs: DataFrame, percent: int) -> DataFrame:
-    """cid, s: prefix shingles that other classes share, of the classes that share enough of them."""
+def region_members(docs: DataFrame, percent: int) -> DataFrame:
+    """region, cid, n: classes that may link, in the regions of the pivots that lead their shared prefix shingles.
+
+    A pivot is the least class key among those that share a shingle. Keys are hashes, so this is a choice by hash.
+    Copies of a class in several tasks only raise its count of shared shingles, so none is missed.
+    """
     late = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, docs.count()))
     w = Window.partitionBy("s")
     shared = stage(_prefixes(docs, late, percent)
-                   .select("cid", "need", "s", F.min("cid").over(w).alias("lo"), F.max("cid").over(w).alias("hi"))
-                   .where("lo != hi").select("cid", "need", "s").distinct(), "shared")
-    able = shared.groupBy("cid", "need").agg(F.count("*").alias("n")).where("n >= need").select("cid")
-    return stage(shared.join(able, "cid", "left_semi").select("cid", "s"), "blocks")
+                   .select("cid", "n", F.min("cid").over(w).alias("region"), F.max("cid").over(w).alias("last"))
+                   .where("region != last").groupBy("region", "cid", "n").agg(F.count("*").alias("shared")), "shared")
+    least, prefix = f"ceil({percent} * n / 100)", f"least(n, n - ceil({percent} * n / 100) + 1 + floor(n / 10))"
+    need = f"(1 + least(floor({least} / 10), {prefix} - (n - {least} + 1)))"
+    able = shared.groupBy("cid", "n").agg(F.sum("shared").alias("all")).where(f"all >= {need}").select("cid")
+    # a class leaves the regions where it shares least, while they hold less than half of what it needs: two classes that
+    # link share what either needs, so the regions that one or the other leaves cannot hold all of it
+    weak = Window.partitionBy("cid").orderBy("shared", "region").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    members = shared.join(able, "cid", "left_semi").withColumn("so_far", F.sum("shared").over(weak)).where(
+        f"so_far > floor(({need} - 1) / 2)").select("region", "cid", "n")
+    several = members.groupBy("region").agg(F.count("*").alias("m")).where("m > 1").select("region")
+    return stage(members.join(several, "region", "left_semi"), "members")
 
 
 def links(docs: DataFrame, percent: int = 75) -> DataFrame:
     """a, b: links between classes of equal sets that connect every component; docs: text. Ids are set keys."""
-    blocks = shared_prefixes(docs, percent)
-    lead = blocks.groupBy("s").agg(F.min(F.struct(F.xxhash64("cid").alias("h"), "cid")).alias("p"), F.count("*").alias("m")).where("m > 1")
-    members = stage(blocks.join(lead.select("s", F.col("p.cid").alias("region")), "s").select("region", "cid").distinct(), "members")
-    sets = stage(_sets(docs, members.select("cid").distinct()), "sets")
-    rows = stage(members.join(sets, "cid").select("region", "cid", (F.col("region") == F.col("cid")).cast("int").alias("lead"),
-                                                  F.lit(0).cast("long").alias("tag"), "n", "shingles", F.lit(False).alias("final")), "regions")
-    out = None
+    members = region_members(docs, percent)
+    sets = _sets(docs, members.select("cid").distinct())
+    rows = members.select("region", "cid").join(sets, "cid").select(
+        "region", "cid", (F.col("region") == F.col("cid")).cast("int").alias("lead"), F.lit(0).cast("long").alias("tag"), "n", "shingles",
+        F.lit(False).alias("final"))
+    sizes = stage(_large(members), "large")
+    if sizes.isEmpty():
+        return stage(_region_edges(rows, percent), "links")
+    rows, out = stage(rows, "regions"), None
     for depth in range(DEPTH):
-        sizes = stage(_large(rows.where("NOT final")), "large")
         fits = rows.join(sizes.select("region"), "region", "left_anti")
         edges = stage(_region_edges(fits, percent), "links")
         out = edges if out is None else out.union(edges)
@@ -301,6 +314,7 @@ def links(docs: DataFrame, percent: int = 75) -> DataFrame:
             break
         found, rows = _split(rows.join(sizes.select("region"), "region", "left_semi"), sizes, percent, depth < DEPTH - 2)
         out = out.union(found)
+        sizes = stage(_large(rows.where("NOT final")), "large")
     return out
 
 

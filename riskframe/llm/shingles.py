@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import xxhash
 
 WORDS = 5
+_TOGETHER = 200_000  # bytes hashed at a time
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _TABLE = None
@@ -41,21 +43,21 @@ def _powers(n: int) -> np.ndarray:
 _INVERSE = pow(int(_BASE), -1, 1 << 64)
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """One hash per word of UTF-8 text whose A-Z are in lower case already."""
+def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of every word of UTF-8 text whose A-Z are in lower case already."""
     b = np.frombuffer(raw, dtype=np.uint8)
     if not len(b):
-        return np.zeros(0, dtype=_U)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=_U)
     gap = (b == 32) | ((b >= 9) & (b <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, dtype=_U)
+        return starts, np.zeros(0, dtype=_U)
     # word value: sum of byte codes times powers of an odd base, so one running sum serves all words
     powers = _powers(len(b) + 1)
     run = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(_BYTES[b] * powers[:len(b)], dtype=_U)])
     value = (run[ends] - run[starts]) * _inverse_powers(len(b) + 1)[starts]
-    return mix(value + mix((ends - starts).astype(_U)))
+    return starts, mix(value + mix((ends - starts).astype(_U)))
 
 
 _INVERSES = None
@@ -83,18 +85,42 @@ def combined(words: np.ndarray, k: int = WORDS) -> np.ndarray:
     return out
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    s = np.sort(hashes)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
+def texts_sets(texts: Sequence[str | None]) -> list[np.ndarray]:
+    """The distinct shingles of every text, ascending; texts are hashed together up to a few hundred kilobytes."""
+    out: list[np.ndarray] = []
+    raw = [(t or "").encode("utf-8").lower() for t in texts]  # bytes: only A-Z change
+    at = 0
+    while at < len(raw):
+        end, size = at, 0
+        while end < len(raw) and (end == at or size + len(raw[end]) <= _TOGETHER):
+            size += len(raw[end]) + 1
+            end += 1
+        begins = np.cumsum([0, *(len(r) + 1 for r in raw[at:end])])
+        starts, words = _words(b"\n".join(raw[at:end]))
+        edges = np.searchsorted(starts, begins).tolist()
+        whole = combined(words)
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            out.append(_distinct(whole[lo:hi - WORDS + 1]) if hi - lo >= WORDS else combined(words[lo:hi]))
+        at = end
+    return out
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct shingles of a text, ascending."""
-    raw = (text or "").encode("utf-8").lower()  # bytes: only A-Z change
-    return np.unique(combined(word_hashes(raw)))
+    return texts_sets([text])[0]
 
 
 def set_key(shingles: np.ndarray) -> int:
     """A signed 64-bit key of the set; 0 is kept for the empty set."""
     if not len(shingles):
         return 0
-    total = np.sum(mix(shingles ^ _U(0xA0761D6478BD642F)), dtype=_U) + _U(len(shingles))
-    return int(mix(np.array([total], dtype=_U)).view(np.int64)[0]) or 1
+    key = xxhash.xxh3_64_intdigest(shingles.tobytes())
+    return (key - (1 << 64) if key >= 1 << 63 else key) or 1
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -129,7 +155,3 @@ def order(shingles: np.ndarray, late: np.ndarray) -> np.ndarray:
     at[at == len(late)] = 0
     heavy = late[at] == shingles
     return np.concatenate([np.flatnonzero(~heavy), np.flatnonzero(heavy)])
-
-
-def texts_sets(texts: Sequence[str | None]) -> list[np.ndarray]:
-    return [shingle_set(t) for t in texts]
