@@ -18,9 +18,10 @@ from riskframe.functions.scalars import edge_code
 _FEW_CUTS = 64
 
 
-def default_ranges(df: DataFrame, features: int = 1) -> int:
+def default_ranges(df: DataFrame) -> int:
+    """Ranges per feature; more features do not make a feature's ranges coarser."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(20_000, 2 * parts) // max(1, features))
+    return max(8, min(20_000, 2 * parts))
 
 
 def _range_code(score: Column, cuts: Column, n: int) -> Column:
@@ -33,7 +34,7 @@ def _range_code(score: Column, cuts: Column, n: int) -> Column:
 
 
 def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | None = None,
-                        n_features: int = 1, n_ranges: int | None = None, sketch: DataFrame | None = None) -> DataFrame:
+                        n_ranges: int | None = None, sketch: DataFrame | None = None) -> DataFrame:
     """One row per distinct (feature, score).
 
     Columns: ``feature, score, pos, neg`` (rows at the score), ``pos_below,
@@ -46,7 +47,7 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
         F.col(score).cast("double").alias("score"),
         F.col(label).cast("int").alias("label"),
     ).where("score is not null and label is not null and not isnan(score)")
-    n = max(2, n_ranges or default_ranges(df, n_features))
+    n = max(2, n_ranges or default_ranges(df))
     probes = [i / n for i in range(1, n)]
     probe = src if sketch is None else sketch.select(
         F.lit("score").alias("feature"), F.col(score).cast("double").alias("score")).where("score is not null and not isnan(score)")

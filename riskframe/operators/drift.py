@@ -133,7 +133,7 @@ def _two_sample(reference: DataFrame, current: DataFrame, features: Sequence[str
         vals = {f: value_of(df, f).cast("double") for f in features}
         return long_form(df, vals, keep=[F.lit(label).alias("label")])
     both = side(reference, 0).unionByName(side(current, 1)).where("value is not null")
-    return cumulative_by_score(both, "value", "label", "feature", n_features=len(features))
+    return cumulative_by_score(both, "value", "label", "feature")
 
 
 def _gap() -> Column:

@@ -179,7 +179,8 @@ MAX_CASE_BINS = 200  # features with more bins are looked up by a join
 class WoeModel:
     """Fitted bins: inner edges of numeric features and the WOE of every (feature, bin).
 
-    ``woe`` holds features with few bins; ``wide`` names those whose bins stay in ``table``.
+    ``table`` holds the bins of all features. ``woe`` repeats those of features with few bins for the CASE
+    look-up; ``wide`` names the features that are looked up by a join.
     """
 
     edges: dict[str, list[float]] = field(default_factory=dict)
@@ -249,16 +250,11 @@ def fit_woe(train: DataFrame, target: str, features: Sequence[str], n_bins: int
     edges = woe_edges(train, binned, n_bins)
     model = WoeModel(edges, levels)
     fitted = woe_table(train, target, edges, levels, smoothing).select("feature", "bin", "woe")
-    text = string_columns(train)
-    if any(f in text for f in levels):  # only text can have many levels
-        fitted = stage(fitted, "woe")
-        sizes = {r.feature: r["n"] for r in fitted.groupBy("feature").agg(F.count("*").alias("n")).collect()}
-        model.wide = [f for f, n in sizes.items() if n > MAX_CASE_BINS]
-    small = fitted.where(~F.col("feature").isin(model.wide)) if model.wide else fitted
-    for r in small.collect():
+    model.table = stage(fitted, "woe")
+    sizes = {r.feature: r["n"] for r in model.table.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    model.wide = [f for f, n in sizes.items() if n > MAX_CASE_BINS]
+    for r in model.table.where(~F.col("feature").isin(model.wide)).collect():  # at most MAX_CASE_BINS per feature
         model.woe.setdefault(r.feature, {})[r.bin] = r.woe
-    if model.wide:
-        model.table = fitted.where(F.col("feature").isin(model.wide))
     return model
 
 

@@ -131,11 +131,11 @@ class WoeScorecardModel(Model):
     def table(self, spark: SparkSession) -> DataFrame:
         """Everything needed to score: edges, WOE, scaling and coefficients in long form."""
         rows = [("edge", f, str(i), e) for f, es in self.woe.edges.items() for i, e in enumerate(es)]
-        rows += [("woe", f, b, w) for f, m in self.woe.woe.items() for b, w in m.items()]
         rows += [(k, f, "", v) for f, (m, s) in self.scaler.items() for k, v in (("mean", m), ("std", s))]
         rows += [("coefficient", f, "", w) for f, w in self.coefficients.items()]
         rows.append(("intercept", "", "", float(self.lr.intercept)))
-        return small_table(spark, rows, "kind string, feature string, bin string, value double")
+        bins = self.woe.table.select(F.lit("woe").alias("kind"), "feature", "bin", F.col("woe").alias("value"))
+        return small_table(spark, rows, "kind string, feature string, bin string, value double").unionByName(bins)
 
 
 # --- families ---------------------------------------------------------------------------
@@ -231,18 +231,18 @@ class CalibratedModel:
 
 def calibrate(df: DataFrame, key: str, label: str, model_type: str, hyperparams: Mapping[str, Any],
               features: Sequence[str], method: str = "isotonic", k: int = 3, seed: int = 42,
-              score_decimals: int = 6) -> CalibratedModel:
+              score_decimals: int | None = None) -> CalibratedModel:
     """For each fold: base model on the other folds, calibrator on the fold.
 
-    The fold's scores are first summed per score value (``score_decimals`` digits), which bounds the rows
-    the calibrator merges by 10^digits, whatever the table size.
+    The fold's rows are first summed per score value. ``score_decimals`` rounds the scores before that, which
+    bounds the rows the calibrator merges by 10^digits but changes it a little; by default nothing is rounded.
     """
     folded = stratified_folds(df, key, label, k, seed, "__fold")
     members = []
     for f in range(k):
         base = build_estimator(model_type, hyperparams, features, label, WEIGHT, seed).fit(folded.where(F.col("__fold") != f))
         held = probability(base, folded.where(F.col("__fold") == f), "__p")
-        sums = held.groupBy(F.round("__p", score_decimals).alias("__p"), col(label).cast("double").alias("__y")).agg(
+        sums = held.groupBy((F.col("__p") if score_decimals is None else F.round("__p", score_decimals)).alias("__p"), col(label).cast("double").alias("__y")).agg(
             F.count("*").cast("double").alias("__w"))
         if method == "isotonic":
             points = sums.groupBy("__p").agg(
@@ -305,7 +305,10 @@ def _cv_scores(data: DataFrame, label: str, features: Sequence[str], model_type:
 
 def grid_search(df: DataFrame, key: str, label: str, features: Sequence[str], grids: Mapping[str, Mapping[str, Sequence]],
                 folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """Every combination of every family; a later one wins only with a strictly higher score."""
+    """Every combination of every family; a later one wins only with a strictly higher score.
+
+    At most ``max_rows`` labelled rows, drawn by class, are fitted on (None: all).
+    """
     data = _cv_data(df, key, label, folds, seed, max_rows)
     best: dict = {}
     trials = []
@@ -338,7 +341,10 @@ def draw_params(rng: random.Random, space: Mapping[str, tuple]) -> dict[str, Any
 def random_search(df: DataFrame, key: str, label: str, features: Sequence[str], n_trials: int = 40,
                   families: Sequence[str] = tuple(FAMILIES), spaces: Mapping[str, Mapping[str, tuple]] = SEARCH_SPACES,
                   folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """A seeded budget of random trials over the families' spaces."""
+    """A seeded budget of random trials over the families' spaces.
+
+    At most ``max_rows`` labelled rows, drawn by class, are fitted on (None: all).
+    """
     data = _cv_data(df, key, label, folds, seed, max_rows)
     rng = random.Random(seed)
     best: dict = {}

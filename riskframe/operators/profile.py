@@ -165,26 +165,23 @@ def boxplot_by_class(df: DataFrame, column: str, by: str, classes: Sequence, cli
     return small_table(df.sparkSession, rows, "class string, low double, q25 double, median double, q75 double, high double")
 
 
-def profile_domain(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], limit: int = 200) -> DataFrame:
-    """Range of numbers, sorted values of categories with at most ``limit`` levels, nulls of both."""
+def profile_levels(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """``column_name, value, n``: every level of every category, in long form."""
+    return value_counts(df, categorical)
+
+
+def profile_domain(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Range of numbers, number of levels of categories, nulls of both; ``profile_levels`` lists the levels."""
     nulls = missing_counts(df, [*numeric, *categorical])
     parts = []
     if numeric:
         parts.append(spread(df, list(numeric), {
             "min_value": lambda c: F.min(value_of(df, c).cast("double")),
             "max_value": lambda c: F.max(value_of(df, c).cast("double")),
-        }, name="column_name").select("column_name", "min_value", "max_value", F.lit(None).cast("long").alias("n_levels"),
-                                      F.lit(None).cast("string").alias("levels")))
+        }, name="column_name").select("column_name", "min_value", "max_value", F.lit(None).cast("long").alias("n_levels")))
     if categorical:
-        counts = value_counts(df, categorical)
-        size = counts.groupBy("column_name").agg(F.count("*").alias("n_levels"))
-        w = Window.partitionBy("column_name").orderBy("value")
-        # a per-task top-n keeps at most limit + 1 levels per column
-        few = (counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
-               .groupBy("column_name").agg(F.array_join(F.sort_array(F.collect_list("value")), ",").alias("levels")))
-        parts.append(size.join(few, "column_name").select(
-            "column_name", F.lit(None).cast("double").alias("min_value"), F.lit(None).cast("double").alias("max_value"),
-            "n_levels", F.when(F.col("n_levels") <= limit, F.col("levels")).alias("levels")))
+        parts.append(profile_levels(df, categorical).groupBy("column_name").agg(F.count("*").alias("n_levels")).select(
+            "column_name", F.lit(None).cast("double").alias("min_value"), F.lit(None).cast("double").alias("max_value"), "n_levels"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -179,20 +179,27 @@ def violation_samples(df: DataFrame, rules: Sequence[Rule], fold: bool = False,
             .groupBy("rule").agg(F.sort_array(F.collect_list("v")).alias("sample")))
 
 
-def distinct_samples(df: DataFrame, rules: Sequence[Rule], fold: bool = False, n: int = SAMPLE_ROWS) -> DataFrame:
-    """``rule, n_distinct, n_outside, seen``: what a set rule found in its column."""
+def observed_values(df: DataFrame, rules: Sequence[Rule], fold: bool = False) -> DataFrame:
+    """``rule, value, n, allowed``: every value that the column of a set rule holds."""
     have = set(df.columns)
     use = [r for r in rules if r.kind == DISTINCT_IN_SET and r.column in have]
     items = [F.struct(F.lit(r.id).alias("rule"), _tested(df, r, fold).cast("string").alias("v"),
                       violation(df, r, fold).alias("bad")) for r in use]
     if not items:
-        return small_table(df.sparkSession, [], "rule string, n_distinct long, n_outside long, seen array<string>")
-    values = df.select(F.inline(F.array(*items))).where("v is not null").groupBy("rule", "v", "bad").count()
-    w = Window.partitionBy("rule").orderBy(F.col("bad").desc(), "v")
-    first = (values.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
-             .groupBy("rule").agg(F.sort_array(F.collect_list("v")).alias("seen")))
-    totals = values.groupBy("rule").agg(F.count("*").alias("n_distinct"), F.count_if("bad").alias("n_outside"))
-    return totals.join(first, "rule")
+        return small_table(df.sparkSession, [], "rule string, value string, n long, allowed boolean")
+    return (df.select(F.inline(F.array(*items))).where("v is not null")
+            .groupBy("rule", F.col("v").alias("value"), (~F.col("bad")).alias("allowed")).agg(F.count("*").alias("n"))
+            .select("rule", "value", "n", "allowed"))
+
+
+def distinct_samples(df: DataFrame, rules: Sequence[Rule], fold: bool = False) -> DataFrame:
+    """``rule, n_distinct, n_outside, seen``: what a set rule found in its column, all values included.
+
+    A set rule is meant for columns of few values; ``observed_values`` lists those of any column in long form.
+    """
+    return observed_values(df, rules, fold).groupBy("rule").agg(
+        F.count("*").alias("n_distinct"), F.count_if(~F.col("allowed")).alias("n_outside"),
+        F.sort_array(F.collect_list("value")).alias("seen"))
 
 
 def rule_table(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -229,16 +236,19 @@ class QualityGateError(ValueError):
     """Raised when a report holds failed rules."""
 
 
-def quality_gate(df: DataFrame, report: DataFrame, report_path: str | None = None, shown: int = 50) -> DataFrame:
-    """The table itself when every rule passed. The report is written before the verdict."""
+def quality_gate(df: DataFrame, report: DataFrame, report_path: str | None = None) -> DataFrame:
+    """The table itself when every rule passed, else an error that lists all failures.
+
+    The report is written before the verdict; it has one row per rule.
+    """
     if report_path:
         report.write.mode("overwrite").parquet(report_path)
         report = report.sparkSession.read.parquet(report_path)
     failed = report.where(~F.col("success"))
-    rows = failed.limit(shown).collect()
+    rows = failed.collect()
     if rows:
         lines = "\n".join(f"{r.expectation_type}({r.column}): {r.unexpected_count}" for r in rows)
-        raise QualityGateError(f"{failed.count()} quality rule(s) failed:\n{lines}")
+        raise QualityGateError(f"{len(rows)} quality rule(s) failed:\n{lines}")
     return df
 
 

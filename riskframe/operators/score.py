@@ -62,15 +62,15 @@ def batch_summary(scored: DataFrame) -> DataFrame:
 def raw_to_features(df: DataFrame, art: clean.CleaningArtifact, cfg: clean.CleaningConfig,
                     build: Callable[[DataFrame], DataFrame], binary: Mapping[str, Mapping[str, int]],
                     onehot: Mapping[str, tuple[str, str]], target_encoded: Mapping[str, DataFrame | None],
-                    model_columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+                    model_columns: Sequence[str], keep: Sequence[str] = (), priors: Mapping[str, float] | None = None) -> DataFrame:
     """Raw rows -> model columns plus ``fallback_features``: one projection and a look-up per fitted map.
 
     ``build`` adds the stateless features. ``target_encoded`` maps an output ``{source}_TE`` to its fitted
-    ``category, encoding`` table, or to None for the constant fallback.
+    ``category, encoding`` table, or to None for the constant fallback. Maps are looked up with the cleaned value, as
+    they are fitted in training; a category that a map lacks takes its entry of ``priors`` (default: the constant).
     One-hot rules read the raw value; model columns nobody produced become 0.0 and are reported.
     """
     raw = {src: f"__raw_{src}" for src, _ in onehot.values() if src in df.columns}
-    raw |= {te[:-3]: f"__raw_{te[:-3]}" for te, m in target_encoded.items() if m is not None and te.endswith("_TE") and te[:-3] in df.columns}
     tmp = df.select("*", *[col(c).alias(n) for c, n in raw.items()])
     out = clean.apply_cleaning(tmp, art, cfg)
     out = encode.binary_map(build(out), binary)
@@ -79,11 +79,11 @@ def raw_to_features(df: DataFrame, art: clean.CleaningArtifact, cfg: clean.Clean
     for name, (src, value) in onehot.items():
         extra[name] = flag(F.col(raw[src]) == F.lit(value)) if src in raw else F.lit(0)
     for name, fitted in target_encoded.items():
-        src = raw.get(name[:-3])
-        if fitted is not None and src:
+        src = name[:-3]
+        if fitted is not None and src in out.columns:
             m = lookup_side(fitted.select(F.col("category").alias("__cat"), F.col("encoding").alias("__enc")), "encoding")
-            out = out.join(m, F.col(src) == F.col("__cat"), "left").withColumn(
-                name, F.coalesce("__enc", F.lit(TARGET_RATE_FALLBACK))).drop("__cat", "__enc")
+            out = out.join(m, col(src).cast("string") == F.col("__cat").cast("string"), "left").withColumn(
+                name, F.coalesce("__enc", F.lit((priors or {}).get(name, TARGET_RATE_FALLBACK)))).drop("__cat", "__enc")
         else:
             extra[name] = F.lit(TARGET_RATE_FALLBACK)
             fallback.append(name)

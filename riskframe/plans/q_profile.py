@@ -9,7 +9,7 @@ from riskframe.operators.correlate import corr_matrix, strong_pairs
 from riskframe.plans.q_select import TARGET_CORR, _P
 from riskframe.plans.registry import query
 from riskframe.plans.settings import APP_NUMERIC, APP_TEXT, SENTINEL
-from riskframe.plans.views import staged, view
+from riskframe.plans.views import staged, table, view
 from riskframe.sources.staging import fresh_path
 from riskframe.sources.tables import write_record
 
@@ -111,13 +111,19 @@ def profile_boxplot(spark, sf):
     return p.boxplot_by_class(staged(spark, sf, "v_app"), "amt_b", "target", [0, 1])
 
 
-@query("profile_domain", union([f"SELECT '{c}' AS column_name, min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, NULL::BIGINT AS n_levels, NULL AS levels, count_if({c} IS NULL)::BIGINT AS null_count FROM v_app" for c in ("amt_b", "days_emp")]
-       + [f"SELECT '{c}', NULL, NULL, count(DISTINCT {c}), (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c}::VARCHAR AS v FROM v_app WHERE {c} IS NOT NULL)), count_if({c} IS NULL)::BIGINT FROM v_app" for c in ("segment", "nation", "near_const")]),
+@query("profile_domain", union([f"SELECT '{c}' AS column_name, min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value, NULL::BIGINT AS n_levels, count_if({c} IS NULL)::BIGINT AS null_count FROM v_app" for c in ("amt_b", "days_emp")]
+       + [f"SELECT '{c}', NULL, NULL, count(DISTINCT {c}), count_if({c} IS NULL)::BIGINT FROM v_app" for c in ("segment", "nation", "near_const")]),
        ["v_app"], doubles="min_value max_value")
 def profile_domain(spark, sf):
     return p.profile_domain(view(spark, sf, "v_app"), ["amt_b", "days_emp"], ["segment", "nation", "near_const"])
 
 
+@query("profile_levels", union([f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM customer WHERE {c} IS NOT NULL GROUP BY {c}"
+                                for c in ("c_name", "c_mktsegment", "c_nationkey")]))
+def profile_levels(spark, sf):
+    return p.profile_levels(table(spark, sf, "customer"), ["c_name", "c_mktsegment", "c_nationkey"])
+
+
 @query("profile_duplicates", """
 SELECT 'v_hist.child_id' AS key_name, count(child_id) - count(DISTINCT child_id) AS duplicated_rows, count_if(child_id IS NULL)::BIGINT AS null_keys FROM v_hist
 UNION ALL SELECT 'v_app.nation', count(nation) - count(DISTINCT nation), count_if(nation IS NULL)::BIGINT FROM v_app""", ["v_hist", "v_app"])

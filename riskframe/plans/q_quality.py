@@ -138,6 +138,16 @@ def dq_report(spark, sf):
     return q.quality_report(view(spark, sf, "v_app"), APP_RULES)
 
 
+@query("dq_observed_values", """
+SELECT 'nations' AS rule, upper(nation) AS value, count(*) AS n, upper(nation) IN ('FRANCE', 'GERMANY', 'JAPAN') AS allowed FROM v_app WHERE nation IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'segments', upper(segment), count(*), TRUE FROM v_app WHERE segment IS NOT NULL GROUP BY 2""", ["v_app"])
+def dq_observed_values(spark, sf):
+    rules = [q.distinct_in_set("nation", ["FRANCE", "GERMANY", "JAPAN"]), q.distinct_in_set("segment", SEGMENTS)]
+    names = {r.id: n for r, n in zip(rules, ("nations", "segments"))}
+    found = q.observed_values(view(spark, sf, "v_app"), rules, fold=True)
+    return found.withColumn("rule", F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("rule")))
+
+
 @query("dq_gate", "SELECT id, target, cnt_a, segment FROM v_app", ["v_app"])
 def dq_gate(spark, sf):
     app = view(spark, sf, "v_app")

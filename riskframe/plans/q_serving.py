@@ -30,18 +30,20 @@ def serving(spark, sf):
     app = staged(spark, sf, "v_app")
     train = app.where(TRAIN)
     art = clean.fit_cleaning(train, CLEANING)
-    nation = stage(encode.target_map(train, "nation", "target"), "te")
+    prior = encode.target_mean(train, "target")
+    cleaned = clean.apply_cleaning(train, art, CLEANING)  # maps are fitted on the column that the model sees
+    nation = stage(encode.target_map(cleaned, "nation", "target", prior=prior), "te")
     project = functools.partial(sc.raw_to_features, art=art, cfg=CLEANING, build=stateless, binary=BINARY, onehot=REGION_RULES,
-                                target_encoded={"nation_TE": nation, "region_TE": None}, model_columns=MODEL_COLUMNS, keep=["id"])
+                                target_encoded={"nation_TE": nation, "region_TE": None}, model_columns=MODEL_COLUMNS, keep=["id"], priors={"nation_TE": prior})
     return app, project
 
 
 FEATS = CLEANED + f""", g AS (SELECT avg(target) AS g FROM v_app WHERE {TRAIN}),
-te AS (SELECT nation AS c, (sum(target) + 10 * any_value(g.g)) / (count(*) + 10) AS enc FROM v_app, g WHERE ({TRAIN}) AND nation IS NOT NULL GROUP BY nation),
+te AS (SELECT nation AS c, (sum(target) + 10 * any_value(g.g)) / (count(*) + 10) AS enc FROM clean, g WHERE ({TRAIN}) AND nation IS NOT NULL GROUP BY nation),
 feats AS (SELECT clean.id, clean.cnt_a, clean.amt_a, clean.amt_b, clean.amt_b / CASE WHEN clean.amt_a < 1 THEN 1 ELSE clean.amt_a END AS size_ratio, -clean.days_emp / 365.25::DOUBLE AS employed_years,
  CASE clean.flag_yn WHEN 'N' THEN 0 WHEN 'Y' THEN 1 END AS flag_yn, coalesce(raw.region = 'ASIA', FALSE)::INT AS "region_ASIA", coalesce(raw.region = 'EUROPE', FALSE)::INT AS "region_EUROPE",
- coalesce(raw.segment = 'BUILDING', FALSE)::INT AS "segment_BUILDING", 0 AS "other_X", coalesce(te.enc, 0.0807) AS "nation_TE", 0.0807 AS "region_TE", 0.0 AS never_built
- FROM clean JOIN v_app raw ON raw.id = clean.id LEFT JOIN te ON te.c = raw.nation)"""
+ coalesce(raw.segment = 'BUILDING', FALSE)::INT AS "segment_BUILDING", 0 AS "other_X", coalesce(te.enc, (SELECT g FROM g)) AS "nation_TE", 0.0807 AS "region_TE", 0.0 AS never_built
+ FROM clean JOIN v_app raw ON raw.id = clean.id LEFT JOIN te ON te.c = clean.nation)"""
 SCORE = "1 / (1 + exp(-(-1 + 0.05::DOUBLE * cnt_a - 0.000004::DOUBLE * amt_b + 2::DOUBLE * \"nation_TE\")))"
 SERVE_WEIGHTS = {"cnt_a": 0.05, "amt_b": -0.000004, "nation_TE": 2.0}
 FALLBACK = "'region_TE,never_built'"

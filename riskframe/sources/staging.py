@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 
@@ -42,15 +42,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-MAX_BROADCAST_ROWS = 500_000
-
-
 def lookup_side(df: DataFrame, name: str = "lookup") -> DataFrame:
     """A narrow look-up table (key, one value) ready to be joined to a large table.
 
-    It is written first, so its row count is known: up to MAX_BROADCAST_ROWS it is broadcast and the
-    large side does not move; beyond that the plain table is returned and the join shuffles, with AQE
-    splitting skewed keys.
+    It is written first, so Spark knows its size in bytes: up to spark.sql.autoBroadcastJoinThreshold it is
+    broadcast and the large side does not move; beyond that the join shuffles, with AQE splitting skewed keys.
     """
-    written = stage(df, name)
-    return F.broadcast(written) if written.count() <= MAX_BROADCAST_ROWS else written
+    return stage(df, name)

@@ -21,7 +21,7 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: s
     return reader.parquet(folder)
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", timeout: int | None = 600) -> DataFrame:
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", timeout: int | None = None) -> DataFrame:
     """Processes everything available into Parquet (exactly once per checkpoint) and reads it back."""
     query = (stream.writeStream.format("parquet").outputMode(mode).option("path", path)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -36,12 +36,13 @@ def finish(query, timeout: int | None) -> None:
         raise TimeoutError(f"stream did not finish within {timeout} s")
 
 
-def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataFrame:
+def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+                 timeout: int | None = None) -> DataFrame:
     """The batch scoring projection applied to a stream."""
-    return run_to_table(score(stream), path, checkpoint)
+    return run_to_table(score(stream), path, checkpoint, timeout=timeout)
 
 
-def run_latest(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = 600) -> DataFrame:
+def run_latest(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Complete-mode aggregates: every trigger overwrites the table with the current result."""
     query = (stream.writeStream.outputMode("complete")
              .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
@@ -84,7 +85,7 @@ def window_psi(counts: DataFrame, reference_bins: DataFrame) -> DataFrame:
 
 
 def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str, bad_path: str, checkpoint: str,
-                      timeout: int | None = 600) -> tuple[DataFrame, DataFrame]:
+                      timeout: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Splits every micro-batch into valid and offending rows.
 
     Each batch overwrites its own folder, so a replayed batch leaves no duplicates.

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import clean, encode, features, relate, select
+from riskframe.operators import clean, encode, features, model, relate, select
 
 CFG = clean.CleaningConfig(
     id_columns=("id",), target="y", sentinels=(("days", "days_anom", 365243),), zero_fill=("cnt",), constant_fill={"job": "Unknown"},
@@ -106,6 +106,19 @@ def test_many_levels_are_joined(woe_data):
     out = encode.woe_apply(woe_data, model)
     assert out.count() == 400 and out.where("many_WOE is null").count() == 0
     assert out.select("many_WOE").distinct().count() > 1
+    assert set(model.table.select("feature").distinct().toPandas().feature) == {"many", "cat"}
+
+
+def test_stored_scorecard_holds_wide_features(spark, woe_data):
+    fitted = model.WoeScorecard(["many", "cat"], "y", max_iter=5).fit(woe_data)
+    stored = fitted.table(spark).where("kind = 'woe'").toPandas()
+    assert (stored.feature == "many").sum() == woe_data.select("many").distinct().count() > encode.MAX_CASE_BINS
+
+
+def test_dates_with_many_levels_are_joined(spark, woe_data):
+    dated = woe_data.selectExpr("y", "date_add(DATE '2020-01-01', cast(monotonically_increasing_id() % 400 as int)) AS day")
+    fitted = encode.fit_woe(dated, "y", ["day"])
+    assert fitted.wide == ["day"] and encode.woe_apply(dated, fitted).where("day_WOE is null").count() == 0
 
 
 def test_out_of_fold_encoding(spark):
