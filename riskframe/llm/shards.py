@@ -2,7 +2,7 @@
 
 Rows that share a key are linked. Every row starts in a shard given by its number; in each round a join brings
 each linked row the counts of its neighbours per shard, the row asks for the shard that holds most of them
-(one of the first ``m`` shards when its group needs ``m`` shards to fit), and the requests between two
+(one of the first ``m`` shards when its group needs ``m`` shards to fit; every other round of those with room), and the requests between two
 shards are granted up to a quota: as many as ask for the way back, plus the target's room. Rows without
 links have no wish and fill what is left. A last pass numbers the rows of each shard by prefix sums and
 moves the rows beyond a shard's capacity, unlinked ones first, to shards with room, so that counts differ by
@@ -40,7 +40,7 @@ def capacities(n: int, shards: int) -> list[int]:
     return [n // shards + (s < n % shards) for s in range(shards)]
 
 
-def quotas(wants: dict[tuple[int, int], int], linked: list[int], caps: list[int]) -> dict[tuple[int, int], float]:
+def quotas(wants: dict[tuple[int, int], int], linked: list[float], caps: list[int]) -> dict[tuple[int, int], float]:
     """The share of each pair's requests that is granted."""
     swaps = {(a, b): min(w, wants.get((b, a), 0)) for (a, b), w in wants.items()}
     more = [0] * len(caps)
@@ -65,6 +65,7 @@ def propagate(links: DataFrame, n: int, shards: int, rounds: int) -> DataFrame:
     salted, hot = _salted(links, n)
     salted = stage(salted, "links")
     state = stage(links.select("rid").distinct().withColumn("shard", F.pmod("rid", F.lit(shards)).cast("int")), "labels")
+    linked: list[float] = []
     for turn in range(rounds):
         counts = (salted.join(state, "rid").groupBy("key", "shard").agg(F.count("*").alias("n"))
                   .groupBy("key").agg(F.collect_list(F.struct("shard", "n")).alias("held"))
@@ -77,19 +78,26 @@ def propagate(links: DataFrame, n: int, shards: int, rounds: int) -> DataFrame:
                                      F.collect_list(F.struct("n", "shard")).alias("held")))
         by_weight = F.reverse(F.array_sort(F.transform("held", lambda h: F.struct(
             h["n"].alias("n"), F.xxhash64("key", h["shard"]).alias("tie"), h["shard"].alias("shard")))))
-        goals = F.transform(F.slice("sorted", 1, F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(most))).cast("int")), lambda h: h["shard"])
-        wish = (tally.withColumn("sorted", by_weight).select("rid", goals.alias("goals")).join(state, "rid")
-                .select("rid", "shard", F.when(F.array_contains("goals", F.col("shard")), F.col("shard")).otherwise(
-                    F.get("goals", F.pmod(F.xxhash64("rid", F.lit(turn)), F.size("goals")).cast("int"))).alias("goal")))
+        first = lambda c: F.slice(c, 1, F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(most))).cast("int"))
+        ranked = F.transform(by_weight, lambda h: h["shard"])
+        # every other round full shards are left out, so that a group which finds no room goes on to its next best shard
+        full = [s for s in range(shards) if turn % 2 and linked and linked[s] >= 0.98 * caps[s]]
+        free = F.filter("sorted", lambda s: ~s.isin(full)) if full and len(full) < shards else F.col("sorted")
+        wish = (tally.select("rid", "total", ranked.alias("sorted")).withColumn("goals", first(free)).join(state, "rid")
+                .withColumn("goal", F.get("goals", F.pmod(F.xxhash64("rid", F.lit(turn)), F.greatest(F.size("goals"), F.lit(1))).cast("int")))
+                .select("rid", "shard", F.when(F.array_contains(first("sorted"), F.col("shard")) | F.col("goal").isNull() | (
+                    F.array_position("sorted", F.col("shard")) <= F.array_position("sorted", F.col("goal"))), F.col("shard"))
+                    .otherwise(F.col("goal")).alias("goal")))
         wish = stage(wish, "wishes")
         asked = wish.groupBy("shard", "goal").agg(F.count("*").alias("n")).collect()  # at most shards * shards rows
         wants = {(r["shard"], r["goal"]): r["n"] for r in asked if r["shard"] != r["goal"]}
-        if not wants:
+        if not wants and not full:
             break
         linked = [sum(r["n"] for r in asked if r["shard"] == s) for s in range(shards)]
         granted = quotas(wants, linked, caps)
-        if not any(granted.values()):
-            break
+        for (a, b), w in wants.items():  # as it will be after the moves
+            linked[a] -= w * granted[a, b]
+            linked[b] += w * granted[a, b]
         share = _number(F.col("shard") * shards + F.col("goal"), [granted.get((a, b), 0.0) for a in range(shards) for b in range(shards)])
         state = stage(wish.select("rid", F.when(_unit(F.col("rid"), F.lit(turn + 1000)) < share, F.col("goal")).otherwise(
             F.col("shard")).alias("shard")), "labels")
@@ -133,7 +141,7 @@ def even(rows: DataFrame, n: int, shards: int, order: Sequence[str]) -> DataFram
     return placed.select(*[c for c in rows.columns if c != "shard"], shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
 
-def balanced_shards(docs: DataFrame, key: Column, shards: int = 24, rounds: int = 5, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def balanced_shards(docs: DataFrame, key: Column, shards: int = 24, rounds: int = 10, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, key, shard and slot; rows with equal keys are linked."""
     base = stage(docs.select(*[docs[c] for c in keep], key.alias("key")).withColumn("rid", F.monotonically_increasing_id()), "rows")
     n = base.count()
