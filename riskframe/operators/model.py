@@ -11,16 +11,17 @@ import json
 import math
 import random
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.functions.frames import small_table, value_of
@@ -271,12 +272,43 @@ def train_final(df: DataFrame, key: str, label: str, best: Mapping[str, Any], fe
     return build_estimator(kind, params, features, label, WEIGHT, seed).fit(weighted)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def save_model(model: Model | CalibratedModel, path: str, spark: SparkSession) -> None:
+    """Stores a pipeline, a scorecard or a calibrated model as tables and MLlib folders under ``path``."""
+    record: dict[str, Any]
+    if isinstance(model, CalibratedModel):
+        record = {"kind": "calibrated", "method": model.method, "members": len(model.members)}
+        record["lines"] = [c for _, c in model.members] if model.method == "sigmoid" else []
+        for i, (base, calibrator) in enumerate(model.members):
+            save_model(base, f"{path}/member_{i}", spark)
+            if model.method == "isotonic":
+                calibrator.write().overwrite().save(f"{path}/calibrator_{i}")
+    elif isinstance(model, WoeScorecardModel):
+        woe = model.woe
+        record = {"kind": "scorecard", "edges": woe.edges, "categorical": woe.categorical, "wide": woe.wide, "scaler": model.scaler}
+        woe.table.select("feature", "bin", "woe").write.mode("overwrite").parquet(f"{path}/bins")
+        model.lr.write().overwrite().save(f"{path}/regression")
+    else:
+        record = {"kind": "pipeline"}
+        model.write().overwrite().save(f"{path}/pipeline")
+    small_table(spark, [(json.dumps(record),)], "record string").write.mode("overwrite").parquet(f"{path}/record")
+
+
+def load_model(path: str, spark: SparkSession) -> Model | CalibratedModel:
+    """What ``save_model`` stored."""
+    record = json.loads(spark.read.parquet(f"{path}/record").first().record)
+    if record["kind"] == "calibrated":
+        bases = [load_model(f"{path}/member_{i}", spark) for i in range(record["members"])]
+        if record["method"] == "sigmoid":
+            return CalibratedModel([(b, tuple(line)) for b, line in zip(bases, record["lines"])], "sigmoid")
+        return CalibratedModel([(b, IsotonicRegressionModel.load(f"{path}/calibrator_{i}")) for i, b in enumerate(bases)], "isotonic")
+    if record["kind"] == "scorecard":
+        bins = spark.read.parquet(f"{path}/bins")
+        woe = WoeModel(record["edges"], record["categorical"], {}, record["wide"], bins)
+        for r in bins.where(~F.col("feature").isin(woe.wide)).collect():  # few bins per feature
+            woe.woe.setdefault(r.feature, {})[r.bin] = r.woe
+        scaler = {f: tuple(v) for f, v in record["scaler"].items()}
+        return WoeScorecardModel(woe, scaler, LogisticRegressionModel.load(f"{path}/regression"))
+    return PipelineModel.load(f"{path}/pipeline")
 
 
 # --- search -------------------------------------------------------------------------------
@@ -290,17 +322,20 @@ def _cv_data(df: DataFrame, key: str, label: str, folds: int, seed: int, max_row
     return stage(with_weights(stratified_folds(data, key, label, folds, seed, "__fold"), label), "search")
 
 
-def _cv_scores(data: DataFrame, label: str, features: Sequence[str], model_type: str, candidates: Sequence[dict],
+def _cv_scores(data: DataFrame, label: str, features: Sequence[str], candidates: Sequence[tuple[str, dict]],
                folds: int, seed: int, parallelism: int) -> list[float]:
-    """Mean ROC-AUC over the folds per candidate."""
+    """Mean ROC-AUC over the folds per (family, settings): one fit per candidate and fold, several at a time."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
-    scores = []
-    for hp in candidates:
-        est = build_estimator(model_type, hp, features, label, WEIGHT, seed)
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                            numFolds=folds, foldCol="__fold", parallelism=parallelism)
-        scores.append(float(cv.fit(data).avgMetrics[0]))
-    return scores
+
+    def one(job: tuple[int, int]) -> float:
+        kind, hp = candidates[job[0]]
+        fitted = build_estimator(kind, hp, features, label, WEIGHT, seed).fit(data.where(F.col("__fold") != job[1]))
+        return float(ev.evaluate(fitted.transform(data.where(F.col("__fold") == job[1]))))
+
+    jobs = [(i, f) for i in range(len(candidates)) for f in range(folds)]
+    with ThreadPool(max(1, parallelism)) as pool:
+        found = pool.map(inheritable_thread_target(data.sparkSession)(one), jobs)
+    return [sum(found[i * folds:(i + 1) * folds]) / folds for i in range(len(candidates))]
 
 
 def grid_search(df: DataFrame, key: str, label: str, features: Sequence[str], grids: Mapping[str, Mapping[str, Sequence]],
@@ -312,13 +347,11 @@ def grid_search(df: DataFrame, key: str, label: str, features: Sequence[str], gr
     data = _cv_data(df, key, label, folds, seed, max_rows)
     best: dict = {}
     trials = []
-    for kind, grid in grids.items():
-        names = list(grid)
-        combos = [dict(zip(names, vals)) for vals in itertools.product(*grid.values())]
-        for hp, s in zip(combos, _cv_scores(data, label, features, kind, combos, folds, seed, parallelism)):
-            trials.append((len(trials), kind, json.dumps(hp, sort_keys=True), s, "grid"))
-            if not best or s > best["cv_score"]:
-                best = {**hp, "model_type": kind, "cv_score": s, "search_strategy": "grid"}
+    combos = [(kind, dict(zip(grid, vals))) for kind, grid in grids.items() for vals in itertools.product(*grid.values())]
+    for (kind, hp), s in zip(combos, _cv_scores(data, label, features, combos, folds, seed, parallelism)):
+        trials.append((len(trials), kind, json.dumps(hp, sort_keys=True), s, "grid"))
+        if not best or s > best["cv_score"]:
+            best = {**hp, "model_type": kind, "cv_score": s, "search_strategy": "grid"}
     return best, small_table(df.sparkSession, trials, TRIAL_SCHEMA)
 
 
@@ -349,10 +382,8 @@ def random_search(df: DataFrame, key: str, label: str, features: Sequence[str],
     rng = random.Random(seed)
     best: dict = {}
     trials = []
-    for t in range(n_trials):
-        kind = rng.choice(list(families))
-        hp = draw_params(rng, spaces[kind])
-        s = _cv_scores(data, label, features, kind, [hp], folds, seed, parallelism)[0]
+    drawn = [(kind, draw_params(rng, spaces[kind])) for kind in (rng.choice(list(families)) for _ in range(n_trials))]
+    for t, ((kind, hp), s) in enumerate(zip(drawn, _cv_scores(data, label, features, drawn, folds, seed, parallelism))):
         trials.append((t, kind, json.dumps(hp, sort_keys=True), s, "random"))
         if not best or s > best["cv_score"]:
             best = {**hp, "model_type": kind, "cv_score": s, "search_strategy": "random"}

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.frames import dtype_of, small_table, spread, value_of
 from riskframe.functions.scalars import add_all, col, flag, safe_div
+from riskframe.sources.staging import stage
 
 SAMPLE_ROWS = 20
 BETWEEN, IN_SET, DISTINCT_IN_SET, UNIQUE, NOT_NULL, ROW_COUNT, COLUMN_COUNT = (
@@ -321,6 +322,6 @@ def tag_violations(df: DataFrame, rules: Sequence[Rule], fold: bool = True) -> D
 
 def quarantine(df: DataFrame, rules: Sequence[Rule], fold: bool = True) -> tuple[DataFrame, DataFrame]:
     """(valid rows, offending rows with their broken rules)."""
-    tagged = tag_violations(df, rules, fold)
+    tagged = stage(tag_violations(df, rules, fold), "tagged")  # evaluated once for both sides
     return (tagged.where(F.size("broken_rules") == 0).drop("broken_rules"),
             tagged.where(F.size("broken_rules") > 0))

@@ -7,11 +7,12 @@ import json
 from pyspark.sql import functions as F
 
 from riskframe.functions.frames import small_table
-from riskframe.operators import evaluate as ev, explain as x, model as m
+from riskframe.operators import evaluate as ev, explain as x, model as m, score as sc
 from riskframe.operators.split import stratified_split
 from riskframe.plans.registry import query
 from riskframe.plans.settings import SEED
 from riskframe.plans.views import staged
+from riskframe.sources.staging import fresh_path
 
 FEATURES = ["days_emp", "cnt_a", "amt_a", "amt_b", "amt_c", "near_const"]
 
@@ -106,3 +107,16 @@ def explain_model_importance(spark, sf):
     train, _ = data(spark, sf)
     fitted = m.build_estimator(m.RANDOM_FOREST, {"n_estimators": 10, "max_depth": 4}, FEATURES, "target").fit(m.with_weights(train, "target"))
     return x.model_importance(fitted.stages[-1], FEATURES, spark)
+
+
+@query("predict_stored", "SELECT count(*)::BIGINT AS n_rows, count(DISTINCT id) AS n_ids, 0::BIGINT AS n_changed, 0::BIGINT AS n_class_wrong FROM v_app", ["v_app"])
+def predict_stored(spark, sf):
+    """Fit, store, load afresh, score every row: rows, ids, probabilities that changed by storing, classes off the threshold."""
+    train, _ = data(spark, sf)
+    best = {"model_type": m.RANDOM_FOREST, "n_estimators": 5, "max_depth": 3, "cv_score": 0.5, "search_strategy": "grid"}
+    fitted, path = m.train_final(train, "id", "target", best, FEATURES, calibration="isotonic"), fresh_path(spark, "model")
+    m.save_model(fitted, path, spark)
+    rows = m.prepare(staged(spark, sf, "v_app"), FEATURES, None, ["id"])
+    both = m.probability(m.load_model(path, spark), m.probability(fitted, rows, "p0"), "p1").withColumn("c", sc.decide(F.col("p1"), 0.1))
+    return both.agg(F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.count_if(F.col("p0") != F.col("p1")).alias("n_changed"),
+                    F.count_if(F.col("c") != (F.col("p1") >= 0.1).cast("int")).alias("n_class_wrong"))

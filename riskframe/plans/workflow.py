@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -9,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.functions.frames import numeric_columns, small_table, string_columns
-from riskframe.operators import clean, drift, encode, evaluate, model, quality, select, split
+from riskframe.operators import clean, drift, encode, evaluate, model, quality, score, select, split
 from riskframe.plans import credit
 from riskframe.sources import tables as t
 
@@ -97,6 +98,9 @@ def train(raw: DataFrame, unlabelled: DataFrame, root: str, cfg: Settings = Sett
     best = model.choose_best(grid, found)
     fitted = model.train_final(data["train"], key, label, best, kept, True, cfg.calibration, cfg.calibration_folds, cfg.seed)
 
+    model.save_model(fitted, t.layer_path(root, "06_models", "model"), spark)
+    t.write_record(small_table(spark, [(json.dumps(best, sort_keys=True),)], "record string"), t.layer_path(root, "06_models", "best"))
+
     scored = t.write_layer(model.probability(fitted, data["validation"]).select(key, label, "probability"), root, "07_model_output", "validation")
     halves = split.stratified_split(scored, key, label, 0.5, cfg.seed, ("report", "tune"), "half")
     chosen = t.write_record(
@@ -108,9 +112,23 @@ def train(raw: DataFrame, unlabelled: DataFrame, root: str, cfg: Settings = Sett
         evaluate.credit_panel(halves.where("half = 'report'"), "probability", label, threshold, "test_",
                               cfg.cost_false_negative, cfg.cost_false_positive),
         t.layer_path(root, "08_reporting", "metrics"))
+    if "unlabelled" in data:
+        predict(data["unlabelled"], root, key, "unlabelled")
     return {"model": fitted, "features": kept, "best": best, "threshold": threshold, "metrics": metrics, "cleaning": art, "inputs": data}
 
 
+def predict(features: DataFrame, root: str, key: str, name: str) -> DataFrame:
+    """Scores a table of model columns with the stored model and threshold; writes predictions and a serving record."""
+    spark = features.sparkSession
+    fitted = model.load_model(t.layer_path(root, "06_models", "model"), spark)
+    threshold = spark.read.schema("threshold double").json(t.layer_path(root, "08_reporting", "threshold")).first()["threshold"]
+    scored = model.probability(fitted, features).select(
+        key, "probability", score.decide(F.col("probability"), threshold).alias("predicted_class"), F.lit(float(threshold)).alias("threshold"))
+    scored = t.write_layer(scored, root, "07_model_output", f"predictions_{name}")
+    t.write_record(score.batch_summary(scored), t.layer_path(root, "08_reporting", f"serving_{name}"))
+    return scored
+
+
 def monitor(reference: DataFrame, current: DataFrame, root: str) -> DataFrame:
     """Drift table and alert of a scoring batch against the training features; returns the alert."""
     table = t.write_layer(drift.drift_table(reference, current, skip=[credit.ID, t.clean_name(credit.ID), t.clean_name(credit.TARGET)]),

@@ -91,10 +91,11 @@ def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str,
     Each batch overwrites its own folder, so a replayed batch leaves no duplicates.
     """
     def split(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag_violations(batch, rules)
+        tagged = tag_violations(batch, rules).persist()  # evaluated once for both sides
         ok = F.size("broken_rules") == 0
         tagged.where(ok).drop("broken_rules").write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
         tagged.where(~ok).write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
+        tagged.unpersist()
 
     query = (stream.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.operators import evaluate as ev, model as m, quality as q, score as sc
+from riskframe.operators import evaluate as ev, model, model as m, quality as q, score as sc
 from riskframe.plans import credit, workflow
 from riskframe.streaming import jobs
 
@@ -157,3 +157,34 @@ def test_replayed_quarantine_leaves_no_duplicates(spark, tmp_path):
     for chk in ("c1", "c2"):  # the second run starts without a checkpoint and replays batch 0
         good, bad = jobs.stream_quarantine(jobs.file_stream(spark, str(tmp_path / "in"), df.schema), *args, str(tmp_path / chk))
     assert (good.count(), bad.count()) == (40, 10)
+
+
+def test_models_are_stored_and_loaded(spark, tmp_path):
+    rows = [(i, i % 2, float(i % 7) + i % 2, f"v{i % 5}") for i in range(120)]
+    df = model.with_weights(spark.createDataFrame(rows, "id long, y int, a double, c string"), "y")
+    kinds = {"forest": model.calibrate(df, "id", "y", model.RANDOM_FOREST, {"n_estimators": 3, "max_depth": 2}, ["a"], "isotonic", 2),
+             "line": model.calibrate(df, "id", "y", model.RANDOM_FOREST, {"n_estimators": 3, "max_depth": 2}, ["a"], "sigmoid", 2),
+             "card": model.WoeScorecard(["a", "c"], "y", max_iter=20, max_levels=3).fit(df)}
+    for name, fitted in kinds.items():
+        model.save_model(fitted, f"{tmp_path}/{name}", spark)
+        again = model.load_model(f"{tmp_path}/{name}", spark)
+        both = model.probability(again, model.probability(fitted, df, "p0"), "p1")
+        assert both.where("p0 != p1 OR p0 IS NULL OR p1 IS NULL").count() == 0, name
+
+
+def test_search_fits_once_per_fold(spark, monkeypatch):
+    fits, build = [], model.build_estimator
+
+    class Counted:
+        def __init__(self, inner, hp):
+            self.inner, self.hp = inner, hp
+
+        def fit(self, df):
+            fits.append(self.hp["max_depth"])
+            return self.inner.fit(df)
+
+    monkeypatch.setattr(model, "build_estimator", lambda kind, hp, *a, **k: Counted(build(kind, hp, *a, **k), hp))
+    rows = [(i, i % 2, float(i % 7) + i % 2) for i in range(120)]
+    best, trials = model.grid_search(spark.createDataFrame(rows, "id long, y int, a double"), "id", "y", ["a"],
+                                     {model.RANDOM_FOREST: {"n_estimators": [2], "max_depth": [1, 2]}}, folds=3)
+    assert sorted(fits) == [1] * 3 + [2] * 3 and trials.count() == 2 and best["search_strategy"] == "grid"
