@@ -209,7 +209,7 @@ def top_values(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
             .select("column_name", "rank", "value", "n"))
 
 
-def profile_auto(df: DataFrame, top: int = 3, approx: bool = False) -> DataFrame:
+def profile_auto(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row per column: counts, nulls, distinct values, zeros, range, quartiles, most frequent value.
 
     Jobs: sketch and cells of the quantiles, then one plan with a wide aggregate and one value count.

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskframe.functions.hashing import hash_unit
 from riskframe.functions.scalars import col
+from riskframe.sources.staging import stage
 
 # fixed values: storage layers in processing order
 LAYERS = ("01_raw", "02_intermediate", "03_primary", "04_feature", "05_model_input", "06_models", "07_model_output",
@@ -92,11 +94,28 @@ def feature_rows(splits: Mapping[str, DataFrame], label: str, stamp: Column | No
     return out.withColumn("event_time", F.current_timestamp() if stamp is None else stamp)
 
 
-def append_features(rows: DataFrame, root: str, group: str, version: int) -> DataFrame:
-    """Appends to a feature group partitioned by version and split; returns rows per split."""
-    path = layer_path(root, "04_feature", group)
-    rows.withColumn("version", F.lit(int(version))).write.mode("append").partitionBy("version", "split").parquet(path)
-    return feature_view(rows.sparkSession, root, group, version).groupBy("split").agg(F.count("*").alias("n_rows"))
+def append_features(rows: DataFrame, root: str, group: str, version: int, key: str | None = None) -> DataFrame:
+    """Appends to a feature group partitioned by version and split; returns the rows appended per split.
+
+    With a primary ``key`` the rows replace stored rows of the version that have the same key, so a re-run
+    doubles nothing.
+    """
+    path = f"{layer_path(root, '04_feature', group)}/version={int(version)}"
+    new, mode = rows, "append"
+    if key is not None and (stored := _stored_version(rows.sparkSession, path)) is not None:
+        kept = stored.join(rows.select(col(key)).distinct(), key, "left_anti")
+        new, mode = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert"), "overwrite"
+    new.write.mode(mode).partitionBy("split").parquet(path)
+    return rows.groupBy("split").agg(F.count("*").alias("n_rows"))
+
+
+def _stored_version(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def feature_view(spark: SparkSession, root: str, group: str, version: int, split: str | None = None) -> DataFrame:

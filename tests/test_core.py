@@ -133,3 +133,15 @@ def test_correlation_is_pairwise_complete(odd_columns):
     assert narrow["normal", "const"] is None
     t = {r.feature: r.corr for r in target_corr(df, ["half", "const"], "label").collect()}
     assert t["half"] == pytest.approx(want.loc["half", "label"], abs=1e-10) and t["const"] is None
+
+
+def test_feature_rows_are_replaced_by_key(spark, tmp_path):
+    from riskframe.sources import tables as t
+    rows = spark.createDataFrame([(1, "train", 1.0), (2, "test", 2.0)], "id long, split string, x double")
+    t.append_features(rows, str(tmp_path), "g", 1, key="id")
+    again = spark.createDataFrame([(2, "train", 5.0), (3, "train", 3.0)], "id long, split string, x double")
+    assert {tuple(r) for r in t.append_features(again, str(tmp_path), "g", 1, key="id").collect()} == {("train", 2)}
+    found = {(r.id, r.split, r.x) for r in t.feature_view(spark, str(tmp_path), "g", 1).collect()}
+    assert found == {(1, "train", 1.0), (2, "train", 5.0), (3, "train", 3.0)}
+    t.append_features(rows, str(tmp_path), "g", 2)
+    assert t.feature_view(spark, str(tmp_path), "g", 2).count() == 2 and t.feature_view(spark, str(tmp_path), "g", 1).count() == 3
