@@ -62,7 +62,7 @@ def test_running_counts(spark, n_ranges):
     n = 3000
     score = np.where(rng.random(n) < 0.34, 0.5, np.round(rng.random(n), 3))  # a third of the rows share one score
     pdf = pd.DataFrame({"f": rng.choice(["a", "b"], n), "s": score, "y": rng.integers(0, 2, n)})
-    got = cumulative_by_score(spark.createDataFrame(pdf), "s", "y", "f", 2, n_ranges).toPandas()
+    got = cumulative_by_score(spark.createDataFrame(pdf), "s", "y", "f", n_ranges).toPandas()
     for f, part in pdf.groupby("f"):
         mine = got[got.feature == f].sort_values("score").reset_index(drop=True)
         want = part.groupby("s").y.agg(["sum", "count"]).reset_index()

