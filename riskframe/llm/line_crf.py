@@ -102,9 +102,8 @@ class LineCrf:
         z = self.slope * math.log(share / (1 - share)) + self.shift
         return 1 / (1 + math.exp(-min(max(z, -700.0), 700.0)))
 
-    def score_texts(self, texts: Sequence[str | None]) -> list[tuple[float, list[str], list[float]]]:
-        """Per text: score, lines, P(good) of each line."""
-        out: list[tuple[float, list[str], list[float]]] = []
+    def score_texts(self, texts: Sequence[str | None]) -> Iterator[tuple[float, list[str], list[float]]]:
+        """Per text: score, lines, P(good) of each line; few texts are held at a time."""
         for lo in range(0, len(texts), 200):
             docs = [lines_of(t) for t in texts[lo:lo + 200]]
             x = np.array([line_features(v) for d in docs for v in d])
@@ -115,9 +114,8 @@ class LineCrf:
             e, at = self.emissions(x, first).tolist(), 0
             for d in docs:
                 p = self.marginals(e[at:at + len(d)])
-                out.append((self.calibrated(self.share(d, p)), d, p))
+                yield self.calibrated(self.share(d, p)), d, p
                 at += len(d)
-        return out
 
 
 NEUTRAL = LineCrf(np.zeros((len(FEATURES), 3)), np.zeros(2), np.zeros((2, 2)))
