@@ -3,8 +3,10 @@
 Vectors get one component more, so that the largest inner product is the smallest distance. Centroids are
 fitted by balanced k-means on a bounded sample; every vector is then put on the list of its nearest centroid and,
 near a boundary, on further lists (up to ``COPIES`` in all, distance within ``CLOSURE`` of the nearest). Centroids are searched in memory through a neighbour graph, by tasks
-that hold both (their number is bounded). A query reads the lists whose centroid is within ``REACH`` times its
-nearest centroid's distance, ``LEAST`` to ``PROBES`` of them. Lists are joined with their queries block by block, so no task holds a
+that hold both (their number is bounded). A query reads its ``NEAREST`` lists and every other one whose centroid is within a
+distance ratio, counted from the last of these. The ratio is fitted: sampled queries are compared with all entries, and it is the
+least that finds ``TARGET`` of their true neighbours, plus two standard errors. The ``NEAREST`` lists are read first; from the others only entries come back that are not worse
+than the k + 1 best of these, so what a query brings back does not grow with the lists it reads. Lists are joined with their queries block by block, so no task holds a
 whole hot list. Equal vectors are one entry with their k + 1 smallest ids, which is all a query can need.
 
 Defined results: vectors that are null, zero, of another dimension than most, or hold null or non-finite components take no
@@ -27,9 +29,9 @@ MAX_LISTS = 4096
 LIST_SIZE = 64  # wanted entries per list
 COPIES = 4  # lists an entry stands on at most
 CLOSURE = 1.20
-REACH = 1.20
-PROBES = 128  # lists a query reads at most,
-LEAST = 96  # and at least
+NEAREST = 8  # lists every query reads; the distance of the last one is its unit
+TARGET = 0.92  # recall the reach of queries is fitted to,
+FITTED = 512  # on so many of them
 DEGREE = 24
 BLOCK = 2000  # entries and queries of a task's block
 
@@ -115,23 +117,68 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64)
 
 
-def _routed(rows: DataFrame, centroids, top: float, queries: bool) -> DataFrame:
-    """list, c of every row of (c, v): the lists an entry stands on, or those a query reads."""
+def ratios(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Every vector's distance to every centroid, divided by that to its NEAREST-th one."""
+    d = np.sqrt(np.maximum((q**2).sum(1)[:, None] + (c**2).sum(1) - 2 * q @ c.T, 0))
+    at = min(NEAREST, len(c)) - 1
+    return d / np.maximum(np.partition(d, at, axis=1)[:, at:at + 1], 1e-12)
+
+
+def fitted_reach(entries: DataFrame, asked: DataFrame, lists: DataFrame, cent: np.ndarray, k: int) -> float:
+    """The ratio within which sampled queries find the wanted share of their k true neighbours; 1 is the NEAREST lists alone."""
+    some = asked.orderBy(F.xxhash64("v"), "c").limit(FITTED).toArrow()
+    if not some.num_rows:
+        return 1.0
+    q = _matrix(some.column("v"))
+    held = entries.sparkSession.sparkContext.broadcast((some.column("c").to_numpy(), q))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, w = held.value
+        score, c = np.empty((len(w), 0)), np.empty((len(w), 0), dtype=np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BLOCK):
+                block = batch.slice(lo, BLOCK)
+                ids = np.tile(block.column("c").to_numpy(), (len(w), 1))
+                new = w @ _matrix(block.column("v")).T
+                new[ids == own[:, None]] = -np.inf
+                score, c = np.concatenate([score, new], 1), np.concatenate([c, ids], 1)
+                if score.shape[1] > k:
+                    best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                    score, c = np.take_along_axis(score, best, 1), np.take_along_axis(c, best, 1)
+        at, col = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(c[at, col]), pa.array(score[at, col])], names=["q", "c", "score"])
+
+    first = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    true = (entries.select("c", "v").mapInArrow(compare, "q int, c long, score double").withColumn("_n", F.row_number().over(first))
+            .where(F.col("_n") <= k).select("q", "c"))  # at most FITTED x k rows
+    on = lists.join(F.broadcast(true), "c").groupBy("q", "c").agg(F.collect_set("list").alias("on")).select("q", "on").collect()
+    if not on:
+        return 1.0
+    far = ratios(np.column_stack([q, np.zeros(len(q))]), cent)
+    need = np.sort([far[r["q"], r["on"]].min() for r in on])
+    share = min(1.0, TARGET + 2 * np.sqrt(TARGET * (1 - TARGET) / len(q)))
+    return max(1.0, float(need[int(np.ceil(share * len(need))) - 1]))
+
+
+def _routed(rows: DataFrame, centroids, top: float, reach: float | None = None) -> DataFrame:
+    """list, c, near of every row of (c, v): the lists an entry stands on, or those a query reads within its reach."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cent, graph = centroids.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 block = batch.slice(lo, 500)
                 v = _matrix(block.column("v"))
-                more = np.zeros(len(v)) if queries else np.sqrt(np.maximum(top - (v**2).sum(1), 0))
-                ids, dist = search(np.column_stack([v, more]), cent, graph, PROBES if queries else 4 * COPIES)
-                if queries:
-                    keep = (dist <= REACH * dist[:, :1]) | (np.arange(dist.shape[1]) < LEAST)
+                if reach is not None:
+                    far = ratios(np.column_stack([v, np.zeros(len(v))]), cent)
+                    at, to = np.nonzero(far <= reach * (1 + 1e-9))
+                    near = far[at, to] <= 1
                 else:
-                    keep = (dist <= CLOSURE * dist[:, :1] + 1e-12) & (np.arange(dist.shape[1]) < COPIES)
-                at, col = np.nonzero(keep)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at, col].astype(np.int32)), block.column("c").take(pa.array(at))], names=["list", "c"])
-    return rows.select("c", "v").mapInArrow(run, "list int, c long")
+                    ids, dist = search(np.column_stack([v, np.sqrt(np.maximum(top - (v**2).sum(1), 0))]), cent, graph, 4 * COPIES)
+                    at, col = np.nonzero((dist <= CLOSURE * dist[:, :1] + 1e-12) & (np.arange(dist.shape[1]) < COPIES))
+                    to, near = ids[at, col], np.ones(len(at), dtype=bool)
+                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), block.column("c").take(pa.array(at)), pa.array(near)],
+                                                 names=["list", "c", "near"])
+    return rows.select("c", "v").mapInArrow(run, "list int, c long, near boolean")
 
 
 def classes(rows: DataFrame, k: int) -> DataFrame:
@@ -163,20 +210,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
 
     asks = rows.where("asks").select("vec_id", "rid", "v")
     asked = stage(entries.join(asks.select("v").distinct(), "v", "left_semi").select("c", "v"), "asked")
-    lists = stage(_routed(entries, centroids, top, False), "lists")
-    reads = stage(_routed(asked, centroids, top, True), "reads")
+    lists = stage(_routed(entries, centroids, top), "lists")
+    reads = stage(_routed(asked, centroids, top, fitted_reach(entries, asked, lists, cent, k)), "reads")
     blocks = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias(name))
-    sizes = F.broadcast(stage(blocks(lists, "parts").join(blocks(reads, "turns"), "list"), "sizes"))  # a row per list: at most MAX_LISTS
     each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     own = lambda name: F.pmod(F.xxhash64("c"), F.col(name)).cast("int")
-    held = (lists.join(entries.select("c", "v", F.col("members")[0]["vec_id"].alias("first")), "c").join(sizes, "list")
-            .withColumn("part", own("parts")).withColumn("turn", each("turns")).select("list", "part", "turn", "c", "v", "first"))
-    wanted = (reads.join(asked, "c").join(sizes, "list").withColumn("turn", own("turns")).withColumn("part", each("parts"))
-              .select(F.col("list").alias("l"), F.col("part").alias("p"), F.col("turn").alias("t"), F.col("c").alias("q"), F.col("v").alias("w")))
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = _matrix(left.column("v")), _matrix(right.column("w"))
-        first, c, q = (t.column(n).to_numpy() for t, n in ((left, "first"), (left, "c"), (right, "q")))
+        first, c, q, least = (t.column(n).to_numpy() for t, n in ((left, "first"), (left, "c"), (right, "q"), (right, "least")))
         out_q, out_c, out_s, out_f = [], [], [], []
         for i, w in enumerate(b):
             rough = a @ w
@@ -186,6 +228,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
             if len(a) > k + 13 and (tie := np.flatnonzero(rough >= cut - 1e-9)).size > len(take):
                 take, exact = tie, (a[tie] * w).sum(axis=1)
             pick = np.lexsort((first[take], -exact))[:k + 1]
+            pick = pick[exact[pick] >= least[i]]
             out_q.append(np.full(len(pick), q[i]))
             out_c.append(c[take][pick])
             out_s.append(exact[pick])
@@ -194,9 +237,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
                         if out_q and len(a) else {"q": pa.array([], pa.int64()), "c": pa.array([], pa.int64()),
                                                   "score": pa.array([], pa.float64()), "first": pa.array([], pa.int64())})
 
-    found = held.groupBy("list", "part", "turn").cogroup(wanted.groupBy("l", "p", "t")).applyInArrow(best, "q long, c long, score double, first long")
     by_entry = Window.partitionBy("q").orderBy(F.desc("score"), "first", "c")
-    tops = found.distinct().withColumn("_n", F.row_number().over(by_entry)).where(F.col("_n") <= k + 1)
+
+    def compared(reads: DataFrame, asked: DataFrame, name: str) -> DataFrame:
+        """q, c, score, first: from every list a query reads, its k + 1 best entries that score ``least`` or more."""
+        sizes = F.broadcast(stage(blocks(lists, "parts").join(blocks(reads, "turns"), "list"), name))  # a row per list: at most MAX_LISTS
+        held = (lists.join(entries.select("c", "v", F.col("members")[0]["vec_id"].alias("first")), "c").join(sizes, "list")
+                .withColumn("part", own("parts")).withColumn("turn", each("turns")).select("list", "part", "turn", "c", "v", "first"))
+        wanted = (reads.join(asked, "c").join(sizes, "list").withColumn("turn", own("turns")).withColumn("part", each("parts"))
+                  .select(F.col("list").alias("l"), F.col("part").alias("p"), F.col("turn").alias("t"), F.col("c").alias("q"), F.col("v").alias("w"), "least"))
+        return held.groupBy("list", "part", "turn").cogroup(wanted.groupBy("l", "p", "t")).applyInArrow(best, "q long, c long, score double, first long")
+
+    def best_of(found: DataFrame) -> DataFrame:
+        return found.distinct().withColumn("_n", F.row_number().over(by_entry)).where(F.col("_n") <= k + 1).drop("_n")
+
+    none = F.lit(float("-inf"))
+    near = stage(best_of(compared(reads.where("near"), asked.withColumn("least", none), "near_sizes")), "near")
+    least = near.groupBy(F.col("q").alias("c")).agg(F.when(F.count("*") > k, F.min("score")).otherwise(none).alias("least"))
+    bound = stage(asked.join(least, "c", "left").withColumn("least", F.coalesce("least", none)), "bounds")
+    tops = best_of(near.unionByName(compared(reads.where(~F.col("near")), bound, "far_sizes")))
     by_row = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "rid")
     merged = (tops.join(entries.select("c", "members"), "c").select("q", "score", F.explode("members").alias("m")).select("q", "score", "m.*")
               .withColumn("_n", F.row_number().over(by_row)).where(F.col("_n") <= k + 1)

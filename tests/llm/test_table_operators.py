@@ -164,6 +164,25 @@ def test_search_reads_large_groups_in_blocks(spark, monkeypatch):
         assert [f["vec_id"] for f in r["f"]] == np.argsort(-s)[:3].tolist()
 
 
+def test_search_keeps_its_recall_with_many_lists(spark, monkeypatch):
+    monkeypatch.setattr(spann, "LIST_SIZE", 2)  # 2000 lists
+    x = np.random.default_rng(8).normal(size=(4000, 64))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    read, stage = [], spann.stage
+    monkeypatch.setattr(spann, "stage", lambda rows, name: (out := stage(rows, name), name == "reads" and read.append(out.count()))[0])
+    got = defaultdict(set)
+    for r in spann.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for i in range(0, 4000, 20):
+        s = x @ x[i]
+        s[i] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & got[i])
+    assert hits / (20 * 200) >= 0.9
+    assert read[0] < 0.2 * 200 * 2000
+
+
 CALLS = "conv_id long, turn long, pos int, call_id string, name string, arguments string"
 RESULTS = "conv_id long, turn long, pos int, call_id string, content string"
 SCHEMAS = {"add": {"a": ("integer", True), "b": ("number", True), "note": ("string", False)}}
