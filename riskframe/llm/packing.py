@@ -5,7 +5,7 @@ the partition before it. The partitions' totals (one row each) are summed up in
 document its place in the one long stream of ids. Second pass: the stored ids are cut at multiples of the
 window. No text or id is shuffled. Only the last sequence may be short.
 
-Defined results: a null text is empty and holds the end id alone. Repeated rows are packed as often as they
+Defined results: the strings of ``SPECIALS`` become their ids, as in the tokenizer file. A null text is empty and holds the end id alone. Repeated rows are packed as often as they
 occur. An empty table gives no pieces. Extra columns are ignored. Order is that of the partitions and rows read.
 """
 
@@ -27,6 +27,7 @@ from riskframe.sources.staging import stage
 
 WINDOW = 2048
 END_ID = 1
+SPECIALS = {"<|endoftext|>": 50256}  # the added tokens of the tokenizer file
 _ROWS = 256  # documents held as ids at a time
 _SLICE = 1 << 20  # characters tokenised at a time
 _SAFE_CUT = re.compile(r"\S(?= [^\W\d_])")  # no token spans the place before a blank between a sign and a letter
@@ -34,7 +35,7 @@ _SAFE_CUT = re.compile(r"\S(?= [^\W\d_])")  # no token spans the place before a
 
 @functools.lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> tiktoken.Encoding:
-    """Byte-level BPE from a rank file; special tokens' strings in a text are ordinary text."""
+    """Byte-level BPE from a rank file, without special tokens."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -53,8 +54,17 @@ def encode(text: str, bpe: tiktoken.Encoding) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+_SPECIAL = re.compile(f"({'|'.join(map(re.escape, SPECIALS))})")
+
+
+def token_ids(text: str, bpe: tiktoken.Encoding) -> np.ndarray:
+    """The ids of a text in which special tokens' strings stand for their ids."""
+    parts = [np.array([SPECIALS[t]], dtype="<u4") if t in SPECIALS else encode(t, bpe) for t in _SPECIAL.split(text)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 def _stored(bpe: tiktoken.Encoding) -> str:
-    return "<u2" if bpe.n_vocab <= 1 << 16 else "<u4"
+    return "<u2" if max(bpe.n_vocab - 1, *SPECIALS.values()) < 1 << 16 else "<u4"
 
 
 def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID, doc_id: str = "doc_id",
@@ -67,7 +77,7 @@ def tokenised(docs: DataFrame, path: str, pattern: str, end_id: int = END_ID, do
         for batch in batches:
             for lo in range(0, batch.num_rows, _ROWS):
                 block = batch.slice(lo, _ROWS)
-                ids = [np.append(encode(t or "", bpe), np.uint32(end_id)) for t in block.column("text").to_pylist()]
+                ids = [np.append(token_ids(t or "", bpe), np.uint32(end_id)) for t in block.column("text").to_pylist()]
                 n = np.array([len(x) for x in ids], dtype=np.int64)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())

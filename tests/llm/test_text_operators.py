@@ -158,6 +158,14 @@ def test_ids_are_those_of_the_tokenizer_file(tokenizer, monkeypatch):
         assert packing.encode(t, bpe).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_special_tokens_are_those_of_the_tokenizer_file(spark):
+    plain, end = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = dict(enumerate([f"one {end} two", f"{end}{end}", f"a {end}b\n{end}\n", f"x{end[:-1]} {end}", f"<{end}>  y", "none", "", None]))
+    rows = packing.pack(edge_docs(spark, list(texts.items())), q_packing.RANKS, public_tokenizers.PATTERN, window=4).collect()
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+    check_pieces(rows, texts, plain, 4)
+
+
 def check_pieces(rows, texts, tokenizer, window=2048):
     ids = {k: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for k, t in texts.items()}
     for r in rows:
