@@ -5,8 +5,8 @@ samples: random strings drawn from a seeded generator over the usual alphabets,
 words of a bounded sample of documents (``TRAIN_DOCS`` expected rows). A token is a secret when its
 log-likelihood ratio exceeds the prior odds against one (``PRIOR``).
 
-Defined results: a null text is empty and has no spans. Offsets are code points, ends exclusive. A token
-that touches a pattern's span adds no span of its own. Repeated rows give repeated results. Texts are
+Defined results: a null text is empty and has no spans. Offsets are code points, ends exclusive. Of a
+token that touches patterns' spans, each part outside them that is long enough for a token is scored by itself. Repeated rows give repeated results. Texts are
 scanned whole. With no words to learn from, the identifier model is uniform and patterns still work.
 """
 
@@ -34,6 +34,7 @@ TRAIN_DOCS = 20_000
 PRIOR = 1e-4
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_LEAST = 16  # characters of a candidate
 _WORD = re.compile(r"[A-Za-z]{3,24}")
 _SIZE = len(_ALPHABET)
 _START = _SIZE  # the state before the first character
@@ -134,8 +135,11 @@ def find_spans(text: str, model: MarkovPair | None) -> tuple[list[tuple[str, int
         return base, base
     more = []
     for m in _CANDIDATE.finditer(text):
-        if model.score(m[0]) > model.threshold and not any(s < m.end() and m.start() < e for _, s, e in base):
-            more.append(("random", m.start(), m.end()))
+        at = m.start()
+        for s, e in [*((s, e) for _, s, e in base if s < m.end() and m.start() < e), (m.end(), m.end())]:
+            if s - at >= _LEAST and model.score(text[at:s]) > model.threshold:
+                more.append(("random", at, s))
+            at = max(at, e)
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
