@@ -2,7 +2,7 @@
 
 Both models are first-order over the characters of candidate tokens. They are trained from labelled
 samples: random strings drawn from a seeded generator over the usual alphabets, against plain numbers and identifiers made of the
-words of a bounded sample of documents (``TRAIN_DOCS`` expected rows). A token is a secret when its
+words of all documents. A token is a secret when its
 log-likelihood ratio exceeds the prior odds against one (``PRIOR``).
 
 Defined results: a null text is empty and has no spans. Offsets are code points, ends exclusive. Of a
@@ -30,12 +30,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 or more characters
 KINDS = ("assign", "access", "hex", "random")
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-TRAIN_DOCS = 20_000
 PRIOR = 1e-4
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _LEAST = 16  # characters of a candidate
 _WORD = re.compile(r"[A-Za-z]{3,24}")
+_TOKENS = 100_000  # tokens counted at a time
 _SIZE = len(_ALPHABET)
 _START = _SIZE  # the state before the first character
 _CODES = np.full(128, -1, dtype=np.int64)
@@ -55,13 +55,14 @@ class MarkovPair:
         return float(self.ratio[_START, codes[0]] + self.ratio[codes[:-1], codes[1:]].sum()) if len(codes) else 0.0
 
 
-def _transitions(tokens: Iterator[str] | list[str]) -> np.ndarray:
-    counts = np.zeros((_SIZE + 1, _SIZE), dtype=np.int64)
-    for t in tokens:
-        codes = _CODES[np.frombuffer(t.encode("ascii"), dtype=np.uint8)]
-        counts[_START, codes[0]] += 1
-        np.add.at(counts, (codes[:-1], codes[1:]), 1)
-    return counts
+def _transitions(tokens: list[str]) -> np.ndarray:
+    counts = np.zeros((_SIZE + 1) * _SIZE, dtype=np.int64)
+    for lo in range(0, len(tokens), _TOKENS):
+        text = "\n" + "\n".join(tokens[lo:lo + _TOKENS])
+        codes = _CODES[np.frombuffer(text.encode("ascii"), dtype=np.uint8)]
+        before = np.where(codes[:-1] < 0, _START, codes[:-1])
+        counts += np.bincount((before * _SIZE + codes[1:])[codes[1:] >= 0], minlength=len(counts))
+    return counts.reshape(_SIZE + 1, _SIZE)
 
 
 def random_strings(n: int = 6_000, seed: int = 7) -> list[str]:
@@ -87,14 +88,9 @@ def identifiers(text: str) -> list[str]:
     return out
 
 
-def train(docs: DataFrame, text: str = "text", max_docs: int = TRAIN_DOCS, prior: float = PRIOR) -> MarkovPair:
-    """Fits both models; transitions of the sampled documents are counted in tasks, so at most
+def train(docs: DataFrame, text: str = "text", prior: float = PRIOR) -> MarkovPair:
+    """Fits both models; transitions of all documents are counted in tasks, so at most
     (alphabet + 1) x alphabet rows reach the driver."""
-    total = docs.count()
-    sampled = docs.select(F.col(text).alias("text"))
-    if total > max_docs:
-        sampled = sampled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * max_docs / total))
-
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((_SIZE + 1, _SIZE), dtype=np.int64)
         for f in frames:
@@ -103,7 +99,7 @@ def train(docs: DataFrame, text: str = "text", max_docs: int = TRAIN_DOCS, prior
         a, b = np.nonzero(counts)
         yield pd.DataFrame({"a": a, "b": b, "n": counts[a, b]})
 
-    rows = sampled.mapInPandas(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(docs[text].alias("text")).mapInPandas(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).collect()
     ordinary = np.zeros((_SIZE + 1, _SIZE))
     for r in rows:
         ordinary[r["a"], r["b"]] = r["n"]
