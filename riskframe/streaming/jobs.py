@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 from riskframe.functions.frames import long_form, value_of
 from riskframe.functions.scalars import col, edge_code, safe_div
 from riskframe.operators.drift import EMPTY_SHARE, drift_level
-from riskframe.operators.quality import Rule, tag_violations
+from riskframe.operators.quality import UNIQUE, Rule, tag_violations
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet",
@@ -88,8 +88,12 @@ def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str,
                       timeout: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Splits every micro-batch into valid and offending rows.
 
-    Each batch overwrites its own folder, so a replayed batch leaves no duplicates.
+    Each batch overwrites its own folder, so a replayed batch leaves no duplicates. Unique rules are refused:
+    a batch cannot tell which keys other batches hold.
     """
+    if any(r.kind == UNIQUE for r in rules):
+        raise ValueError("unique rules need the whole table; a stream is checked batch by batch")
+
     def split(batch: DataFrame, batch_id: int) -> None:
         tagged = tag_violations(batch, rules).persist()  # evaluated once for both sides
         ok = F.size("broken_rules") == 0

@@ -188,3 +188,11 @@ def test_search_fits_once_per_fold(spark, monkeypatch):
     best, trials = model.grid_search(spark.createDataFrame(rows, "id long, y int, a double"), "id", "y", ["a"],
                                      {model.RANDOM_FOREST: {"n_estimators": [2], "max_depth": [1, 2]}}, folds=3)
     assert sorted(fits) == [1] * 3 + [2] * 3 and trials.count() == 2 and best["search_strategy"] == "grid"
+
+
+def test_quarantine_refuses_unique_rules(spark, tmp_path):
+    from riskframe.operators.quality import unique
+    spark.range(4).write.parquet(str(tmp_path / "in"))
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.range(1).schema, files_per_batch=1)
+    with pytest.raises(ValueError, match="unique"):
+        jobs.stream_quarantine(stream, [unique("id")], *[str(tmp_path / n) for n in ("good", "bad", "chk")])
