@@ -4,8 +4,8 @@ Every byte goes that is covered by a string of ``length`` bytes which also start
 
 1. Anchors. The smallest hash of the grams of ``length`` bytes is the same in equal strings, so strings whose smallest hash occurs
    at one place of the corpus alone cannot repeat. What is left, cut to segments, is usually a small part. No repeat is lost.
-2. Shards. Segments with near smallest hashes, hence mostly copies of one another, are laid side by side and cut to shards of
-   at most ``SHARD_BYTES``. Each is sorted once, by doubling, to the depth of ``length``: its Burrows-Wheeler order. Neighbours
+2. Shards. Segments that share anchors, directly or over a few others, get one key, are laid side by side by it and cut to shards
+   of at most ``SHARD_BYTES``, so that most copies meet in one shard. Each is sorted once, by doubling, to the depth of ``length``: its Burrows-Wheeler order. Neighbours
    in that order that agree to a depth (common prefixes) form one interval of that depth. An interval of the full depth
    with two places is a repeat already.
 3. Merge. Only strings whose anchor lies in several shards go on. The interleave of all shards is first known to the smallest depth:
@@ -37,6 +37,7 @@ from riskframe.sources.staging import lookup_side, stage
 
 LENGTH = 400
 SHARD_BYTES = 2 << 20
+KEY_ROUNDS = 2
 BASE = 32  # the smallest depth is at most this
 FAN = 4  # depths grow by this factor
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -121,35 +122,58 @@ def _runs(length: int):
     return run
 
 
-_SEGMENT = "key long, h1 long, h2 long, at int, body binary, runs array<struct<start:int,n:int,value:long>>"
+_RUNS = "array<struct<start:int,n:int,value:long>>"
+_SPAN = f"h1 long, h2 long, at int, n int, runs {_RUNS}"
+_SEGMENT = f"key long, h1 long, h2 long, at int, body binary, runs {_RUNS}"
+_RUNS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("value", pa.int64())]))
 
 
-def _segments(length: int, shard_bytes: int):
-    """Arrow function: a text's strings that may repeat, as segments of at most a shard."""
+def _spans(length: int, shard_bytes: int):
+    """Arrow function: the strings of a text that may repeat, as segments of at most a shard; n is the number of strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                body, runs = one.column("body")[0].as_py(), one.column("runs")[0].values
-                start, n, value = (runs.field(f).to_numpy() for f in ("start", "n", "value"))
+            out = []
+            for h1, h2, held in zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist(), batch.column("runs"), strict=True):
+                start, n, value = (held.values.field(f).to_numpy() for f in ("start", "n", "value"))
                 order = np.argsort(start)
                 start, n, value = start[order].astype(np.int64), n[order].astype(np.int64), value[order]
-                out = []
                 joined = np.append(np.flatnonzero(np.concatenate([[True], start[1:] > start[:-1] + n[:-1] + length])), len(start))
                 for a, z in zip(joined[:-1], joined[1:], strict=True):
                     first, last = int(start[a]), int(start[z - 1] + n[z - 1])  # strings start in [first, last)
                     for lo in range(first, last, shard_bytes):
                         hi = min(last, lo + shard_bytes)
-                        held = [(max(int(s), lo), min(int(s + m), hi) - max(int(s), lo), int(v))
+                        here = [{"start": max(int(s), lo), "n": min(int(s + m), hi) - max(int(s), lo), "value": int(v)}
                                 for s, m, v in zip(start[a:z], n[a:z], value[a:z], strict=True) if s < hi and s + m > lo]
-                        if held:
-                            out.append((min(v for _, _, v in held), one.column("h1")[0].as_py(), one.column("h2")[0].as_py(), lo, body[lo:hi + length - 1],
-                                        [{"start": s, "n": m, "value": v} for s, m, v in held]))
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
-                             pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("value", pa.int64())]))]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
-                                                     names=["key", "h1", "h2", "at", "body", "runs"])
+                        if here:
+                            out.append((h1, h2, lo, hi - lo, here))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), _RUNS_TYPE],
+                                                                                 strict=True)], names=["h1", "h2", "at", "n", "runs"])
+    return run
+
+
+def near_keys(spans: DataFrame, rounds: int = KEY_ROUNDS) -> DataFrame:
+    """h1, h2, at, key: segments that share anchors, also over a few others, mostly get one key, the smallest anchor among them."""
+    segment = ["h1", "h2", "at"]
+    held = stage(spans.select(*segment, F.explode("runs").alias("r")).select(*segment, F.col("r.value").alias("value")), "held")
+    key = held.groupBy(*segment).agg(F.min("value").alias("key"))
+    for _ in range(rounds):
+        least = held.join(key, segment).groupBy("value").agg(F.min("key").alias("key"))
+        key = stage(held.join(lookup_side(least, "least"), "value").groupBy(*segment).agg(F.min("key").alias("key")), "keys")
+    return key
+
+
+def _bodies(length: int):
+    """Arrow function: the bytes of a text's segments."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                body, held = batch.column("body")[row].as_buffer(), batch.column("segments")[row].values
+                at, n = (held.field(c).to_numpy() for c in ("at", "n"))
+                cut = [body.slice(int(a), int(m) + length - 1).to_pybytes() for a, m in zip(at, n, strict=True)]
+                own = pa.array(np.full(len(at), row))
+                yield pa.RecordBatch.from_arrays([held.field("key"), batch.column("h1").take(own), batch.column("h2").take(own), held.field("at"),
+                                                  pa.array(cut, pa.binary()), held.field("runs")], names=["key", "h1", "h2", "at", "body", "runs"])
     return run
 
 
@@ -340,13 +364,15 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", t
     runs = stage(long.select("h1", "h2", "body").mapInArrow(_runs(length), "h1 long, h2 long, value long, start int, n int, many boolean"), "anchors")
     shared = runs.groupBy("value").agg(F.min("h1").alias("a1"), F.max("h1").alias("z1"), F.min("h2").alias("a2"), F.max("h2").alias("z2"),
                                        F.max("many").alias("many")).where("many OR a1 <> z1 OR a2 <> z2").select("value")
-    marked = stage(runs.join(lookup_side(shared, "shared"), "value").groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "n", "value")).alias("runs")), "marked")
-    suspects = long.select("h1", "h2", "body").join(lookup_side(marked.select("h1", "h2"), "suspects"), ["h1", "h2"], "left_semi")
-    texts = stage(suspects.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(marked, ["h1", "h2"]), "texts")
-
-    order = ["key", "h1", "h2", "at"]
-    cut = texts.mapInArrow(_segments(length, shard_bytes), _SEGMENT)
-    shards = stage(cut.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+    marked = runs.join(lookup_side(shared, "shared"), "value").groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "n", "value")).alias("runs"))
+    spans = stage(marked.mapInArrow(_spans(length, shard_bytes), _SPAN), "spans")
+    segment = ["h1", "h2", "at"]
+    near = stage(spans.join(near_keys(spans), segment).groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "at", "n", "runs")).alias("segments")), "near")
+    suspects = long.select("h1", "h2", "body").join(lookup_side(near.select("h1", "h2"), "suspects"), ["h1", "h2"], "left_semi")
+    texts = stage(suspects.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(near, ["h1", "h2"]), "texts")
+
+    order = ["key", *segment]
+    shards = stage(texts.mapInArrow(_bodies(length), _SEGMENT).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         _sharded(shard_bytes), _SEGMENT.replace("key long", "shard long", 1)), "shards")
     held = shards.select("shard", F.explode("runs").alias("r")).select("shard", F.col("r.value").alias("value")).distinct()
     opened = held.groupBy("value").agg(F.min("shard").alias("a"), F.max("shard").alias("z")).where("a < z").select("value")
