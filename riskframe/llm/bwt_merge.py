@@ -4,8 +4,8 @@ Every byte goes that is covered by a string of ``length`` bytes which also start
 
 1. Anchors. The smallest hash of the grams of ``length`` bytes is the same in equal strings, so strings whose smallest hash occurs
    at one place of the corpus alone cannot repeat. What is left, cut to segments, is usually a small part. No repeat is lost.
-2. Shards. Segments that share anchors, directly or over a few others, get one key, are laid side by side by it and cut to shards
-   of at most ``SHARD_BYTES``, so that most copies meet in one shard. Each is sorted once, by doubling, to the depth of ``length``: its Burrows-Wheeler order. Neighbours
+2. Shards. Segments that share anchors are laid near each other and cut to shards of about ``SHARD_BYTES``, so that most copies
+   meet in one shard. Each is sorted once, by doubling, to the depth of ``length``: its Burrows-Wheeler order. Neighbours
    in that order that agree to a depth (common prefixes) form one interval of that depth. An interval of the full depth
    with two places is a repeat already.
 3. Merge. Only strings whose anchor lies in several shards go on. The interleave of all shards is first known to the smallest depth:
@@ -31,13 +31,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskframe.sources.staging import lookup_side, stage
 
 LENGTH = 400
-SHARD_BYTES = 2 << 20
-KEY_ROUNDS = 2
+SHARD_BYTES = 4 << 20
 BASE = 32  # the smallest depth is at most this
 FAN = 4  # depths grow by this factor
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -123,8 +122,8 @@ def _runs(length: int):
 
 
 _RUNS = "array<struct<start:int,n:int,value:long>>"
-_SPAN = f"h1 long, h2 long, at int, n int, runs {_RUNS}"
-_SEGMENT = f"key long, h1 long, h2 long, at int, body binary, runs {_RUNS}"
+_SPAN = f"h1 long, h2 long, at int, n int, key long, runs {_RUNS}"
+_BODY = f"shard long, sid long, at int, body binary, runs {_RUNS}"
 _RUNS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("value", pa.int64())]))
 
 
@@ -145,22 +144,40 @@ def _spans(length: int, shard_bytes: int):
                         here = [{"start": max(int(s), lo), "n": min(int(s + m), hi) - max(int(s), lo), "value": int(v)}
                                 for s, m, v in zip(start[a:z], n[a:z], value[a:z], strict=True) if s < hi and s + m > lo]
                         if here:
-                            out.append((h1, h2, lo, hi - lo, here))
+                            out.append((h1, h2, lo, hi - lo, min(r["value"] for r in here), here))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), _RUNS_TYPE],
-                                                                                 strict=True)], names=["h1", "h2", "at", "n", "runs"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*out, strict=True), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), _RUNS_TYPE], strict=True)],
+                    names=["h1", "h2", "at", "n", "key", "runs"])
     return run
 
 
-def near_keys(spans: DataFrame, rounds: int = KEY_ROUNDS) -> DataFrame:
-    """h1, h2, at, key: segments that share anchors, also over a few others, mostly get one key, the smallest anchor among them."""
-    segment = ["h1", "h2", "at"]
-    held = stage(spans.select(*segment, F.explode("runs").alias("r")).select(*segment, F.col("r.value").alias("value")), "held")
-    key = held.groupBy(*segment).agg(F.min("value").alias("key"))
-    for _ in range(rounds):
-        least = held.join(key, segment).groupBy("value").agg(F.min("key").alias("key"))
-        key = stage(held.join(lookup_side(least, "least"), "value").groupBy(*segment).agg(F.min("key").alias("key")), "keys")
-    return key
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds part, the partition, and before, the bytes of the rows of the partition before a row."""
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        size = batch.column("size").to_numpy()
+        ends = before + np.cumsum(size)
+        yield pa.RecordBatch.from_arrays([batch.column("sid"), batch.column("size"), pa.array(np.full(len(size), part, dtype=np.int32)), pa.array(ends - size)],
+                                         names=["sid", "size", "part", "before"])
+        before = int(ends[-1]) if len(ends) else before
+
+
+def sharded(spans: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """sid, shard of every segment: segments are put in order so that those that share anchors are near, and cut by prefix sums of bytes.
+
+    The order is that of the smallest anchor of all segments that share one with a segment, then of its own smallest anchor."""
+    held = spans.select("sid", "key", F.explode("runs.value").alias("value"))
+    least = held.groupBy("value").agg(F.min("key").alias("near"))
+    near = held.select("sid", "value").join(lookup_side(least, "least"), "value").groupBy("sid").agg(F.min("near").alias("near"))
+    rows = spans.select("sid", "key", (F.col("n") + (length - 1)).cast("long").alias("size")).join(near, "sid")
+    order = ["near", "key", "sid"]
+    at = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("sid", "size").mapInArrow(
+        _running, "sid long, size long, part int, before long"), "order")
+    totals = at.groupBy("part").agg(F.max(F.col("before") + F.col("size")).alias("n")).orderBy("part").collect()  # a row per partition
+    first = np.cumsum([0, *(r["n"] for r in totals)])
+    bases = at.sparkSession.createDataFrame([(r["part"], int(b)) for r, b in zip(totals, first, strict=False)], "part int, base long")
+    return at.join(F.broadcast(bases), "part").select("sid", F.floor((F.col("base") + F.col("before")) / F.lit(shard_bytes)).cast("long").alias("shard"))
 
 
 def _bodies(length: int):
@@ -171,33 +188,17 @@ def _bodies(length: int):
                 body, held = batch.column("body")[row].as_buffer(), batch.column("segments")[row].values
                 at, n = (held.field(c).to_numpy() for c in ("at", "n"))
                 cut = [body.slice(int(a), int(m) + length - 1).to_pybytes() for a, m in zip(at, n, strict=True)]
-                own = pa.array(np.full(len(at), row))
-                yield pa.RecordBatch.from_arrays([held.field("key"), batch.column("h1").take(own), batch.column("h2").take(own), held.field("at"),
-                                                  pa.array(cut, pa.binary()), held.field("runs")], names=["key", "h1", "h2", "at", "body", "runs"])
-    return run
-
-
-def _sharded(shard_bytes: int):
-    """Arrow function: numbers the shards of a sorted partition."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            to = []
-            for size in pc.binary_length(batch.column("body")).to_pylist():
-                if held and held + size > shard_bytes:
-                    shard, held = shard + 1, 0
-                held += size
-                to.append(shard)
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), *batch.columns[1:]], names=["shard", *batch.schema.names[1:]])
+                yield pa.RecordBatch.from_arrays([held.field("shard"), held.field("sid"), held.field("at"), pa.array(cut, pa.binary()), held.field("runs")],
+                                                 names=["shard", "sid", "at", "body", "runs"])
     return run
 
 
 def _ranks(key: np.ndarray) -> np.ndarray:
     """For every key the number of smaller ones: the start of its interval."""
     order = np.argsort(key)
-    new = np.concatenate([[True], np.diff(key[order]) != 0])
+    starts = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
     out = np.empty(len(key), dtype=np.int32)
-    out[order] = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    out[order] = np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(key))))
     return out
 
 
@@ -219,7 +220,7 @@ def suffix_intervals(b: np.ndarray, wanted: list[int]) -> dict[int, np.ndarray]:
     return out
 
 
-_BUILT = "level int, shard long, cls int, label binary, parts array<int>, h1 long, h2 long, at int, until int"
+_BUILT = "level int, shard long, cls int, label binary, parts array<int>, sid long, at int, until int"
 _LOCAL = -1  # level of repeats that one shard shows
 
 
@@ -227,7 +228,7 @@ def _built(length: int):
     """Arrow function on a shard and its open anchors: repeats inside it, and the intervals of every depth that the merge needs."""
     levels = depths(length)
     fields = [("level", pa.int32()), ("shard", pa.int64()), ("cls", pa.int32()), ("label", pa.binary()), ("parts", pa.list_(pa.int32())),
-              ("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("until", pa.int32())]
+              ("sid", pa.int64()), ("at", pa.int32()), ("until", pa.int32())]
 
     def rows(n: int, **given) -> pa.Table:
         return pa.table([given[name] if name in given else pa.nulls(n, kind) for name, kind in fields], schema=pa.schema(fields))
@@ -247,11 +248,11 @@ def _built(length: int):
         local &= rest >= length
         at = segments.column("at").to_numpy().astype(np.int64)
         text_place = at[of] + np.arange(n) - first[of]
-        h1, h2 = (segments.column(c).to_numpy() for c in ("h1", "h2"))
+        sid = segments.column("sid").to_numpy()
 
         begins = np.flatnonzero(local & ~np.concatenate([[False], local[:-1] & (of[1:] == of[:-1])]))
         ends = np.flatnonzero(local & ~np.concatenate([local[1:] & (of[1:] == of[:-1]), [False]]))
-        out = [rows(len(begins), level=pa.array(np.full(len(begins), _LOCAL, dtype=np.int32)), h1=pa.array(h1[of[begins]]), h2=pa.array(h2[of[begins]]),
+        out = [rows(len(begins), level=pa.array(np.full(len(begins), _LOCAL, dtype=np.int32)), sid=pa.array(sid[of[begins]]),
                     at=pa.array(text_place[begins].astype(np.int32)), until=pa.array((text_place[ends] + 1).astype(np.int32)))]
         if not opened.num_rows:
             return out[0]
@@ -283,22 +284,24 @@ def _built(length: int):
                 mask = wider
             if level == len(levels) - 1:
                 single = ~local[one]  # the places of others are repeats already
-                given |= {"h1": pa.array(h1[of[one]], mask=~single), "h2": pa.array(h2[of[one]], mask=~single),
-                          "at": pa.array(text_place[one].astype(np.int32), mask=~single)}
+                given |= {"sid": pa.array(sid[of[one]], mask=~single), "at": pa.array(text_place[one].astype(np.int32), mask=~single)}
             out.append(rows(len(got), **given))
         return pa.concat_tables(out)
     return build
 
 
 def _places(rows: DataFrame, by: list[str], name: str) -> DataFrame:
-    """The intervals of several shards with their place in the merged order; rows: shard, cls and the columns ``by``."""
-    shared = rows.groupBy(*by).agg(F.count("*").alias("shards")).where("shards > 1").drop("shards")
-    placed = shared.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("place", F.monotonically_increasing_id())
-    return stage(rows.join(lookup_side(placed, f"{name}_order"), by), name)
+    """The intervals that several shards hold, with their place in the merged order, in place of the columns ``by``.
+
+    A shard has one row per interval, so a group has at most as many rows as there are shards."""
+    same = Window.partitionBy(*by)
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    shared = ordered.withColumn("_n", F.count("*").over(same)).withColumn("place", F.min("_at").over(same)).where("_n > 1")
+    return stage(shared.drop("_at", "_n", *by), name)
 
 
 def _refined(rows: DataFrame, known: DataFrame, width: int) -> DataFrame:
-    """shard, cls, p0 .. and, at the full depth, h1, h2, at: intervals by the places of their parts, where all have one."""
+    """shard, cls, p0 .. and, at the full depth, sid and at: intervals by the places of their parts, where all have one."""
     names = [f"p{j}" for j in range(width)]
 
     def look_up(mine: pa.Table, places: pa.Table) -> pa.Table:
@@ -310,22 +313,22 @@ def _refined(rows: DataFrame, known: DataFrame, width: int) -> DataFrame:
         held = (cls[at] == parts).all(axis=1) if len(cls) else np.zeros(len(parts), dtype=bool)
         kept = mine.filter(pa.array(held))
         got = place[at[held]] if len(cls) else np.empty((0, width), dtype=np.int64)
-        return pa.table({**{c: kept.column(c) for c in ("shard", "cls", "h1", "h2", "at")}, **{c: got[:, j] for j, c in enumerate(names)}})
+        return pa.table({**{c: kept.column(c) for c in ("shard", "cls", "sid", "at")}, **{c: got[:, j] for j, c in enumerate(names)}})
 
-    return rows.select("shard", "cls", "parts", "h1", "h2", "at").groupBy("shard").cogroup(
+    return rows.select("shard", "cls", "parts", "sid", "at").groupBy("shard").cogroup(
         known.select(F.col("shard").alias("on"), "cls", "place").groupBy("on")).applyInArrow(
-        look_up, "shard long, cls int, h1 long, h2 long, at int, " + ", ".join(f"{c} long" for c in names))
+        look_up, "shard long, cls int, sid long, at int, " + ", ".join(f"{c} long" for c in names))
 
 
 def merge_shards(built: DataFrame, length: int) -> DataFrame:
-    """h1, h2, at, until: strings of the full depth that another shard holds too."""
+    """sid, at, until: strings of the full depth that stand once in their shard and in another one too."""
     levels = depths(length)
-    known = _places(built.where("level = 0").select("shard", "cls", "label", "h1", "h2", "at"), ["label"], "places")
+    known = _places(built.where("level = 0").select("shard", "cls", "label", *(["sid", "at"] if len(levels) == 1 else [])), ["label"], "places")
     for level in range(1, len(levels)):
         width = len(shifts(levels[level - 1], levels[level]))
         rows = stage(_refined(built.where(F.col("level") == level), known, width), "refined")
         known = _places(rows, [f"p{j}" for j in range(width)], "places")
-    return known.where("at IS NOT NULL").select("h1", "h2", "at", (F.col("at") + 1).alias("until"))
+    return known.where("at IS NOT NULL").select("sid", "at", (F.col("at") + 1).alias("until"))
 
 
 _KEPT = "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
@@ -362,24 +365,22 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", t
     long = rows.where(F.col("n_bytes") >= length)
 
     runs = stage(long.select("h1", "h2", "body").mapInArrow(_runs(length), "h1 long, h2 long, value long, start int, n int, many boolean"), "anchors")
-    shared = runs.groupBy("value").agg(F.min("h1").alias("a1"), F.max("h1").alias("z1"), F.min("h2").alias("a2"), F.max("h2").alias("z2"),
-                                       F.max("many").alias("many")).where("many OR a1 <> z1 OR a2 <> z2").select("value")
+    shared = runs.groupBy("value").agg(F.min("h1").alias("a"), F.max("h1").alias("z"), F.max("many").alias("many")).where("many OR a <> z").select("value")
     marked = runs.join(lookup_side(shared, "shared"), "value").groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "n", "value")).alias("runs"))
-    spans = stage(marked.mapInArrow(_spans(length, shard_bytes), _SPAN), "spans")
-    segment = ["h1", "h2", "at"]
-    near = stage(spans.join(near_keys(spans), segment).groupBy("h1", "h2").agg(F.collect_list(F.struct("key", "at", "n", "runs")).alias("segments")), "near")
-    suspects = long.select("h1", "h2", "body").join(lookup_side(near.select("h1", "h2"), "suspects"), ["h1", "h2"], "left_semi")
-    texts = stage(suspects.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(near, ["h1", "h2"]), "texts")
-
-    order = ["key", *segment]
-    shards = stage(texts.mapInArrow(_bodies(length), _SEGMENT).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _sharded(shard_bytes), _SEGMENT.replace("key long", "shard long", 1)), "shards")
-    held = shards.select("shard", F.explode("runs").alias("r")).select("shard", F.col("r.value").alias("value")).distinct()
+    spans = stage(marked.mapInArrow(_spans(length, shard_bytes), _SPAN).withColumn("sid", F.monotonically_increasing_id()), "spans")
+    placed = stage(spans.drop("key").join(sharded(spans, length, shard_bytes), "sid"), "placed")
+    of_text = placed.groupBy("h1", "h2").agg(F.collect_list(F.struct("shard", "sid", "at", "n", "runs")).alias("segments"))
+    suspects = long.select("h1", "h2", "body").join(lookup_side(spans.select("h1", "h2").distinct(), "suspects"), ["h1", "h2"], "left_semi")
+    texts = stage(suspects.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(of_text, ["h1", "h2"]), "texts")
+
+    held = placed.select("shard", F.explode("runs.value").alias("value"))
     opened = held.groupBy("value").agg(F.min("shard").alias("a"), F.max("shard").alias("z")).where("a < z").select("value")
-    opened = held.join(lookup_side(opened, "opened"), "value").select(F.col("shard").alias("on"), "value")
-    built = stage(shards.groupBy("shard").cogroup(opened.groupBy("on")).applyInArrow(_built(length), _BUILT), "intervals")
+    opened = held.join(lookup_side(opened, "opened"), "value").select(F.col("shard").alias("on"), "value").distinct()
+    built = stage(texts.select("body", "segments").mapInArrow(_bodies(length), _BODY).groupBy("shard").cogroup(opened.groupBy("on")).applyInArrow(
+        _built(length), _BUILT), "intervals")
 
-    found = built.where(F.col("level") == _LOCAL).select("h1", "h2", "at", "until").unionByName(merge_shards(built, length))
+    found = built.where(F.col("level") == _LOCAL).select("sid", "at", "until").unionByName(merge_shards(built, length))
+    found = found.join(lookup_side(placed.select("sid", "h1", "h2"), "owners"), "sid")
     spans = found.groupBy("h1", "h2").agg(F.collect_list(F.struct("at", "until")).alias("found"))
     single = texts.select("h1", "h2", "body").join(spans, ["h1", "h2"]).mapInArrow(_cut(length, with_text), _KEPT + (", kept binary" if with_text else ""))
     copied = long.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("n_bytes").alias("n_bytes")).where("n > 1")
