@@ -108,3 +108,12 @@ def test_staged_tables_are_written(spark, sf):
     from riskframe.sources.staging import shared_dir
     path = staged(spark, sf, "v_scored").inputFiles()[0]
     assert shared_dir(spark) in path and "/riskframe/" in path
+
+
+def test_entry_survives_missing_extras(monkeypatch):
+    import sys
+    import __spark_entry__ as entry
+    monkeypatch.setitem(sys.modules, "riskframe.llm.queries", None)  # as if a dependency were not installed
+    found = entry.queries()
+    assert "dq_report" in found and not any(k.startswith("op") and k[2:3].isdigit() for k in found) and "pipeline" not in found
+    assert set(entry.oracle_sql()) <= set(found)
