@@ -24,7 +24,7 @@ def default_ranges(df: DataFrame) -> int:
     return max(8, min(20_000, 2 * parts))
 
 
-def _range_code(score: Column, cuts: Column, n: int) -> Column:
+def range_code(score: Column, cuts: Column, n: int) -> Column:
     """Number of cuts <= score, looked up in two levels (about 2*sqrt(n) comparisons)."""
     k = max(1, math.isqrt(n))
     heads = F.filter(cuts, lambda c, i: (i % k == 0) & (c <= score))
@@ -67,12 +67,12 @@ def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | No
         if len(only) <= _FEW_CUTS:  # short lists compile to plain comparisons
             code = edge_code(F.col("score"), only)
         else:
-            code = _range_code(F.col("score"), F.array(*[F.lit(c) for c in only]), n)
+            code = range_code(F.col("score"), F.array(*[F.lit(c) for c in only]), n)
         ranged = counts.withColumn("range_id", code)
     else:
         # at most n_features x n_ranges numbers
         ranged = counts.join(F.broadcast(cuts), "feature").withColumn(
-            "range_id", _range_code(F.col("score"), F.col("cuts"), n)).drop("cuts")
+            "range_id", range_code(F.col("score"), F.col("cuts"), n)).drop("cuts")
 
     group = part or [F.lit(1)]
     by_range = Window.partitionBy(*group).orderBy("range_id")

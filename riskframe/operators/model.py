@@ -21,13 +21,14 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.functions.frames import small_table, value_of
 from riskframe.functions.scalars import col
 from riskframe.operators.encode import WoeModel, fit_scaler, fit_woe, standardize, woe_apply
+from riskframe.operators.isotonic import IsotonicMap, fit_isotonic
 from riskframe.operators.split import hash_folds, sample_stratified_cap, stratified_folds
+from riskframe.sources.staging import stage
 
 # fixed values: configurable family names
 RANDOM_FOREST = "RandomForestClassifier"
@@ -215,10 +216,7 @@ class CalibratedModel:
             raw, cal = f"__raw{i}", f"__cal{i}"
             cur = probability(base, cur, raw)
             if self.method == "isotonic":
-                fitted = calibrator.copy()
-                fitted.setFeaturesCol(raw)
-                fitted.setPredictionCol(cal)
-                cur = fitted.transform(cur)
+                cur = cur.withColumn(cal, calibrator.predict(F.col(raw)))
             else:
                 a, b = calibrator
                 z = F.lit(a) * F.col(raw) + F.lit(b)
@@ -235,21 +233,19 @@ def calibrate(df: DataFrame, key: str, label: str, model_type: str, hyperparams:
               score_decimals: int | None = None) -> CalibratedModel:
     """For each fold: base model on the other folds, calibrator on the fold.
 
-    The fold's rows are first summed per score value. ``score_decimals`` rounds the scores before that, which
-    bounds the rows the calibrator merges by 10^digits but changes it a little; by default nothing is rounded.
+    The isotonic map is merged from ranges of scores (``isotonic``), the sigmoid fitted on counts per score. ``score_decimals``
+    rounds the scores before that, which changes the map a little; by default nothing is rounded.
     """
     folded = stratified_folds(df, key, label, k, seed, "__fold")
     members = []
     for f in range(k):
         base = build_estimator(model_type, hyperparams, features, label, WEIGHT, seed).fit(folded.where(F.col("__fold") != f))
         held = probability(base, folded.where(F.col("__fold") == f), "__p")
-        sums = held.groupBy((F.col("__p") if score_decimals is None else F.round("__p", score_decimals)).alias("__p"), col(label).cast("double").alias("__y")).agg(
-            F.count("*").cast("double").alias("__w"))
+        at = held.withColumn("__p", F.col("__p") if score_decimals is None else F.round("__p", score_decimals))
         if method == "isotonic":
-            points = sums.groupBy("__p").agg(
-                (F.sum(F.col("__w") * F.col("__y")) / F.sum("__w")).alias("__y"), F.sum("__w").alias("__w"))
-            cal = IsotonicRegression(featuresCol="__p", labelCol="__y", weightCol="__w").fit(points)
+            cal = fit_isotonic(stage(at.select("__p", col(label).alias("__y")), "fold_scores"), "__p", "__y")
         elif method == "sigmoid":
+            sums = at.groupBy("__p", col(label).cast("double").alias("__y")).agg(F.count("*").cast("double").alias("__w"))
             vec = VectorAssembler(inputCols=["__p"], outputCol="__v").transform(sums)
             lr = LogisticRegression(featuresCol="__v", labelCol="__y", weightCol="__w", standardization=False).fit(vec)
             cal = (float(lr.coefficients[0]), float(lr.intercept))
@@ -278,10 +274,9 @@ def save_model(model: Model | CalibratedModel, path: str, spark: SparkSession) -
     if isinstance(model, CalibratedModel):
         record = {"kind": "calibrated", "method": model.method, "members": len(model.members)}
         record["lines"] = [c for _, c in model.members] if model.method == "sigmoid" else []
-        for i, (base, calibrator) in enumerate(model.members):
+        record["steps"] = [(list(c.bounds), list(c.values)) for _, c in model.members] if model.method == "isotonic" else []
+        for i, (base, _) in enumerate(model.members):
             save_model(base, f"{path}/member_{i}", spark)
-            if model.method == "isotonic":
-                calibrator.write().overwrite().save(f"{path}/calibrator_{i}")
     elif isinstance(model, WoeScorecardModel):
         woe = model.woe
         record = {"kind": "scorecard", "edges": woe.edges, "categorical": woe.categorical, "wide": woe.wide, "scaler": model.scaler}
@@ -300,7 +295,7 @@ def load_model(path: str, spark: SparkSession) -> Model | CalibratedModel:
         bases = [load_model(f"{path}/member_{i}", spark) for i in range(record["members"])]
         if record["method"] == "sigmoid":
             return CalibratedModel([(b, tuple(line)) for b, line in zip(bases, record["lines"])], "sigmoid")
-        return CalibratedModel([(b, IsotonicRegressionModel.load(f"{path}/calibrator_{i}")) for i, b in enumerate(bases)], "isotonic")
+        return CalibratedModel([(b, IsotonicMap(*steps)) for b, steps in zip(bases, record["steps"])], "isotonic")
     if record["kind"] == "scorecard":
         bins = spark.read.parquet(f"{path}/bins")
         woe = WoeModel(record["edges"], record["categorical"], {}, record["wide"], bins)
@@ -317,7 +312,6 @@ TRIAL_SCHEMA = "trial int, model_type string, params string, cv_score double, se
 
 
 def _cv_data(df: DataFrame, key: str, label: str, folds: int, seed: int, max_rows: int | None) -> DataFrame:
-    from riskframe.sources.staging import stage
     data = sample_stratified_cap(df, key, label, max_rows, seed) if max_rows else df
     return stage(with_weights(stratified_folds(data, key, label, folds, seed, "__fold"), label), "search")
 

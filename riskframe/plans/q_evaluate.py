@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import evaluate as ev, explain as x, model as m, score as sc
+from riskframe.operators.isotonic import fit_isotonic
 from riskframe.plans.registry import query
 from riskframe.plans.views import staged, view
 
@@ -112,6 +113,19 @@ def threshold_sweep(spark, sf):
     return ev.threshold_sweep(view(spark, sf, "v_scored"), "p", "label")
 
 
+ISOTONIC = """WITH s AS (SELECT p, sum(label) AS pos, count(*) AS n, row_number() OVER (ORDER BY p) AS i FROM v_scored GROUP BY p),
+t AS (SELECT a.i AS a, b.i AS b, sum(b.pos) OVER (PARTITION BY a.i ORDER BY b.i) / sum(b.n) OVER (PARTITION BY a.i ORDER BY b.i)::DOUBLE AS mean FROM s a JOIN s b ON b.i >= a.i),
+m AS (SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS least FROM t)
+SELECT p AS score, max(least) AS fitted FROM m JOIN s ON s.i = m.b GROUP BY p"""  # the largest of the smallest means of the runs around a score
+
+
+@query("isotonic_fit", ISOTONIC, ["v_scored"], doubles="score fitted", digits=9)
+def isotonic_fit(spark, sf):
+    rows = scored(spark, sf)
+    fitted = fit_isotonic(rows, "p", "label")
+    return rows.select(F.col("p").alias("score")).distinct().withColumn("fitted", fitted.predict(F.col("score")))
+
+
 @query("calibration_curve", """WITH e AS (SELECT (quantile_cont(p, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))[2:-2] AS e FROM v_scored)
 SELECT 'quantile' AS strategy, len(list_filter(e, lambda q: q < p))::INTEGER AS bin, avg(p) AS mean_predicted, avg(label) AS observed_rate, count(*) AS n FROM v_scored, e GROUP BY 2
 UNION ALL SELECT 'uniform', len(list_filter(list_transform(range(1, 10), lambda i: i * 0.1::DOUBLE), lambda q: q < p))::INTEGER, avg(p), avg(label), count(*) FROM v_scored GROUP BY 2""",
