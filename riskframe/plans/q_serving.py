@@ -128,3 +128,19 @@ def stream_quarantine(spark, sf):
     good, bad = jobs.stream_quarantine(stream, rules, fresh_path(spark, "good"), fresh_path(spark, "bad"), fresh_path(spark, "offsets"))
     return good.select(F.col("c_custkey").alias("id"), F.lit("").alias("broken"), F.lit(True).alias("valid")).unionByName(
         bad.select(F.col("c_custkey").alias("id"), F.array_join("broken_rules", ",").alias("broken"), F.lit(False).alias("valid")))
+
+
+@query("stream_quarantine_unique", """WITH n AS (SELECT c_custkey AS id, c_nationkey * 1000 + CAST(floor(abs(c_acctbal)) AS BIGINT) AS code, c_acctbal AS bal FROM customer)
+SELECT id, concat_ws(',', CASE WHEN bal < 0 THEN 'between:bal' END, CASE WHEN count(*) OVER (PARTITION BY code) > 1 THEN 'unique:code' END) AS broken FROM n""")
+def stream_quarantine_unique(spark, sf):
+    """Three files, the last one after a restart on the same checkpoint; a code may repeat in any of them."""
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") * 1000 + F.floor(F.abs("c_acctbal"))).cast("long").alias("code"),
+                                               F.col("c_acctbal").alias("bal"))
+    folder, paths = fresh_path(spark, "arriving"), [fresh_path(spark, x) for x in ("good", "bad", "offsets")]
+    rules = [q.between("bal", 0), q.unique("code")]
+    for part in range(3):
+        rows.where(F.pmod("id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(folder)
+        if part > 0:
+            stream = jobs.file_stream(spark, folder, rows.schema, files_per_batch=1)
+            good, bad = jobs.stream_quarantine(stream, rules, *paths)
+    return good.select("id", F.lit("").alias("broken")).unionByName(bad.select("id", F.array_join("broken_rules", ",").alias("broken")))

@@ -11,6 +11,7 @@ from riskframe.functions.frames import long_form, value_of
 from riskframe.functions.scalars import col, edge_code, safe_div
 from riskframe.operators.drift import EMPTY_SHARE, drift_level
 from riskframe.operators.quality import UNIQUE, Rule, tag_violations
+from riskframe.sources.staging import lookup_side
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet",
@@ -84,18 +85,45 @@ def window_psi(counts: DataFrame, reference_bins: DataFrame) -> DataFrame:
             .withColumn("drift_level", drift_level(F.col("psi"))))
 
 
+def stream_repeated_keys(stream: DataFrame, column: str, path: str, checkpoint: str, ts: str | None = None, within: int | None = None,
+                         timeout: int | None = None) -> DataFrame:
+    """``key``: the values of a column that arrived more than once, in one batch or in different ones, or before a restart.
+
+    The state store holds one count per key, added up inside the tasks before keys move. With ``ts`` and ``within`` (seconds) it
+    forgets: two rows count as repeated when they share a window of twice that length that starts every ``within``
+    seconds, so all rows at most ``within`` apart do, and the watermark drops the counts of older windows. Without,
+    counts stay for ever. A replayed batch overwrites its own folder. Null keys are no keys.
+    """
+    keyed = stream.where(col(column).isNotNull())
+    if within is not None:
+        keyed = keyed.withWatermark(ts, f"{within} seconds")
+        groups = [F.window(col(ts), f"{2 * within} seconds", f"{within} seconds"), col(column).alias("key")]
+    else:
+        groups = [col(column).alias("key")]
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.where(F.col("count") > 1).select("key").distinct().write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    query = (keyed.groupBy(*groups).count().writeStream.outputMode("update").foreachBatch(keep)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finish(query, timeout)
+    schema = StructType().add("key", stream.schema[column].dataType)
+    return stream.sparkSession.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).distinct()
+
+
 def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str, bad_path: str, checkpoint: str,
-                      timeout: int | None = None) -> tuple[DataFrame, DataFrame]:
+                      timeout: int | None = None, ts: str | None = None, unique_within: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Splits every micro-batch into valid and offending rows.
 
-    Each batch overwrites its own folder, so a replayed batch leaves no duplicates. Unique rules are refused:
-    a batch cannot tell which keys other batches hold.
+    Each batch overwrites its own folder, so a replayed batch leaves no duplicates. Keys of unique rules are counted in a
+    state store across batches and restarts (``stream_repeated_keys``): a row written as valid is recalled, on reading, once its key has
+    come again, so the result is that of a batch job on everything that has arrived.
     """
-    if any(r.kind == UNIQUE for r in rules):
-        raise ValueError("unique rules need the whole table; a stream is checked batch by batch")
+    row_rules = [r for r in rules if r.kind != UNIQUE]
+    keys = [r for r in rules if r.kind == UNIQUE and r.column in stream.columns]
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        tagged = tag_violations(batch, rules).persist()  # evaluated once for both sides
+        tagged = tag_violations(batch, row_rules).persist()  # evaluated once for both sides
         ok = F.size("broken_rules") == 0
         tagged.where(ok).drop("broken_rules").write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
         tagged.where(~ok).write.mode("overwrite").parquet(f"{bad_path}/batch={batch_id}")
@@ -107,4 +135,14 @@ def stream_quarantine(stream: DataFrame, rules: Sequence[Rule], good_path: str,
     spark = stream.sparkSession
     bad_schema = StructType(list(stream.schema.fields)).add("broken_rules", ArrayType(StringType()))
     read = lambda path, schema: spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
-    return read(good_path, stream.schema), read(bad_path, bad_schema)
+    good, bad = read(good_path, stream.schema), read(bad_path, bad_schema)
+    if not keys:
+        return good, bad
+    tagged = good.withColumn("broken_rules", F.array().cast("array<string>")).unionByName(bad)
+    for i, r in enumerate(keys):
+        repeated = stream_repeated_keys(stream, r.column, f"{bad_path}_keys/{r.column}", f"{checkpoint}_keys/{r.column}", ts, unique_within, timeout)
+        marks = lookup_side(repeated.select(F.col("key").alias(f"__key{i}"), F.lit(r.id).alias(f"__mark{i}")), "repeated")
+        tagged = tagged.join(marks, col(r.column) == F.col(f"__key{i}"), "left")
+    found = F.concat("broken_rules", F.array_compact(F.array(*[F.col(f"__mark{i}") for i in range(len(keys))])))
+    tagged = tagged.select(*stream.columns, found.alias("broken_rules"))
+    return tagged.where(F.size("broken_rules") == 0).drop("broken_rules"), tagged.where(F.size("broken_rules") > 0)

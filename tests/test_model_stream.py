@@ -190,9 +190,29 @@ def test_search_fits_once_per_fold(spark, monkeypatch):
     assert sorted(fits) == [1] * 3 + [2] * 3 and trials.count() == 2 and best["search_strategy"] == "grid"
 
 
-def test_quarantine_refuses_unique_rules(spark, tmp_path):
+def test_unique_rules_hold_across_batches_and_restarts(spark, tmp_path):
     from riskframe.operators.quality import unique
-    spark.range(4).write.parquet(str(tmp_path / "in"))
-    stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.range(1).schema, files_per_batch=1)
-    with pytest.raises(ValueError, match="unique"):
-        jobs.stream_quarantine(stream, [unique("id")], *[str(tmp_path / n) for n in ("good", "bad", "chk")])
+    rules = [q.between("v", 0), unique("id"), unique("code")]
+    parts = [[(1, "a", 1), (2, "b", -1), (None, "c", 1), (5, "e", 1)], [(1, "f", 2), (3, None, 1), (None, "g", 1)], [(3, None, -1), (4, "c", 1), (5, "h", 2)]]
+    schema, paths = "id long, code string, v int", [str(tmp_path / n) for n in ("good", "bad", "chk")]
+    rows = []
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        rows += part
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, files_per_batch=1)
+        got = jobs.stream_quarantine(stream, rules, *paths)  # each run goes on from the one before
+        want = q.quarantine(spark.createDataFrame(rows, schema), rules)
+        for a, b in zip(got, want):
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert got[0].count() == 1  # (4, c) shares its code with an earlier row; (None, g) is alone
+
+
+def test_counts_of_old_keys_are_forgotten(spark, tmp_path):
+    from datetime import datetime
+    at = [datetime(2024, 1, d, h) for d, h in ((1, 0), (1, 1), (2, 0), (9, 0), (9, 2), (20, 0))]
+    keys = ["a", "a", "b", "b", "c", "a"]
+    for i, (t, k) in enumerate(zip(at, keys)):
+        spark.createDataFrame([(k, t)], "k string, ts timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], "k string, ts timestamp").schema, files_per_batch=1)
+    found = jobs.stream_repeated_keys(stream, "k", str(tmp_path / "out"), str(tmp_path / "chk"), "ts", 86_400)
+    assert [r.key for r in found.collect()] == ["a"]  # b comes again after a week
