@@ -8,7 +8,7 @@ Every byte goes that is covered by a string of ``length`` bytes which also start
    meet in one shard. Each is sorted once, by doubling, to the depth of ``length``: its Burrows-Wheeler order. Neighbours
    in that order that agree to a depth (common prefixes) form one interval of that depth. An interval of the full depth
    with two places is a repeat already.
-3. Merge. Only strings whose anchor lies in several shards go on. The interleave of all shards is first known to the smallest depth:
+3. Merge. Only strings go on whose anchor, and the anchors of whose parts, lie in several shards. The interleave of all shards is first known to the smallest depth:
    intervals are put in the order of their first bytes, and equal ones share a place. An interval of the next depth is
    the row of the places of the intervals that start 0, 1, 2 and 3 depths further on in its shard (what as many LF steps lead to),
    so sorting these rows refines the interleave to four times the depth. Suffixes are not sorted again, and intervals alone
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from riskframe.sources.staging import lookup_side, stage
 
 LENGTH = 400
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 BASE = 32  # the smallest depth is at most this
 FAN = 4  # depths grow by this factor
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -123,7 +123,7 @@ def _runs(length: int):
 
 _RUNS = "array<struct<start:int,n:int,value:long>>"
 _SPAN = f"h1 long, h2 long, at int, n int, key long, runs {_RUNS}"
-_BODY = f"shard long, sid long, at int, body binary, runs {_RUNS}"
+_BODY = "shard long, sid long, at int, body binary, opened array<struct<start:int,n:int>>"
 _RUNS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32()), ("value", pa.int64())]))
 
 
@@ -188,8 +188,29 @@ def _bodies(length: int):
                 body, held = batch.column("body")[row].as_buffer(), batch.column("segments")[row].values
                 at, n = (held.field(c).to_numpy() for c in ("at", "n"))
                 cut = [body.slice(int(a), int(m) + length - 1).to_pybytes() for a, m in zip(at, n, strict=True)]
-                yield pa.RecordBatch.from_arrays([held.field("shard"), held.field("sid"), held.field("at"), pa.array(cut, pa.binary()), held.field("runs")],
-                                                 names=["shard", "sid", "at", "body", "runs"])
+                yield pa.RecordBatch.from_arrays([held.field("shard"), held.field("sid"), held.field("at"), pa.array(cut, pa.binary()), held.field("opened")],
+                                                 names=["shard", "sid", "at", "body", "opened"])
+    return run
+
+
+def part_anchors(b: np.ndarray, length: int) -> np.ndarray:
+    """For every place the smallest hash in the part (a string of the depth before the last) that starts there."""
+    part = depths(length)[-2]
+    gram = max(1, part * 16 // 25)
+    return sliding_min(gram_hashes(b, gram), part - gram + 1).view(np.int64)
+
+
+def _parts(length: int):
+    """Arrow function: shard and value of the anchors of the parts of strings whose own anchor several shards hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                body, segments = np.frombuffer(batch.column("body")[row].as_buffer(), dtype=np.uint8), batch.column("segments")[row].as_py()
+                for one in segments:
+                    values = [part_anchors(body[r["start"]:r["start"] + r["n"] + length - 1], length) for r in one["opened"]]
+                    if values:
+                        got = np.unique(np.concatenate(values))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), one["shard"])), pa.array(got)], names=["shard", "value"])
     return run
 
 
@@ -225,7 +246,7 @@ _LOCAL = -1  # level of repeats that one shard shows
 
 
 def _built(length: int):
-    """Arrow function on a shard and its open anchors: repeats inside it, and the intervals of every depth that the merge needs."""
+    """Arrow function on a shard and those anchors of parts that other shards hold too: repeats inside it, and the intervals of every depth that the merge needs."""
     levels = depths(length)
     fields = [("level", pa.int32()), ("shard", pa.int64()), ("cls", pa.int32()), ("label", pa.binary()), ("parts", pa.list_(pa.int32())),
               ("sid", pa.int64()), ("at", pa.int32()), ("until", pa.int32())]
@@ -254,17 +275,21 @@ def _built(length: int):
         ends = np.flatnonzero(local & ~np.concatenate([local[1:] & (of[1:] == of[:-1]), [False]]))
         out = [rows(len(begins), level=pa.array(np.full(len(begins), _LOCAL, dtype=np.int32)), sid=pa.array(sid[of[begins]]),
                     at=pa.array(text_place[begins].astype(np.int32)), until=pa.array((text_place[ends] + 1).astype(np.int32)))]
-        if not opened.num_rows:
+        if not opened.num_rows and len(levels) > 1:
             return out[0]
-        runs = segments.column("runs").combine_chunks()
+        runs = segments.column("opened").combine_chunks()
         owner = np.repeat(np.arange(len(size)), runs.value_lengths().to_numpy())
-        start, count, value = (runs.flatten().field(f).to_numpy() for f in ("start", "n", "value"))
-        some = np.isin(value, opened.column("value").to_numpy())
-        begin = (first[owner] + start - at[owner])[some]
-        edge = np.zeros(n + 1, dtype=np.int32)
+        start, count = (runs.flatten().field(f).to_numpy() for f in ("start", "n"))
+        begin, edge = first[owner] + start - at[owner], np.zeros(n + 1, dtype=np.int32)
         np.add.at(edge, begin, 1)
-        np.add.at(edge, begin + count[some], -1)
+        np.add.at(edge, begin + count, -1)
         mask = np.cumsum(edge[:n]) > 0  # strings of the full depth that other shards may hold
+        if len(levels) > 1:  # all their parts must be there too
+            fine = part_anchors(b, length)
+            held = np.zeros(n, dtype=bool)
+            held[:len(fine)] = np.isin(fine, opened.column("value").to_numpy())
+            for step in shifts(levels[-2], length):
+                mask[:n - step] &= held[step:]
         for level in range(len(levels) - 1, -1, -1):
             depth = levels[level]
             places = np.flatnonzero(mask)
@@ -369,14 +394,21 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", t
     marked = runs.join(lookup_side(shared, "shared"), "value").groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "n", "value")).alias("runs"))
     spans = stage(marked.mapInArrow(_spans(length, shard_bytes), _SPAN).withColumn("sid", F.monotonically_increasing_id()), "spans")
     placed = stage(spans.drop("key").join(sharded(spans, length, shard_bytes), "sid"), "placed")
-    of_text = placed.groupBy("h1", "h2").agg(F.collect_list(F.struct("shard", "sid", "at", "n", "runs")).alias("segments"))
-    suspects = long.select("h1", "h2", "body").join(lookup_side(spans.select("h1", "h2").distinct(), "suspects"), ["h1", "h2"], "left_semi")
-    texts = stage(suspects.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(of_text, ["h1", "h2"]), "texts")
-
-    held = placed.select("shard", F.explode("runs.value").alias("value"))
-    opened = held.groupBy("value").agg(F.min("shard").alias("a"), F.max("shard").alias("z")).where("a < z").select("value")
-    opened = held.join(lookup_side(opened, "opened"), "value").select(F.col("shard").alias("on"), "value").distinct()
-    built = stage(texts.select("body", "segments").mapInArrow(_bodies(length), _BODY).groupBy("shard").cogroup(opened.groupBy("on")).applyInArrow(
+    held = placed.select("sid", "shard", F.explode("runs").alias("r")).select("sid", "shard", "r.start", "r.n", "r.value")
+    several = held.groupBy("value").agg(F.min("shard").alias("a"), F.max("shard").alias("z")).where("a < z").select("value")
+    opened = held.join(lookup_side(several, "several"), "value").groupBy("sid").agg(F.collect_list(F.struct("start", "n")).alias("opened"))
+    segments = placed.drop("runs", "key").join(opened, "sid", "left").groupBy("h1", "h2").agg(F.collect_list(F.struct(
+        "shard", "sid", "at", "n", F.coalesce("opened", F.array().cast("array<struct<start:int,n:int>>")).alias("opened"))).alias("segments"))
+    texts = stage(long.groupBy("h1", "h2").agg(F.first("body").alias("body")).join(segments, ["h1", "h2"]), "texts")
+
+    parts = texts.select("body", F.filter("segments", lambda x: F.size(x["opened"]) > 0).alias("segments")).where(F.size("segments") > 0)
+    if len(depths(length)) > 1:
+        parts = stage(parts.mapInArrow(_parts(length), "shard long, value long").distinct(), "parts")
+        several = parts.groupBy("value").agg(F.count("*").alias("shards")).where("shards > 1").select("value")
+        parts = parts.join(lookup_side(several, "several"), "value").select(F.col("shard").alias("on"), "value")
+    else:
+        parts = parts.select(F.lit(0).cast("long").alias("on"), F.lit(0).cast("long").alias("value")).limit(0)
+    built = stage(texts.select("body", "segments").mapInArrow(_bodies(length), _BODY).groupBy("shard").cogroup(parts.groupBy("on")).applyInArrow(
         _built(length), _BUILT), "intervals")
 
     found = built.where(F.col("level") == _LOCAL).select("sid", "at", "until").unionByName(merge_shards(built, length))
