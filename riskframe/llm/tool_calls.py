@@ -5,9 +5,9 @@ calls by turn and position, a result after its call even where the table has it
 parsed as variants, checked against the tool's schema by compiled conditions, and each event is serialised as
 canonical JSON: keys in byte order, no spaces, values as parsed.
 
-Defined results: of calls that repeat an identifier in a conversation the first (by turn, position, name, arguments) counts and the
-others are ``duplicate``; the same holds for results of one call. Results without a call are ``orphan``, calls without a
-result ``pending``, also where the identifier is null. Arguments that are null, no object, or no JSON have the problem
+Defined results: of calls that repeat an identifier in a conversation the first (by turn, position, hash of name and arguments,
+row) counts and the others are ``duplicate``, wholly equal rows too; the same holds for results of one call. Rows without a conversation
+are one conversation. Results without a call are ``orphan``, calls without a result ``pending``, also where the identifier is null. Arguments that are null, no object, or no JSON have the problem
 ``json``. Extra columns are ignored; empty tables give no events.
 """
 
@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskframe.llm.common import ranked
+from riskframe.sources.staging import stage
 
 # fixed values: JSON schema types and the variant types that satisfy them
 TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",),
@@ -49,19 +50,20 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str
 
     calls: conv_id, turn, pos, call_id, name, arguments (JSON text); results: conv_id, turn, pos, call_id, content.
     """
-    calls = calls.select("conv_id", "turn", "pos", "call_id", "name", "arguments")
-    results = results.select("conv_id", "turn", "pos", "call_id", "content")
-    order = lambda *more: F.struct("turn", "pos", *more)
-    # the first call of an identifier and the first result of a call; aggregated before they move
+    number = F.monotonically_increasing_id().alias("row")
+    calls = stage(calls.select("conv_id", "turn", "pos", "call_id", "name", "arguments", number), "calls")
+    results = stage(results.select("conv_id", "turn", "pos", "call_id", "content", number), "results")
+    # the first call of an identifier and the first result of a call, by row number; texts do not move
+    order = lambda *text: F.struct("turn", "pos", F.xxhash64(*text).alias("text"), "row")
     first = calls.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(order("name", "arguments")).alias("first"))
-    answer = results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(order("content")).alias("answer"))
-    keyed = first.join(answer.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
+    answer = results.where("call_id IS NOT NULL").groupBy(F.col("conv_id").alias("_v"), F.col("call_id").alias("_c")).agg(F.min(order("content")).alias("answer"))
+    by_id = F.col("conv_id").eqNullSafe(F.col("_v")) & (F.col("call_id") == F.col("_c"))
+    keyed = first.join(answer.hint("shuffle_hash"), by_id, "left")
     known = keyed.select(F.col("conv_id").alias("_v"), F.col("call_id").alias("_c"), "first", "answer")
-    by_id = (F.col("conv_id") == F.col("_v")) & (F.col("call_id") == F.col("_c"))
 
     parsed = F.try_parse_json("arguments")
     mine = calls.join(known.hint("shuffle_hash"), by_id, "left")
-    is_first = F.coalesce(F.col("first").eqNullSafe(F.struct("turn", "pos", "name", "arguments")), F.lit(False)) | F.col("call_id").isNull()
+    is_first = F.coalesce(F.col("first.row") == F.col("row"), F.lit(False)) | F.col("call_id").isNull()
     events = mine.select(
         "conv_id", "turn", F.lit(0).alias("step"), F.col("pos"), F.lit("call").alias("kind"), "call_id",
         F.when(~is_first, "duplicate").when(F.col("answer").isNull(), "pending").otherwise("answered").alias("status"),
@@ -69,7 +71,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str
         _json(("arguments", F.coalesce(F.to_json(parsed), _text(F.col("arguments")))),
               ("id", _text(F.col("call_id"))), ("name", _text(F.col("name")))).alias("json"))
     theirs = results.join(known.hint("shuffle_hash"), by_id, "left")
-    is_answer = F.coalesce(F.col("answer").eqNullSafe(F.struct("turn", "pos", "content")), F.lit(False))
+    is_answer = F.coalesce(F.col("answer.row") == F.col("row"), F.lit(False))
     after = F.col("first").isNotNull() & (F.struct("first.turn", "first.pos") > F.struct("turn", "pos"))
     events = events.unionByName(theirs.select(
         "conv_id", F.when(after, F.col("first.turn")).otherwise(F.col("turn")).alias("turn"), F.lit(1).alias("step"),

@@ -206,6 +206,15 @@ def test_tool_calls(spark):
     assert tool_calls.link(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
 
 
+def test_repeated_rows_are_linked_once(spark):
+    call, result = (1, 1, 0, "x", "add", '{"a":1,"b":1}'), (1, 2, 0, "x", "ok")
+    no_talk = (None, 1, 0, "x", "add", '{"a":1,"b":1}'), (None, 2, 0, "x", "ok")
+    got = tool_calls.link(spark.createDataFrame([call] * 3 + [no_talk[0]], CALLS), spark.createDataFrame([result] * 2 + [no_talk[1]], RESULTS), SCHEMAS).collect()
+    counts = Counter((r["conv_id"], r["kind"], r["status"]) for r in got)
+    assert counts == {(1, "call", "answered"): 1, (1, "call", "duplicate"): 2, (1, "result", "linked"): 1, (1, "result", "duplicate"): 1,
+                      (None, "call", "answered"): 1, (None, "result", "linked"): 1}
+
+
 def test_tool_calls_run_no_user_functions(spark, sf):
     from riskframe.llm.q_tool_calls import op7_tool_calls
     plan = op7_tool_calls(spark, sf)._jdf.queryExecution().toString()
