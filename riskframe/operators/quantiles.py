@@ -7,6 +7,9 @@ split the brackets, until a cell that holds a wanted rank has a single value.
 Each pass is one map-side combined aggregation whose result has at most
 ``features x ranks x cells`` rows, whatever the table size. The answer is
 exact: a rank outside its bracket is simply looked for in the cell that has it.
+
+Infinite values are ordinary values at the ends of the order: they are counted in the first pass, and the cells hold the finite
+ones. Between an infinite and a finite value a quantile is infinite, between both infinities it is NaN.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from riskframe.functions.frames import WIDE_LIMIT
 _ACCURACY = 10_000
 _MAX_CELL_ROWS = 200_000
 _STRIDE = 4096
-_HUGE = 1.7976931348623157e308
+_INF = float("inf")
 
 
 def _sql(values: Sequence[float]) -> list[str]:
@@ -87,21 +90,24 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
         return {}
     def clean(c: Column) -> Column:
         d = c.cast("double")
-        return F.when(d.isNotNull() & ~F.isnan(d), F.greatest(F.lit(-_HUGE), F.least(F.lit(_HUGE), d)))
-    base = df.select(*[clean(values[n]).alias(f"v{i}") for i, n in enumerate(names)])
+        return F.when(d.isNotNull() & ~F.isnan(d), d)
+    every = df.select(*[clean(values[n]).alias(f"r{i}") for i, n in enumerate(names)])
+    finite = [F.when(F.abs(F.col(f"r{i}")) < F.lit(_INF), F.col(f"r{i}")).alias(f"v{i}") for i in range(len(names))]
+    base = every.select("*", *finite)
 
     probes: list[float] = []
     for p in probs:
         probes += [p] if approx else [max(0.0, p - 2 / _ACCURACY), min(1.0, p + 2 / _ACCURACY)]
     stats: dict[int, tuple] = {}
-    per = WIDE_LIMIT // 4
+    per = WIDE_LIMIT // 6
     for start in range(0, len(names), per):
         idx = range(start, min(start + per, len(names)))
         sketch = ", ".join(_sql(probes))
         row = base.selectExpr(*[x for i in idx for x in (
-            f"count(v{i})", f"min(v{i})", f"max(v{i})", f"percentile_approx(v{i}, array({sketch}), {_ACCURACY})")]).first()
+            f"count(r{i})", f"min(v{i})", f"max(v{i})", f"percentile_approx(r{i}, array({sketch}), {_ACCURACY})",
+            f"count_if(r{i} = double('-infinity'))", f"count(v{i})")]).first()
         for j, i in enumerate(idx):
-            stats[i] = tuple(row[4 * j:4 * j + 4])
+            stats[i] = tuple(row[6 * j:6 * j + 6])
 
     if approx:
         return {n: (list(stats[i][3]) if stats[i][0] else [None] * len(probs)) for i, n in enumerate(names)}
@@ -109,7 +115,7 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
     wanted: dict[int, set[int]] = {}
     found: dict[tuple[int, int], float] = {}
     intervals: dict[int, list[tuple[float, float]]] = {}
-    for i, (n, lo, hi, sketch) in stats.items():
+    for i, (n, lo, hi, sketch, below, inside) in stats.items():
         if not n:
             continue
         ranks = set()
@@ -117,11 +123,14 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
         for k, p in enumerate(probs):
             h = p * (n - 1)
             ranks |= {math.floor(h), math.ceil(h)}
-            a = lo if p - 2 / _ACCURACY <= 0 else sketch[2 * k]
-            b = hi if p + 2 / _ACCURACY >= 1 else sketch[2 * k + 1]
-            brackets.append((a, b))
-        for known, value in ((0, lo), (n - 1, hi)):
-            if known in ranks:
+            if inside:
+                a = lo if p - 2 / _ACCURACY <= 0 else sketch[2 * k]
+                b = hi if p + 2 / _ACCURACY >= 1 else sketch[2 * k + 1]
+                brackets.append((min(max(a, lo), hi), min(max(b, lo), hi)))
+        found.update({(i, r): -_INF for r in ranks if r < below})
+        found.update({(i, r): _INF for r in ranks if r >= below + inside})
+        for known, value in ((below, lo), (below + inside - 1, hi)):
+            if inside and known in ranks:
                 found[i, known] = value
         wanted[i] = {r for r in ranks if (i, r) not in found}
         if wanted[i]:
@@ -137,7 +146,7 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
         counted = _count_cells(base, intervals, cells)
         nxt: dict[int, list[tuple[float, float]]] = {}
         for i, cell_rows in counted.items():
-            before, open_cells = 0, []
+            before, open_cells = stats[i][4], []  # ranks count the infinite values below
             for n, lo, hi in cell_rows:
                 inside = [r for r in wanted[i] if before <= r < before + n]
                 for r in inside:
@@ -163,7 +172,11 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
         for p in probs:
             h = p * (n - 1)
             a, b = found[i, math.floor(h)], found[i, math.ceil(h)]
-            vals.append(a + (b - a) * (h - math.floor(h)))
+            part = h - math.floor(h)
+            if math.isinf(a) or math.isinf(b):
+                vals.append(a if part == 0 or a == b or math.isinf(a) and not math.isinf(b) else b if not math.isinf(a) else float("nan"))
+            else:
+                vals.append(a + (b - a) * part)
         out[name] = vals
     return out
 

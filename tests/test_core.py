@@ -145,3 +145,29 @@ def test_feature_rows_are_replaced_by_key(spark, tmp_path):
     assert found == {(1, "train", 1.0), (2, "train", 5.0), (3, "train", 3.0)}
     t.append_features(rows, str(tmp_path), "g", 2)
     assert t.feature_view(spark, str(tmp_path), "g", 2).count() == 2 and t.feature_view(spark, str(tmp_path), "g", 1).count() == 3
+
+
+@pytest.mark.parametrize("case", [(3, 2), (0, 5), (60, 0), (1, 1), (0, 0)])
+def test_quantiles_with_infinite_values(spark, case):
+    rng = np.random.default_rng(sum(case))
+    finite = [*rng.normal(size=41).round(1).tolist(), 1.7e308, -1.7e308]
+    values = [-math.inf] * case[0] + finite + [math.inf] * case[1]
+    df = spark.createDataFrame([(x,) for x in [*values, None, math.nan]], "v double").repartition(3)
+    probs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+    got = exact_quantiles(df, {"v": F.col("v")}, probs)["v"]
+    at = sorted(values)
+    for p, g in zip(probs, got):
+        h = p * (len(at) - 1)
+        a, b, part = at[math.floor(h)], at[math.ceil(h)], h - math.floor(h)
+        want = a if part == 0 or a == b else -math.inf if a == -math.inf else math.inf if b == math.inf else a + (b - a) * part
+        assert g == want or g == pytest.approx(want), p
+    only = spark.createDataFrame([(math.inf,), (math.inf,), (-math.inf,)], "v double")
+    assert exact_quantiles(only, {"v": F.col("v")}, [0.0, 0.5, 1.0])["v"] == [-math.inf, math.inf, math.inf]
+
+
+def test_medians_and_outlier_bounds_with_infinite_values(spark):
+    from riskframe.operators import clean
+    df = spark.createDataFrame([(math.inf,), (math.inf,), (1.0,), (2.0,), (3.0,), (4.0,), (None,)], "v double")
+    assert clean.medians(df, ["v"])["v"] == 3.5
+    stats = clean.outlier_stats(df.union(spark.createDataFrame([(0.0,)] * 6, "v double")), ["v"], 1.0).first()
+    assert (stats.q1, stats.q3, stats.high_fence, stats.max_value, stats.n_outliers) == (0.0, 3.25, 6.5, math.inf, 2)
