@@ -2,22 +2,28 @@
 
 Rows are ordered by a portable 60-bit hash of (seed, id). A split needs only
 the hash value below which the wanted number of rows lies, per stratum. That value
-is found by counting up to 15 hash bits at a time (a bounded number of counts per
-pass), so the split itself is a predicate: no sort, no window, no shuffle.
+is found by radix selection on a table of (stratum, prefix, rows still wanted): each pass counts the next
+``_STEP`` bits of the rows under an open prefix and keeps the child that holds the wanted row, so there are at most four passes
+and the number of strata is not bounded by the driver. With few strata the split itself is a predicate: no sort, no window, no
+shuffle; with many, the hash values are joined by stratum.
 """
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.hashing import HASH_BITS, hash60
+from riskframe.functions.order import numbered
 from riskframe.functions.scalars import col
+from riskframe.sources.staging import lookup_side, stage
 
-_MAX_COUNTS = 500_000  # counts brought to the driver per pass
 _FULL = 1 << HASH_BITS
+_STEP = 15  # bits per pass
+FEW = 256  # hash values that become literals of the predicate; more are joined
 
 
 def largest_remainder(counts: Mapping, total: int) -> dict:
@@ -34,107 +40,151 @@ def largest_remainder(counts: Mapping, total: int) -> dict:
     return out
 
 
-MAX_STRATA = 10_000
+def _few(rows: DataFrame) -> list | None:
+    """The rows, where they are at most FEW."""
+    some = rows.limit(FEW + 1).collect()
+    return some if len(some) <= FEW else None
 
 
-def stratum_counts(df: DataFrame, stratum: Column) -> dict:
-    """Rows per class. A label has few classes; a column with many is refused, not collected."""
-    rows = df.groupBy(stratum.cast("string").alias("s")).count().limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata: stratify on a label, not on a key")
-    return {r.s: r["count"] for r in rows}
+def _local(rows: DataFrame, some: list) -> DataFrame:
+    """The collected rows as a table that costs no job."""
+    return rows.sparkSession.createDataFrame([tuple(r) for r in some], rows.schema)
 
 
-def hash_thresholds(df: DataFrame, key: Column, stratum: Column, wanted: Mapping, seed: int) -> dict:
-    """{(stratum, count): (T, extra)} such that exactly ``count`` rows of the stratum have hash < T
-    plus the first ``extra`` rows (by key) at hash == T."""
+def strata(df: DataFrame, stratum: Column) -> DataFrame:
+    """``s, n``: rows per stratum (as text; null is one), stored where they are many."""
+    counts = df.groupBy(stratum.cast("string").alias("s")).agg(F.count("*").alias("n"))
+    some = _few(counts)
+    return stage(counts, "strata") if some is None else _local(counts, some)
+
+
+def _total(counts: DataFrame) -> tuple[int, int, int]:
+    """Rows, strata and the rows of the smallest one."""
+    r = counts.agg(F.sum("n"), F.count("*"), F.min("n")).first()
+    return r[0] or 0, r[1], r[2] or 0
+
+
+def quotas(counts: DataFrame, total: int) -> DataFrame:
+    """``s, n, quota``: ``largest_remainder`` on a table of any number of strata."""
+    some = _few(counts)
+    if some is not None:
+        share = largest_remainder({r["s"]: r["n"] for r in some}, total)
+        return counts.sparkSession.createDataFrame([(*r, share[r["s"]]) for r in some], "s string, n long, quota long")
+    exact = (F.col("n") * F.lit(total)).cast("double") / F.lit(float(max(1, _total(counts)[0])))
+    base = counts.withColumn("_exact", exact).withColumn("quota", F.floor("_exact"))
+    rest = total - (base.agg(F.sum("quota")).first()[0] or 0)
+    if rest <= 0:
+        return base.select("s", "n", "quota")
+    placed = numbered(base.withColumn("_gap", F.col("quota") - F.col("_exact")).withColumn("_name", F.coalesce("s", F.lit("None"))), ["_gap", "_name"], "_at")
+    return placed.select("s", "n", (F.col("quota") + F.when(F.col("_at") < rest, 1).otherwise(0)).alias("quota"))
+
+
+def hash_cuts(df: DataFrame, key: Column, stratum: Column, bounds: DataFrame, seed: int) -> DataFrame:
+    """``s, i, cut, extra``, stored; bounds: ``s, i, wanted, n``.
+
+    Exactly ``wanted`` rows of the stratum have a hash below ``cut`` or are among the first ``extra`` rows (by key) at it."""
     src = df.select(stratum.cast("string").alias("s"), hash60(key, seed).alias("h"))
-    done: dict = {}
-    open_: dict = {}
-    for s, counts in wanted.items():
-        for c in counts:
-            if c <= 0:
-                done[s, c] = (0, 0)
-            else:
-                open_[s, c] = (0, c)  # prefix so far, rows still to take below it
-    bits = 0
-    while open_:
-        fan = max(1, len(open_) if bits else len(wanted))
-        step = min(HASH_BITS - bits, max(4, min(15, (_MAX_COUNTS // fan).bit_length() - 1)))
-        shift = HASH_BITS - bits - step
-        probe = src
-        if bits:
-            keys = sorted({(s or "", p) for (s, _), (p, _) in open_.items()})
-            named = F.concat_ws("|", F.coalesce(F.col("s"), F.lit("")),
-                                F.shiftright("h", HASH_BITS - bits).cast("string"))
-            probe = src.where(named.isin([f"{s}|{p}" for s, p in keys]))
-        rows = (probe.groupBy("s", F.shiftright("h", shift).alias("b")).count()).collect()
-        hist: dict = {}
-        for r in rows:
-            hist.setdefault(r.s, []).append((r.b, r["count"]))
-        bits += step
-        nxt = {}
-        for (s, c), (prefix, left) in open_.items():
-            answer = None
-            for b, n in sorted(x for x in hist.get(s, []) if bits == step or x[0] >> step == prefix):
-                if left == n:
-                    answer = ((b + 1) << shift, 0)
-                elif left < n:
-                    if shift == 0:
-                        answer = (b, left)
-                    else:
-                        nxt[s, c] = (b, left)
-                        answer = "open"
-                if answer:
-                    break
-                left -= n
-            if answer is None:
-                answer = (_FULL, 0)
-            if answer != "open":
-                done[s, c] = answer
-        open_ = nxt
-    return done
-
-
-def _band(df: DataFrame, key: str, stratum: Column, bounds: Mapping[str | None, Sequence[int]], seed: int) -> DataFrame:
-    """Adds ``__band``: the number of cumulative bounds (per stratum) at or below the row's hash rank."""
-    t = hash_thresholds(df, col(key), stratum, bounds, seed)
+    some = _few(bounds.select("s", "i", "wanted", "n"))
+    if some is not None:  # the open rows stay on the driver, which saves jobs and changes nothing else
+        cuts = [(r["s"], r["i"], 0 if r["wanted"] <= 0 else _FULL, 0) for r in some if r["wanted"] <= 0 or r["wanted"] >= r["n"]]
+        open_ = [(r["s"], r["i"], 0, r["wanted"]) for r in some if 0 < r["wanted"] < r["n"]]
+        for shift in range(HASH_BITS - _STEP, -1, -_STEP):
+            if not open_:
+                break
+            found = _children(src, df.sparkSession.createDataFrame(open_, "s string, i int, prefix long, left long"), shift, stored=False).collect()
+            for r in found:
+                if r["left"] == r["n"] or shift == 0:
+                    whole = r["left"] == r["n"]  # all rows under the prefix
+                    cuts.append((r["s"], r["i"], (r["prefix"] + 1) << shift if whole else r["prefix"], 0 if whole else r["left"]))
+            open_ = [tuple(r)[:4] for r in found if r["left"] != r["n"] and shift]
+        return df.sparkSession.createDataFrame(cuts, "s string, i int, cut long, extra long")
+    edge = F.when(F.col("wanted") <= 0, F.lit(0)).when(F.col("wanted") >= F.col("n"), F.lit(_FULL)).cast("long")
+    none = F.lit(0).cast("long")
+    rows = stage(bounds.select("s", "i", edge.alias("cut"), none.alias("extra"), none.alias("prefix"), F.col("wanted").cast("long").alias("left")), "bounds")
+    done = [rows.where("cut IS NOT NULL").select("s", "i", "cut", "extra")]
+    rows = rows.where("cut IS NULL").select("s", "i", "prefix", "left")
+    for shift in range(HASH_BITS - _STEP, -1, -_STEP):
+        if rows.isEmpty():
+            break
+        found = stage(_children(src, rows, shift), "found")
+        whole = F.col("left") == F.col("n")
+        done.append(found.where(whole).select("s", "i", F.shiftleft(F.col("prefix") + 1, shift).alias("cut"), none.alias("extra")))
+        if shift == 0:
+            done.append(found.where(~whole).select("s", "i", F.col("prefix").alias("cut"), F.col("left").alias("extra")))
+        rows = found.where(~whole).select("s", "i", "prefix", "left")
+    return stage(functools.reduce(DataFrame.unionByName, done), "cuts")
+
+
+def _children(src: DataFrame, rows: DataFrame, shift: int, stored: bool = True) -> DataFrame:
+    """``s, i, prefix, left, n``: the child prefixes, down to bit ``shift``, that hold the wanted rows; n is their number of rows."""
+    if shift + _STEP < HASH_BITS:
+        under = rows.select(F.col("s").alias("_s"), F.col("prefix").alias("_p")).distinct()
+        probe = src.withColumn("prefix", F.shiftright("h", shift + _STEP)).join(
+            lookup_side(under, "prefixes") if stored else under, F.col("s").eqNullSafe(F.col("_s")) & (F.col("prefix") == F.col("_p")))
+    else:
+        probe = src.withColumn("prefix", F.lit(0).cast("long"))
+    counts = probe.groupBy("s", "prefix", F.shiftright("h", shift).alias("child")).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("s", "prefix").orderBy("child").rowsBetween(Window.unboundedPreceding, 0)  # at most 2 ** _STEP rows
+    counts = counts.withColumn("upto", F.sum("n").over(upto)).select(F.col("s").alias("_s"), F.col("prefix").alias("_p"), "child", "n", "upto")
+    here = F.col("s").eqNullSafe(F.col("_s")) & (F.col("prefix") == F.col("_p")) & (F.col("left") <= F.col("upto")) & (F.col("left") > F.col("upto") - F.col("n"))
+    return rows.join(counts, here).select("s", "i", F.col("child").alias("prefix"), (F.col("left") - F.col("upto") + F.col("n")).alias("left"), "n")
+
+
+def _ties_numbered(out: DataFrame, tied: Column, s: Column, h: Column, key: str) -> DataFrame:
+    """Adds ``__tie``: from 1, the place of a row among those with its stratum and hash, 0 where that decides nothing.
+
+    Repeated keys share one hash. Places come from a range sort and prefix sums, so a key that holds many rows is not one task."""
+    rows = out.where(tied).withColumn("__s", s).withColumn("__h", h)
+    placed = numbered(rows, ["__s", "__h", key], "__at")
+    first = placed.groupBy(F.col("__s").alias("__fs"), F.col("__h").alias("__fh")).agg(F.min("__at").alias("__first"))
+    placed = placed.join(lookup_side(first, "first"), F.col("__s").eqNullSafe(F.col("__fs")) & (F.col("__h") == F.col("__fh")))
+    placed = placed.select(*[col(c) for c in out.columns], (F.col("__at") - F.col("__first") + 1).alias("__tie"))
+    return out.where(~tied).withColumn("__tie", F.lit(0).cast("long")).unionByName(placed)
+
+
+def _band(df: DataFrame, key: str, stratum: Column, bounds: DataFrame, seed: int, name: str = "__band") -> DataFrame:
+    """Adds ``name``: the number of cumulative bounds (per stratum) at or below the row's hash rank."""
+    cuts = hash_cuts(df, col(key), stratum, bounds, seed)
+    few = cuts.limit(FEW + 1).collect()
     h, s = hash60(col(key), seed), stratum.cast("string")
-    out = df
-    if any(extra for _, extra in t.values()):
-        # repeated keys share one hash: rank only the rows at the threshold
-        at = {}
-        for (st, _), (T, extra) in t.items():
-            if extra:
-                at.setdefault(st, set()).add(T)
-        tied = F.lit(False)
-        for st, ts in at.items():
-            tied = tied | (s.eqNullSafe(F.lit(st)) & h.isin(sorted(ts)))
-        tied = F.coalesce(tied, F.lit(False))
-        rank = F.row_number().over(Window.partitionBy(s, h).orderBy(col(key)))
-        out = out.where(~tied).withColumn("__tie", F.lit(0)).unionByName(
-            out.where(tied).withColumn("__tie", rank))
+    below = lambda cut, extra: (h < cut) | ((h == cut) & (F.col("__tie") > 0) & (F.col("__tie") <= extra))
+    if len(few) <= FEW:
+        per: dict = {}
+        for r in sorted(few, key=lambda r: r["i"]):
+            per.setdefault(r["s"], []).append((r["cut"], r["extra"]))
+        out = df
+        tied, band = F.lit(False), None
+        for st, pairs in per.items():
+            at = sorted({cut for cut, extra in pairs if extra})
+            tied = tied | (s.eqNullSafe(F.lit(st)) & h.isin(at)) if at else tied
+            n = F.lit(0)
+            for cut, extra in pairs:
+                n = n + F.when(below(F.lit(cut), F.lit(extra)), 0).otherwise(1)
+            band = F.when(s.eqNullSafe(F.lit(st)), n) if band is None else band.when(s.eqNullSafe(F.lit(st)), n)
+        some = any(r["extra"] for r in few)
     else:
-        out = out.withColumn("__tie", F.lit(0))
-    band = None
-    for st, counts in bounds.items():
-        n = F.lit(0)
-        for c in counts:
-            T, extra = t[st, c]
-            below = (h < F.lit(T)) | ((h == F.lit(T)) & (F.col("__tie") > 0) & (F.col("__tie") <= F.lit(extra)))
-            n = n + F.when(below, 0).otherwise(1)
-        cond = s.eqNullSafe(F.lit(st))
-        band = F.when(cond, n) if band is None else band.when(cond, n)
-    return out.withColumn("__band", band if band is not None else F.lit(0)).drop("__tie")
+        lists = cuts.groupBy(F.col("s").alias("__cs")).agg(F.array_sort(F.collect_list(F.struct("i", "cut", "extra"))).alias("__cuts"))
+        out = df.withColumn("__hash", h).join(lookup_side(lists, "cut_lists"), s.eqNullSafe(F.col("__cs")), "left")
+        h = F.col("__hash")  # computed once per row, before the cuts are looked at
+        tied = F.exists("__cuts", lambda x: (x["extra"] > 0) & (x["cut"] == h))
+        band = F.size(F.filter("__cuts", lambda x: ~below(x["cut"], x["extra"])))
+        some = not cuts.where("extra > 0").isEmpty()
+    tied = F.coalesce(tied, F.lit(False))
+    out = _ties_numbered(out, tied, s, h, key) if some else out.withColumn("__tie", F.lit(0).cast("long"))
+    return out.select(*[col(c) for c in df.columns], (band if band is not None else F.lit(0)).cast("int").alias(name))
+
+
+def _one(counts: DataFrame, wanted: Column) -> DataFrame:
+    return counts.select("s", F.lit(0).alias("i"), wanted.alias("wanted"), "n")
 
 
 def stratified_split(df: DataFrame, key: str, label: str | None, test_size: float, seed: int = 42,
                      names: tuple[str, str] = ("train", "validation"), column: str = "split") -> DataFrame:
     """Label-proportional split; ``label=None`` gives a plain random split."""
     stratum = col(label) if label else F.lit("all")
-    counts = stratum_counts(df, stratum)
-    quota = largest_remainder(counts, math.ceil(test_size * sum(counts.values())))
-    banded = _band(df, key, stratum, {s: [quota[s]] for s in counts}, seed)
+    counts = strata(df, stratum)
+    quota = quotas(counts, math.ceil(test_size * _total(counts)[0]))
+    banded = _band(df, key, stratum, _one(quota, F.col("quota")), seed)
     return banded.withColumn(
         column, F.when(F.col("__band") == 0, F.lit(names[1])).otherwise(F.lit(names[0]))).drop("__band")
 
@@ -142,11 +192,14 @@ def stratified_split(df: DataFrame, key: str, label: str | None, test_size: floa
 def three_way_split(df: DataFrame, key: str, label: str, val_size: float, test_size: float,
                     seed: int = 42, column: str = "split") -> DataFrame:
     """Test, validation and train as three bands of one hash order."""
-    counts = stratum_counts(df, col(label))
-    n = sum(counts.values())
-    test = largest_remainder(counts, math.ceil(test_size * n))
-    both = largest_remainder(counts, math.ceil((test_size + val_size) * n))
-    banded = _band(df, key, col(label), {s: [test[s], max(both[s], test[s])] for s in counts}, seed)
+    counts = strata(df, col(label))
+    n = _total(counts)[0]
+    test = quotas(counts, math.ceil(test_size * n)).withColumnRenamed("quota", "test")
+    both = quotas(counts, math.ceil((test_size + val_size) * n)).select(F.col("s").alias("_s"), "quota")
+    pairs = test.join(both, F.col("s").eqNullSafe(F.col("_s")))
+    wanted = F.array(F.struct(F.lit(0).alias("i"), F.col("test").alias("wanted")), F.struct(F.lit(1).alias("i"), F.greatest("test", "quota").alias("wanted")))
+    bounds = pairs.select("s", "n", F.explode(wanted).alias("w")).select("s", "w.i", "w.wanted", "n")
+    banded = _band(df, key, col(label), bounds, seed)
     return banded.withColumn(
         column, F.element_at(F.array(F.lit("test"), F.lit("validation"), F.lit("train")),
                              F.col("__band") + 1)).drop("__band")
@@ -158,18 +211,19 @@ def split_balance(df: DataFrame, label: str, column: str = "split") -> DataFrame
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """A simple random sample of exactly n rows (all rows when there are fewer)."""
-    return _band(df, key, F.lit("all"), {"all": [n]}, seed).where("__band = 0").drop("__band")
+    bounds = _one(strata(df, F.lit("all")), F.lit(n))
+    return _band(df, key, F.lit("all"), bounds, seed).where("__band = 0").drop("__band")
 
 
 def sample_stratified_cap(df: DataFrame, key: str, label: str, max_rows: int, seed: int = 42) -> DataFrame:
     """At most max_rows rows, label-proportional when every class has two rows or more."""
-    counts = stratum_counts(df, col(label))
-    if sum(counts.values()) <= max_rows:
+    counts = strata(df, col(label))
+    rows, _, smallest = _total(counts)
+    if rows <= max_rows:
         return df
-    if min(counts.values()) < 2:
+    if smallest < 2:
         return sample_exact(df, key, max_rows, seed)
-    quota = largest_remainder(counts, max_rows)
-    return _band(df, key, col(label), {s: [quota[s]] for s in counts}, seed).where("__band = 0").drop("__band")
+    return _band(df, key, col(label), _one(quotas(counts, max_rows), F.col("quota")), seed).where("__band = 0").drop("__band")
 
 
 def hash_folds(df: DataFrame, key: str, k: int, seed: int = 42, column: str = "fold") -> DataFrame:
@@ -177,30 +231,29 @@ def hash_folds(df: DataFrame, key: str, k: int, seed: int = 42, column: str = "f
     return df.withColumn(column, F.pmod(hash60(col(key), seed), F.lit(k)).cast("int"))
 
 
+def _fold_bounds(counts: DataFrame, k: int) -> DataFrame:
+    each = counts.select("s", "n", F.explode(F.sequence(F.lit(1), F.lit(max(1, k - 1)))).alias("i"))
+    return each.select("s", "i", F.ceil(F.col("i") * F.col("n") / F.lit(k)).alias("wanted"), "n").where(F.col("i") < k)
+
+
 def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42,
                      column: str = "fold") -> DataFrame:
     """Folds that split every class into k parts whose sizes differ by at most one."""
-    counts = stratum_counts(df, col(label))
-    bounds = {s: [-(-i * n // k) for i in range(1, k)] for s, n in counts.items()}
-    return _band(df, key, col(label), bounds, seed).withColumnRenamed("__band", column)
+    return _band(df, key, col(label), _fold_bounds(strata(df, col(label)), k), seed, column)
 
 
 def repeated_folds(df: DataFrame, key: str, label: str, k: int, repeats: int, seed: int = 42) -> DataFrame:
     """``repeats`` independent stratified foldings, one row per (row, repeat)."""
-    out = df
-    names = []
-    for r in range(1, repeats + 1):
-        out = stratified_folds(out, key, label, k, seed + r, f"__fold{r}")
-        names.append(f"__fold{r}")
-    pairs = F.array(*[F.struct(F.lit(r + 1).alias("repeat"), F.col(c).alias("fold")) for r, c in enumerate(names)])
-    return out.withColumn("__p", F.explode(pairs)).select(*df.columns, "__p.repeat", "__p.fold")
+    bounds = stage(_fold_bounds(strata(df, col(label)), k), "fold_bounds")
+    parts = [_band(df, key, col(label), bounds, seed + r, "fold").select(*[col(c) for c in df.columns], F.lit(r).alias("repeat"), "fold")
+             for r in range(1, repeats + 1)]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def holdout_split(df: DataFrame, key: str, label: str, fraction: float, seed: int = 42,
                   min_rows: int = 20, column: str = "part") -> DataFrame:
     """Splits off a stratified holdout when the data allows one; otherwise every row is 'fit'."""
-    counts = stratum_counts(df, col(label))
-    enough = counts and len(counts) > 1 and min(counts.values()) >= 2 and sum(counts.values()) >= min_rows
-    if not (0.0 < fraction < 0.5 and enough):
+    rows, classes, smallest = _total(strata(df, col(label)))
+    if not (0.0 < fraction < 0.5 and classes > 1 and smallest >= 2 and rows >= min_rows):
         return df.withColumn(column, F.lit("fit"))
     return stratified_split(df, key, label, fraction, seed, ("fit", "holdout"), column)

@@ -112,10 +112,29 @@ def test_sample_and_folds(hundred):
     assert set(whole.part) == {"fit"}
 
 
-def test_strata_must_be_few(hundred, monkeypatch):
-    monkeypatch.setattr(split, "MAX_STRATA", 10)
-    with pytest.raises(ValueError):
-        split.stratified_split(hundred, "id", "id", 0.2)
+def test_any_number_of_strata(spark, hundred, monkeypatch):
+    rows = spark.range(30_000).select("id", (F.col("id") % 7000).cast("string").alias("s"))  # 2000 strata of 5 rows, 5000 of 4
+    per = split.stratified_split(rows, "id", "s", 0.25).groupBy("s").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "validation").alias("v"))
+    want = split.largest_remainder({str(i): 5 if i < 2000 else 4 for i in range(7000)}, 7500)
+    assert {r.s: r.v for r in per.collect()} == want
+    folds = split.stratified_folds(rows, "id", "s", 3).groupBy("s", "fold").count().groupBy("s").agg(F.max("count").alias("m"), F.min("count").alias("l"))
+    assert folds.where("m - l > 1").isEmpty()
+    few = {r.id: r.split for r in split.stratified_split(hundred, "id", "y", 0.2).collect()}
+    monkeypatch.setattr(split, "FEW", 0)  # joined cuts give what literals give
+    assert {r.id: r.split for r in split.stratified_split(hundred, "id", "y", 0.2).collect()} == few
+
+
+@pytest.mark.parametrize("most", [0, 256])
+def test_hot_keys_and_null_strata_are_cut_exactly(spark, monkeypatch, most):
+    monkeypatch.setattr(split, "FEW", most)
+    rows = spark.createDataFrame([(7 if i % 3 == 0 else i, None if i % 5 == 0 else "ab"[i % 2], i) for i in range(600)], "id long, s string, row long").repartition(6)
+    got = split.stratified_split(rows, "id", "s", 0.3).groupBy("s").agg(F.count_if(F.col("split") == "validation").alias("v")).collect()
+    want = split.largest_remainder({None: 120, "a": 240, "b": 240}, 180)
+    assert {r.s: r.v for r in got} == want
+    three = split.three_way_split(rows, "id", "s", 0.2, 0.1).groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in three} == {"test": 60, "validation": math.ceil((0.1 + 0.2) * 600) - 60, "train": 600 - math.ceil((0.1 + 0.2) * 600)}
+    again = split.repeated_folds(rows, "id", "s", 3, 3).groupBy("repeat", "s", "fold").count().collect()
+    assert {(r.repeat, r.s, r["count"]) for r in again} == {(r, s, n) for r in (1, 2, 3) for s, n in ((None, 40), ("a", 80), ("b", 80))}
 
 
 def test_correlation_is_pairwise_complete(odd_columns):
