@@ -32,7 +32,7 @@ UNIT = 1_000_000_000
 SMOOTH = 5
 TOP = 50
 BLOCK = 1 << 16
-_HELD = 200_000  # terms a task holds before it hands them on
+_HELD = 300_000  # terms a task holds before it hands them on
 
 
 def counted(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
@@ -40,31 +40,30 @@ def counted(docs: DataFrame, lang: str = "lang", source: str = "source", text: s
     names = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
+        held: dict = {}  # group -> occurrences and documents of its terms
         size = 0
 
-        def flush() -> pa.RecordBatch:
-            rows = [(*group, term.decode("utf-8", "replace"), n, d) for group, terms in held.items() for term, (n, d) in terms.items()]
-            rows += [(*group, None, 0, 0) for group in held]
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (in_lang, in_source), (uses, texts) in held.items():
+                terms = [None, *(t.decode("utf-8", "replace") for t in uses)]
+                columns = [[in_lang] * len(terms), [in_source] * len(terms), terms, [0, *uses.values()], [0, *(texts[t] for t in uses)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, names.types, strict=True)], schema=names)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), names.types, strict=True)], schema=names)
 
         for batch in batches:
             for group, body in zip(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True),
                                    batch.column("body"), strict=True):
-                terms = held.setdefault(group, {})
-                for term, n in Counter(TERM.findall(body.as_py().lower())).items():
-                    if term in terms:
-                        terms[term][0] += n
-                        terms[term][1] += 1
-                    else:
-                        terms[term] = [n, 1]
-                        size += 1
+                if group not in held:
+                    held[group] = Counter(), Counter()
+                uses, texts = held[group]
+                terms, before = TERM.findall(body.as_py().lower()), len(uses)
+                uses.update(terms)
+                texts.update(set(terms))
+                size += len(uses) - before
                 if size >= _HELD:
-                    yield flush()
+                    yield from flush()
                     size = 0
-        if held:
-            yield flush()
+        yield from flush()
 
     none = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
     return docs.select(none(lang).alias("lang"), none(source).alias("source"), none(text).cast("binary").alias("body")).mapInArrow(
