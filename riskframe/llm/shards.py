@@ -12,7 +12,8 @@ Requests reach the driver as counts per pair of shards. Keys that hold more than
 (at most a thousand keys) are salted in the joins.
 
 Defined results: null keys link nothing. Rows repeated in the table are rows of their own. An empty table
-gives an empty result. Extra columns of the input are ignored unless named in ``keep``.
+gives an empty result. Extra columns of the input are ignored unless named in ``keep``; one that is kept and named key,
+shard or slot gives way to the result's column of that name, any other name may be kept.
 """
 
 from __future__ import annotations
@@ -143,13 +144,13 @@ def even(rows: DataFrame, n: int, shards: int, order: Sequence[str]) -> DataFram
 
 def balanced_shards(docs: DataFrame, key: Column, shards: int = 24, rounds: int = 10, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns, key, shard and slot; rows with equal keys are linked."""
-    base = stage(docs.select(*[docs[c] for c in keep], key.alias("key")).withColumn("rid", F.monotonically_increasing_id()), "rows")
+    base = stage(docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), key.alias("key")).withColumn("rid", F.monotonically_increasing_id()), "rows")
     n = base.count()
     groups = base.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("one"))
     single = groups.where("n = 1").select(F.col("one").alias("rid"))
     links = stage(base.where("key IS NOT NULL").select("rid", "key").join(single, "rid", "left_anti"), "linked")
     state = propagate(links, n, shards, rounds)
-    rows = base.join(state, "rid", "left").select(
-        *[F.col(f"`{c}`") for c in keep], "key", "rid", F.coalesce("shard", F.pmod("rid", F.lit(shards)).cast("int")).alias("shard"),
-        F.col("shard").isNull().alias("free"))
-    return even(rows, n, shards, ["free", "key", "rid"]).select(*[F.col(f"`{c}`") for c in keep], "key", "shard", "slot")
+    rows = base.join(state, "rid", "left").select("row", "key", "rid", F.coalesce("shard", F.pmod("rid", F.lit(shards)).cast("int")).alias("shard"),
+                                                  F.col("shard").isNull().alias("free"))
+    own = [F.col("row")[c].alias(c) for c in keep if c.lower() not in ("key", "shard", "slot")]
+    return even(rows, n, shards, ["free", "key", "rid"]).select(*own, "key", "shard", "slot")
