@@ -3,8 +3,8 @@
 Vectors get one component more, so that the largest inner product is the smallest distance. Centroids are
 fitted by balanced k-means on a bounded sample; every vector is then put on the list of its nearest centroid and,
 near a boundary, on further lists (up to ``COPIES`` in all, distance within ``CLOSURE`` of the nearest). Centroids are searched in memory through a neighbour graph, by tasks
-that hold both (their number is bounded). A query reads its ``NEAREST`` lists and every other one whose centroid is within a
-distance ratio, counted from the last of these. The ratio is fitted: sampled queries are compared with all entries, and it is the
+that hold both (their number is bounded), for entries and queries alike. A query reads its ``NEAREST`` lists and every other one the graph leads to within a
+distance ratio, counted from the last of these. The ratio is fitted through the same search: sampled queries are compared with all entries, and it is the
 least that finds ``TARGET`` of their true neighbours, plus two standard errors. The ``NEAREST`` lists are read first; from the others only entries come back that are not worse
 than the k + 1 best of these, so what a query brings back does not grow with the lists it reads. Lists are joined with their queries block by block, so no task holds a
 whole hot list. Equal vectors are one entry with their k + 1 smallest ids, which is all a query can need.
@@ -30,9 +30,11 @@ LIST_SIZE = 64  # wanted entries per list
 COPIES = 4  # lists an entry stands on at most
 CLOSURE = 1.20
 NEAREST = 8  # lists every query reads; the distance of the last one is its unit
+SLACK = 1.05  # so far beyond its reach a query follows the graph
 TARGET = 0.92  # recall the reach of queries is fitted to,
 FITTED = 512  # on so many of them
 DEGREE = 24
+_EDGE = 1 + 1e-9  # a ratio at the reach is within it
 BLOCK = 2000  # entries and queries of a task's block
 
 
@@ -65,7 +67,7 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 10, seed: int = 5) -
 
 
 def neighbour_graph(c: np.ndarray, degree: int = DEGREE, seed: int = 5) -> np.ndarray:
-    """For every centroid its nearest others and a few far ones, so that a search reaches all."""
+    """For every centroid its nearest others, a few far ones and the next number, so that a search can reach all."""
     n = len(c)
     near, far = min(degree, n - 1), min(4, n - 1)
     rng, out = np.random.default_rng(seed), np.zeros((n, near + far), dtype=np.int64)
@@ -74,6 +76,8 @@ def neighbour_graph(c: np.ndarray, degree: int = DEGREE, seed: int = 5) -> np.nd
         d[np.arange(len(d)), lo + np.arange(len(d))] = np.inf
         out[lo:lo + 512, :near] = np.argsort(d, axis=1)[:, :near]
     out[:, near:] = rng.integers(0, n, size=(n, far))
+    if far:
+        out[:, near] = (np.arange(n) + 1) % n  # a ring: no centroid is without a way to it
     return out
 
 
@@ -119,12 +123,39 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def ratios(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Every vector's distance to every centroid, divided by that to its NEAREST-th one."""
-    d = np.sqrt(np.maximum((q**2).sum(1)[:, None] + (c**2).sum(1) - 2 * q @ c.T, 0))
-    at = min(NEAREST, len(c)) - 1
+    return _in_units(np.sqrt(np.maximum((q**2).sum(1)[:, None] + (c**2).sum(1) - 2 * q @ c.T, 0)))
+
+
+def _in_units(d: np.ndarray) -> np.ndarray:
+    at = min(NEAREST, d.shape[1]) - 1
     return d / np.maximum(np.partition(d, at, axis=1)[:, at:at + 1], 1e-12)
 
 
-def fitted_reach(entries: DataFrame, asked: DataFrame, lists: DataFrame, cent: np.ndarray, k: int) -> float:
+def within(q: np.ndarray, c: np.ndarray, graph: np.ndarray, reach: float) -> np.ndarray:
+    """``ratios`` of the centroids the graph leads to, infinite for all others.
+
+    The search starts from the ``4 * NEAREST`` best found; then every centroid within ``reach``, and a little beyond
+    it, of the NEAREST-th distance found so far is expanded, until none is left that was not.
+    """
+    norm, own = (c**2).sum(1), (q**2).sum(1)
+    found = np.full((len(q), len(c)), np.inf)
+    ids, dist = search(q, c, graph, 4 * NEAREST)
+    np.put_along_axis(found, ids, dist, 1)
+    expanded = np.zeros(found.shape, dtype=bool)
+    while True:
+        at, to = np.nonzero((_in_units(found) <= reach * SLACK) & ~expanded)
+        if not len(at):
+            return _in_units(found)
+        expanded[at, to] = True
+        fresh = np.zeros(found.shape, dtype=bool)
+        fresh[at[:, None], graph[to]] = True
+        at, to = np.nonzero(fresh & np.isinf(found))
+        for lo in range(0, len(at), 16_384):
+            a, t = at[lo:lo + 16_384], to[lo:lo + 16_384]
+            found[a, t] = np.sqrt(np.maximum(own[a] + norm[t] - 2 * np.einsum("pd,pd->p", q[a], c[t]), 0))
+
+
+def fitted_reach(entries: DataFrame, asked: DataFrame, lists: DataFrame, cent: np.ndarray, graph: np.ndarray, k: int) -> float:
     """The ratio within which sampled queries find the wanted share of their k true neighbours; 1 is the NEAREST lists alone."""
     some = asked.orderBy(F.xxhash64("v"), "c").limit(FITTED).toArrow()
     if not some.num_rows:
@@ -154,10 +185,17 @@ def fitted_reach(entries: DataFrame, asked: DataFrame, lists: DataFrame, cent: n
     on = lists.join(F.broadcast(true), "c").groupBy("q", "c").agg(F.collect_set("list").alias("on")).select("q", "on").collect()
     if not on:
         return 1.0
-    far = ratios(np.column_stack([q, np.zeros(len(q))]), cent)
+    q = np.column_stack([q, np.zeros(len(q))])
+    far = ratios(q, cent)
     need = np.sort([far[r["q"], r["on"]].min() for r in on])
     share = min(1.0, TARGET + 2 * np.sqrt(TARGET * (1 - TARGET) / len(q)))
-    return max(1.0, float(need[int(np.ceil(share * len(need))) - 1]))
+    reach = max(1.0, float(need[int(np.ceil(share * len(need))) - 1]))
+    while reach < far.max():  # what the graph misses within this reach is made up for by a longer one
+        got = within(q, cent, graph, reach) <= reach * _EDGE
+        if np.mean([got[r["q"], r["on"]].any() for r in on]) >= share:
+            break
+        reach *= 1.01
+    return reach
 
 
 def _routed(rows: DataFrame, centroids, top: float, reach: float | None = None) -> DataFrame:
@@ -169,8 +207,8 @@ def _routed(rows: DataFrame, centroids, top: float, reach: float | None = None)
                 block = batch.slice(lo, 500)
                 v = _matrix(block.column("v"))
                 if reach is not None:
-                    far = ratios(np.column_stack([v, np.zeros(len(v))]), cent)
-                    at, to = np.nonzero(far <= reach * (1 + 1e-9))
+                    far = within(np.column_stack([v, np.zeros(len(v))]), cent, graph, reach)
+                    at, to = np.nonzero(far <= reach * _EDGE)
                     near = far[at, to] <= 1
                 else:
                     ids, dist = search(np.column_stack([v, np.sqrt(np.maximum(top - (v**2).sum(1), 0))]), cent, graph, 4 * COPIES)
@@ -206,12 +244,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     x = _matrix(sampled.select("c", "v").orderBy("c").limit(2 * SAMPLE).toArrow().column("v"))
     x = np.column_stack([x, np.sqrt(np.maximum(top - (x**2).sum(1), 0))])
     cent = balanced_centroids(x, int(min(MAX_LISTS, max(1, n // LIST_SIZE), len(x))))
-    centroids = spark.sparkContext.broadcast((cent, neighbour_graph(cent)))
+    graph = neighbour_graph(cent)
+    centroids = spark.sparkContext.broadcast((cent, graph))
 
     asks = rows.where("asks").select("vec_id", "rid", "v")
     asked = stage(entries.join(asks.select("v").distinct(), "v", "left_semi").select("c", "v"), "asked")
     lists = stage(_routed(entries, centroids, top), "lists")
-    reads = stage(_routed(asked, centroids, top, fitted_reach(entries, asked, lists, cent, k)), "reads")
+    reads = stage(_routed(asked, centroids, top, fitted_reach(entries, asked, lists, cent, graph, k)), "reads")
     blocks = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias(name))
     each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
     own = lambda name: F.pmod(F.xxhash64("c"), F.col(name)).cast("int")

@@ -1,5 +1,6 @@
 """Sharding, Jaccard join, search, tool calls, fixity audit and the pipeline against plain versions."""
 
+import itertools
 import json
 import random
 from collections import Counter, defaultdict
@@ -123,6 +124,44 @@ def test_shard_edges(spark):
     assert Counter(s for _, s, _ in sharded(spark, [None, None, "a"], 24)).most_common(1)[0][1] == 1
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    names = ["doc_id", "rid", "free", "row", "part", "rank", "beyond", "n", "_at", "a.b", "Key", "shard"]
+    df = spark.createDataFrame([(i, *[f"{c}{i}" for c in names[1:]]) for i in range(30)], "struct<" + ",".join(
+        f"`{c}`:{'long' if c == 'doc_id' else 'string'}" for c in names) + ">")
+    placed = shards.balanced_shards(df.withColumnRenamed("a.b", "ab"), F.col("doc_id") % 5, 3, keep=["ab" if c == "a.b" else c for c in names])
+    assert placed.columns == ["doc_id", "rid", "free", "row", "part", "rank", "beyond", "n", "_at", "ab", "key", "shard", "slot"]
+    for r in placed.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in ("rid", "free", "row", "part", "rank", "beyond", "n", "_at")) and r["key"] == r["doc_id"] % 5
+        assert 0 <= r["shard"] < 3
+
+
+def test_shard_cut_against_all_ways_to_cut(spark):
+    for seed in range(4):
+        rng = random.Random(seed)
+        keys = [f"g{rng.randrange(5)}" for _ in range(14)]
+        extra = lambda first, key: len({i in first for i, k in enumerate(keys) if k == key}) - 1
+        cuts = [sum(extra(set(first), k) for k in set(keys)) for first in itertools.combinations(range(14), 7)]
+        held = defaultdict(set)
+        for k, s, _ in sharded(spark, keys, 2):
+            held[k].add(s)
+        got = sum(len(v) - 1 for v in held.values())
+        assert min(cuts) <= got <= min(cuts) + 1, (seed, got, min(cuts))
+
+
+def test_search_through_the_graph_finds_what_plain_routing_finds():
+    rng = np.random.default_rng(4)
+    c, q = rng.normal(size=(1500, 24)), rng.normal(size=(60, 24))
+    graph = spann.neighbour_graph(c)
+    plain = spann.ratios(q, c)
+    for reach in (1.0, 1.05, 1.2):
+        got, want = spann.within(q, c, graph, reach) <= reach, plain <= reach
+        assert (got & want).sum() >= 0.95 * want.sum() and got.sum() <= 1.05 * want.sum()
+    everything = spann.within(q, c, graph, float("1e9"))
+    assert np.allclose(everything, plain)  # the graph leads everywhere
+    one = spann.within(q, c[:1], spann.neighbour_graph(c[:1]), 1.0)
+    assert one.shape == (60, 1) and (one == 1).all()
+
+
 def test_search_matches_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
