@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from riskframe.functions.hashing import hash_unit
 from riskframe.functions.scalars import col
@@ -17,6 +19,8 @@ from riskframe.sources.staging import stage
 LAYERS = ("01_raw", "02_intermediate", "03_primary", "04_feature", "05_model_input", "06_models", "07_model_output",
           "08_reporting")
 UNLABELLED = -1
+BUCKETS = 32  # of the keys of a feature group
+_PARTITIONS = StructType([StructField("split", StringType()), StructField("key_bucket", IntegerType()), StructField("commit_id", StringType())])
 
 
 def scan_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str | None = None,
@@ -94,31 +98,115 @@ def feature_rows(splits: Mapping[str, DataFrame], label: str, stamp: Column | No
     return out.withColumn("event_time", F.current_timestamp() if stamp is None else stamp)
 
 
-def append_features(rows: DataFrame, root: str, group: str, version: int, key: str | None = None) -> DataFrame:
-    """Appends to a feature group partitioned by version and split; returns the rows appended per split.
+def append_features(rows: DataFrame, root: str, group: str, version: int, key: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Appends to a version of a feature group; returns the rows appended per split.
 
-    With a primary ``key`` the rows replace stored rows of the version that have the same key, so a re-run
-    doubles nothing.
+    With a primary ``key`` the rows replace stored rows of the version that have the same key, so a re-run doubles
+    nothing: the key buckets they fall into are written anew beside the old ones (rows without key replace nothing).
+    Files are never overwritten. An append counts once its commit, the list of the folders that make up the version, has been
+    renamed into place: readers see the state before or after it, and one that fails half way leaves the old state.
+    ``buckets`` (of the first keyed append) should make one bucket's rewrite a small share of the version.
     """
-    path = f"{layer_path(root, '04_feature', group)}/version={int(version)}"
-    new, mode = rows, "append"
-    if key is not None and (stored := _stored_version(rows.sparkSession, path)) is not None:
-        kept = stored.join(rows.select(col(key)).distinct(), key, "left_anti")
-        new, mode = stage(kept.unionByName(rows, allowMissingColumns=True), "upsert"), "overwrite"
-    new.write.mode(mode).partitionBy("split").parquet(path)
+    spark = rows.sparkSession
+    taken = sorted({"key_bucket", "commit_id", "version"} & set(rows.columns))
+    if taken:
+        raise ValueError(f"column names used by the feature table: {taken}")
+    path = layer_path(root, "04_feature", group)
+    last = _commits(spark, path, version)
+    state = _commit(spark, path, version, last[-1]) if last else {"key": None, "buckets": buckets, "schema": None, "folders": []}
+    new, replaced, folders = rows.withColumn("key_bucket", F.lit(-1)), [], state["folders"]
+    if key is not None:
+        n = state["buckets"] if state["key"] == key else buckets
+        new = stage(rows.withColumn("key_bucket", F.pmod(F.xxhash64(col(key)), F.lit(n)).cast("int")), "appended")
+        touched = {r[0] for r in new.select("key_bucket").distinct().collect()}  # at most ``buckets``
+        replaced = [f for f in folders if touched and (state["key"] != key or f[1] in touched or f[1] < 0)]
+        if replaced:
+            kept = _folders(spark, path, version, state["schema"], replaced).drop("commit_id").withColumn(
+                "key_bucket", F.pmod(F.xxhash64(col(key)), F.lit(n)).cast("int")).join(new.select(col(key)).distinct(), key, "left_anti")
+            new = kept.unionByName(new, allowMissingColumns=True)
+        state = {**state, "key": key, "buckets": n}
+    stamp = uuid.uuid4().hex
+    data = f"{path}/version={int(version)}"
+    (new.withColumn("commit_id", F.lit(stamp)).hint("rebalance", "split", "key_bucket")
+     .write.mode("append").partitionBy("split", "key_bucket", "commit_id").parquet(data))
+    plain = [f for f in new.schema.fields if f.name not in ("split", "key_bucket")]
+    if state["schema"]:
+        known = {f.name for f in plain}
+        plain += [f for f in StructType.fromJson(state["schema"]).fields if f.name not in known]
+    schema = StructType([StructField(f.name, f.dataType) for f in plain]).jsonValue()
+    written = _folders(spark, path, version, schema, None).where(F.col("commit_id") == stamp).select("split", "key_bucket").distinct()
+    added = [[r["split"], r["key_bucket"], stamp] for r in written.collect()]  # splits x buckets
+    _publish(spark, path, version, (last[-1] if last else 0) + 1,
+             {**state, "schema": schema, "folders": [f for f in folders if f not in replaced] + added})
     return rows.groupBy("split").agg(F.count("*").alias("n_rows"))
 
 
-def _stored_version(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def feature_view(spark: SparkSession, root: str, group: str, version: int, split: str | None = None, commit: int | None = None) -> DataFrame:
+    """One version of a feature group as its last commit, or an earlier one, left it; folders of other commits and splits are pruned."""
+    path = layer_path(root, "04_feature", group)
+    known = _commits(spark, path, version)
+    if not known or (commit is not None and commit not in known):
+        raise ValueError(f"feature group {group!r} has no commit {commit if commit is not None else ''} of version {version}".replace("  ", " "))
+    state = _commit(spark, path, version, commit if commit is not None else known[-1])
+    folders = [f for f in state["folders"] if split is None or f[0] == split]
+    view = _folders(spark, path, version, state["schema"], folders)
+    return view.drop("key_bucket", "commit_id").withColumn("version", F.lit(int(version)))
+
+
+def feature_commits(spark: SparkSession, root: str, group: str, version: int) -> list[int]:
+    """The commits of a version, oldest first; ``feature_view`` reads any of them."""
+    return _commits(spark, layer_path(root, "04_feature", group), version)
+
+
+def _folders(spark: SparkSession, path: str, version: int, schema: dict, folders: Sequence[Sequence] | None) -> DataFrame:
+    """The rows in the given (split, bucket, commit) folders, in all where None; a predicate on partition columns alone."""
+    full = StructType([*StructType.fromJson(schema).fields, *_PARTITIONS.fields])
+    rows = spark.read.schema(full).parquet(f"{path}/version={int(version)}")
+    if folders is None:
+        return rows
+    groups: dict = {}
+    for split, bucket, stamp in folders:
+        groups.setdefault((stamp, split), []).append(bucket)
+    wanted = F.lit(False)
+    for (stamp, split), held in groups.items():
+        wanted = wanted | ((F.col("commit_id") == stamp) & F.col("split").eqNullSafe(F.lit(split)) & F.col("key_bucket").isin(held))
+    return rows.where(wanted)
+
+
+def _files(spark: SparkSession, path: str):
+    """File system and path object of the cluster's storage."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def feature_view(spark: SparkSession, root: str, group: str, version: int, split: str | None = None) -> DataFrame:
-    """One version of a feature group; both filters prune partitions."""
-    view = spark.read.parquet(layer_path(root, "04_feature", group)).where(F.col("version") == int(version))
-    return view.where(F.col("split") == split) if split else view
+def _commit_dir(path: str, version: int) -> str:
+    return f"{path}/_commits/version={int(version)}"
+
+
+def _commits(spark: SparkSession, path: str, version: int) -> list[int]:
+    fs, at = _files(spark, _commit_dir(path, version))
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if re.fullmatch(r"\d+\.json", n))
+
+
+def _commit(spark: SparkSession, path: str, version: int, number: int) -> dict:
+    return json.loads(spark.read.option("wholetext", "true").text(f"{_commit_dir(path, version)}/{number:012d}.json").first()[0])
+
+
+def _publish(spark: SparkSession, path: str, version: int, number: int, state: dict) -> None:
+    """Writes a commit aside and renames it into place; a rename never replaces a commit of another writer."""
+    place = _commit_dir(path, version)
+    fs, aside = _files(spark, f"{place}/{uuid.uuid4().hex}.new")
+    out = fs.create(aside)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(aside.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(aside, hadoop.Path(f"{place}/{number:012d}.json"), options)
+    except Py4JJavaError as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise RuntimeError(f"another append to version {version} was committed first; run this one again") from e
+        raise

@@ -166,6 +166,39 @@ def test_feature_rows_are_replaced_by_key(spark, tmp_path):
     assert t.feature_view(spark, str(tmp_path), "g", 2).count() == 2 and t.feature_view(spark, str(tmp_path), "g", 1).count() == 3
 
 
+def test_feature_appends_are_atomic_and_earlier_states_stay(spark, tmp_path, monkeypatch):
+    from riskframe.sources import tables as t
+    root, schema = str(tmp_path), "id long, split string, x double"
+    read = lambda **k: {(r.id, r.split, r.x) for r in t.feature_view(spark, root, "g", 1, **k).collect()}
+    t.append_features(spark.createDataFrame([(i, "a b" if i % 2 else None, float(i)) for i in range(40)], schema), root, "g", 1, "id", 4)
+    first = read()
+    assert len(first) == 40 and {s for _, s, _ in first} == {"a b", None}
+    change = spark.createDataFrame([(7, "test", -1.0)], schema)
+    publish = t._publish
+    monkeypatch.setattr(t, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        t.append_features(change, root, "g", 1, "id")
+    assert read() == first and t.feature_commits(spark, root, "g", 1) == [1]  # the files are there, the commit is not
+    monkeypatch.setattr(t, "_publish", publish)
+    t.append_features(change, root, "g", 1, "id")
+    second = read()
+    assert second == {r for r in first if r[0] != 7} | {(7, "test", -1.0)} and read(commit=1) == first
+    assert read(split="test") == {(7, "test", -1.0)}
+    old, new = (t._commit(spark, f"{root}/04_feature/g", 1, n)["folders"] for n in (1, 2))
+    assert len({f[1] for f in old} - {f[1] for f in new if f not in old}) == 3  # one bucket of four was written
+    wider = spark.createDataFrame([(100, "train", 1.0, "new")], schema + ", y string")
+    t.append_features(wider, root, "g", 1)  # without key: rows are added
+    assert read() == second | {(100, "train", 1.0)} and t.feature_view(spark, root, "g", 1).where("y = 'new'").count() == 1
+    t.append_features(wider.withColumn("x", F.lit(2.0)), root, "g", 1, "id")
+    assert read() == second | {(100, "train", 2.0)}
+    with pytest.raises(RuntimeError, match="committed first"):
+        publish(spark, f"{root}/04_feature/g", 1, 4, {})
+    with pytest.raises(ValueError, match="no commit"):
+        t.feature_view(spark, root, "g", 3)
+    t.append_features(change.limit(0), root, "g", 1, "id")
+    assert read() == second | {(100, "train", 2.0)}
+
+
 @pytest.mark.parametrize("case", [(3, 2), (0, 5), (60, 0), (1, 1), (0, 0)])
 def test_quantiles_with_infinite_values(spark, case):
     rng = np.random.default_rng(sum(case))
