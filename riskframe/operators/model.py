@@ -10,7 +10,7 @@ import itertools
 import json
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -27,7 +27,7 @@ from riskframe.functions.frames import small_table, value_of
 from riskframe.functions.scalars import col
 from riskframe.operators.encode import WoeModel, fit_scaler, fit_woe, standardize, woe_apply
 from riskframe.operators.isotonic import IsotonicMap, fit_isotonic
-from riskframe.operators.split import hash_folds, sample_stratified_cap, stratified_folds
+from riskframe.operators.split import fold_columns, hash_folds, sample_stratified_cap, stratified_folds
 from riskframe.sources.staging import stage
 
 # fixed values: configurable family names
@@ -60,6 +60,16 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     WOE_SCORECARD: {"woe__n_bins": ("int", 5, 25), "clf__C": ("log", 0.01, 2.0)},
 }
 
+# settings each family honours, and those MLlib has no counterpart of with the value at which they change nothing
+HONOURED = {
+    RANDOM_FOREST: {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features"},
+    HIST_BOOSTING: {"max_iter", "learning_rate", "max_depth", "max_leaf_nodes", "min_samples_leaf"},
+    LEAFWISE_BOOSTING: {"n_estimators", "learning_rate", "max_depth", "num_leaves", "subsample", "colsample_bytree", "min_child_samples"},
+    CLASSIC_BOOSTING: {"n_estimators", "learning_rate", "max_depth", "subsample", "min_samples_leaf"},
+    WOE_SCORECARD: {"woe__n_bins", "woe__smoothing", "clf__C"},
+}
+NEUTRAL = {HIST_BOOSTING: {"l2_regularization": 0.0}, LEAFWISE_BOOSTING: {"reg_lambda": 0.0}}
+
 WEIGHT = "__weight"
 DEEPEST = 30  # MLlib's limit for trees
 
@@ -142,10 +152,32 @@ class WoeScorecardModel(Model):
 
 # --- families ---------------------------------------------------------------------------
 
+def honoured(model_type: str, hyperparams: Mapping[str, Any]) -> dict[str, Any]:
+    """The settings that have an effect on the family; searches try these, so no two trials are the same model under two names."""
+    return {k: v for k, v in hyperparams.items() if k in HONOURED[model_type]}
+
+
+def _depth(hp: Mapping[str, Any], leaves: str, otherwise: int | None) -> int:
+    """MLlib grows trees level by level: a bound on leaves is the depth that can hold so many, beside a bound on depth."""
+    found = [int(hp["max_depth"])] if int(hp.get("max_depth") or 0) > 0 else []
+    if hp.get(leaves) or not found:
+        found.append(max(1, math.ceil(math.log2(int(hp.get(leaves) or otherwise)))))
+    return min(DEEPEST, *found)
+
+
 def build_estimator(model_type: str, hyperparams: Mapping[str, Any] | None, features: Sequence[str], label: str,
                     weight: str | None = WEIGHT, seed: int = 42) -> Estimator:
-    """An unfitted estimator of a family; bookkeeping and reserved keys are ignored."""
+    """An unfitted estimator of a family; bookkeeping and reserved keys are ignored.
+
+    Leaf counts become depths, ``min_samples_split`` the leaf size that half of it gives. A setting that the family does not have, or
+    MLlib has no counterpart of, is an error unless its value changes nothing.
+    """
+    if model_type not in HONOURED:
+        raise ValueError(f"unknown model type '{model_type}'; known: {FAMILIES}")
     hp = {k: v for k, v in dict(hyperparams or {}).items() if k not in RESERVED_KEYS | METADATA_KEYS}
+    dead = sorted(k for k, v in hp.items() if k not in HONOURED[model_type] and v != NEUTRAL.get(model_type, {}).get(k, math.nan))
+    if dead:
+        raise ValueError(f"{model_type} cannot honour {dead}; it knows {sorted(HONOURED[model_type])}")
     if model_type == WOE_SCORECARD:
         return WoeScorecard(features, label, n_bins=int(hp.get("woe__n_bins", 10)), C=float(hp.get("clf__C", 1.0)),
                             smoothing=float(hp.get("woe__smoothing", 0.5)))
@@ -155,21 +187,17 @@ def build_estimator(model_type: str, hyperparams: Mapping[str, Any] | None, feat
             minInstancesPerNode=max(int(hp.get("min_samples_leaf", 1)), -(-int(hp.get("min_samples_split", 2)) // 2)),
             featureSubsetStrategy=str(hp.get("max_features", "sqrt")))
     elif model_type == HIST_BOOSTING:
-        leaves = int(hp.get("max_leaf_nodes", 31))
-        depth = hp.get("max_depth") or math.ceil(math.log2(leaves))
         learner = GBTClassifier(maxIter=int(hp.get("max_iter", 100)), stepSize=float(hp.get("learning_rate", 0.1)),
-                                maxDepth=min(DEEPEST, int(depth)))
+                                maxDepth=_depth(hp, "max_leaf_nodes", 31), minInstancesPerNode=int(hp.get("min_samples_leaf", 1)))
     elif model_type == LEAFWISE_BOOSTING:
-        depth = math.ceil(math.log2(int(hp.get("num_leaves", 31))))
         learner = GBTClassifier(maxIter=int(hp.get("n_estimators", 100)), stepSize=float(hp.get("learning_rate", 0.1)),
-                                maxDepth=depth, subsamplingRate=float(hp.get("subsample", 1.0)),
+                                maxDepth=_depth(hp, "num_leaves", 31), subsamplingRate=float(hp.get("subsample", 1.0)),
                                 featureSubsetStrategy=str(float(hp.get("colsample_bytree", 1.0))),
                                 minInstancesPerNode=int(hp.get("min_child_samples", 20)))
-    elif model_type == CLASSIC_BOOSTING:
-        learner = GBTClassifier(maxIter=int(hp.get("n_estimators", 100)), stepSize=float(hp.get("learning_rate", 0.1)),
-                                maxDepth=int(hp.get("max_depth", 3)), subsamplingRate=float(hp.get("subsample", 1.0)))
     else:
-        raise ValueError(f"unknown model type '{model_type}'; known: {FAMILIES}")
+        learner = GBTClassifier(maxIter=int(hp.get("n_estimators", 100)), stepSize=float(hp.get("learning_rate", 0.1)),
+                                maxDepth=int(hp.get("max_depth", 3)), subsamplingRate=float(hp.get("subsample", 1.0)),
+                                minInstancesPerNode=int(hp.get("min_samples_leaf", 1)))
     learner.setParams(labelCol=label, featuresCol="features", seed=seed)
     if weight and model_type != CLASSIC_BOOSTING:
         learner.setWeightCol(weight)
@@ -311,38 +339,50 @@ def load_model(path: str, spark: SparkSession) -> Model | CalibratedModel:
 TRIAL_SCHEMA = "trial int, model_type string, params string, cv_score double, search_strategy string"
 
 
-def _cv_data(df: DataFrame, key: str, label: str, folds: int, seed: int, max_rows: int | None) -> DataFrame:
+def _cv_data(df: DataFrame, key: str, label: str, folds: int, repeats: int, seed: int, max_rows: int | None) -> DataFrame:
     data = sample_stratified_cap(df, key, label, max_rows, seed) if max_rows else df
-    return stage(with_weights(stratified_folds(data, key, label, folds, seed, "__fold"), label), "search")
+    return stage(with_weights(fold_columns(data, key, label, folds, [seed + r for r in range(repeats)], "__folds"), label), "search")
 
 
 def _cv_scores(data: DataFrame, label: str, features: Sequence[str], candidates: Sequence[tuple[str, dict]],
-               folds: int, seed: int, parallelism: int) -> list[float]:
-    """Mean ROC-AUC over the folds per (family, settings): one fit per candidate and fold, several at a time."""
+               folds: int, repeats: int, seed: int, parallelism: int) -> list[float]:
+    """Mean ROC-AUC over the folds of all repeats per (family, settings): one fit per candidate, repeat and fold, several at a time."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0)
 
-    def one(job: tuple[int, int]) -> float:
+    def one(job: tuple[int, int, int]) -> float:
         kind, hp = candidates[job[0]]
-        fitted = build_estimator(kind, hp, features, label, WEIGHT, seed).fit(data.where(F.col("__fold") != job[1]))
-        return float(ev.evaluate(fitted.transform(data.where(F.col("__fold") == job[1]))))
+        fold = F.col("__folds")[job[1]]
+        fitted = build_estimator(kind, hp, features, label, WEIGHT, seed).fit(data.where(fold != job[2]))
+        return float(ev.evaluate(fitted.transform(data.where(fold == job[2]))))
 
-    jobs = [(i, f) for i in range(len(candidates)) for f in range(folds)]
+    jobs = [(i, r, f) for i in range(len(candidates)) for r in range(repeats) for f in range(folds)]
     with ThreadPool(max(1, parallelism)) as pool:
         found = pool.map(inheritable_thread_target(data.sparkSession)(one), jobs)
-    return [sum(found[i * folds:(i + 1) * folds]) / folds for i in range(len(candidates))]
+    per = folds * repeats
+    return [sum(found[i * per:(i + 1) * per]) / per for i in range(len(candidates))]
+
+
+def _distinct(candidates: Iterable[tuple[str, Mapping]]) -> list[tuple[str, dict]]:
+    """Candidates by what has an effect, each once, in order."""
+    out: dict = {}
+    for kind, hp in candidates:
+        kept = honoured(kind, hp)
+        out.setdefault((kind, json.dumps(kept, sort_keys=True)), (kind, kept))
+    return list(out.values())
 
 
 def grid_search(df: DataFrame, key: str, label: str, features: Sequence[str], grids: Mapping[str, Mapping[str, Sequence]],
-                folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """Every combination of every family; a later one wins only with a strictly higher score.
+                folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4, repeats: int = 1) -> tuple[dict, DataFrame]:
+    """Every distinct combination of every family; a later one wins only with a strictly higher score.
 
+    ``repeats`` foldings are averaged. Settings without effect (``honoured``) are left out of a combination, and what is then equal is one trial.
     At most ``max_rows`` labelled rows, drawn by class, are fitted on (None: all).
     """
-    data = _cv_data(df, key, label, folds, seed, max_rows)
+    data = _cv_data(df, key, label, folds, repeats, seed, max_rows)
     best: dict = {}
     trials = []
-    combos = [(kind, dict(zip(grid, vals))) for kind, grid in grids.items() for vals in itertools.product(*grid.values())]
-    for (kind, hp), s in zip(combos, _cv_scores(data, label, features, combos, folds, seed, parallelism)):
+    combos = _distinct((kind, dict(zip(grid, vals))) for kind, grid in grids.items() for vals in itertools.product(*grid.values()))
+    for (kind, hp), s in zip(combos, _cv_scores(data, label, features, combos, folds, repeats, seed, parallelism)):
         trials.append((len(trials), kind, json.dumps(hp, sort_keys=True), s, "grid"))
         if not best or s > best["cv_score"]:
             best = {**hp, "model_type": kind, "cv_score": s, "search_strategy": "grid"}
@@ -367,17 +407,23 @@ def draw_params(rng: random.Random, space: Mapping[str, tuple]) -> dict[str, Any
 
 def random_search(df: DataFrame, key: str, label: str, features: Sequence[str], n_trials: int = 40,
                   families: Sequence[str] = tuple(FAMILIES), spaces: Mapping[str, Mapping[str, tuple]] = SEARCH_SPACES,
-                  folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """A seeded budget of random trials over the families' spaces.
+                  folds: int = 4, seed: int = 42, max_rows: int | None = 50_000, parallelism: int = 4, repeats: int = 1) -> tuple[dict, DataFrame]:
+    """A seeded budget of random trials over the families' spaces, all distinct unless the spaces hold fewer points.
 
-    At most ``max_rows`` labelled rows, drawn by class, are fitted on (None: all).
+    ``repeats`` foldings are averaged; settings without effect (``honoured``) are left out. At most ``max_rows`` labelled rows, drawn by class,
+    are fitted on (None: all).
     """
-    data = _cv_data(df, key, label, folds, seed, max_rows)
+    data = _cv_data(df, key, label, folds, repeats, seed, max_rows)
     rng = random.Random(seed)
     best: dict = {}
     trials = []
-    drawn = [(kind, draw_params(rng, spaces[kind])) for kind in (rng.choice(list(families)) for _ in range(n_trials))]
-    for t, ((kind, hp), s) in enumerate(zip(drawn, _cv_scores(data, label, features, drawn, folds, seed, parallelism))):
+    drawn: list[tuple[str, dict]] = []
+    for _ in range(20 * n_trials):
+        if len(drawn) == n_trials:
+            break
+        kind = rng.choice(list(families))
+        drawn = _distinct([*drawn, (kind, draw_params(rng, spaces[kind]))])
+    for t, ((kind, hp), s) in enumerate(zip(drawn, _cv_scores(data, label, features, drawn, folds, repeats, seed, parallelism))):
         trials.append((t, kind, json.dumps(hp, sort_keys=True), s, "random"))
         if not best or s > best["cv_score"]:
             best = {**hp, "model_type": kind, "cv_score": s, "search_strategy": "random"}

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -142,9 +142,12 @@ def _ties_numbered(out: DataFrame, tied: Column, s: Column, h: Column, key: str)
     return out.where(~tied).withColumn("__tie", F.lit(0).cast("long")).unionByName(placed)
 
 
-def _band(df: DataFrame, key: str, stratum: Column, bounds: DataFrame, seed: int, name: str = "__band") -> DataFrame:
-    """Adds ``name``: the number of cumulative bounds (per stratum) at or below the row's hash rank."""
-    cuts = hash_cuts(df, col(key), stratum, bounds, seed)
+def _band(df: DataFrame, key: str, stratum: Column, bounds: DataFrame, seed: int, name: str = "__band",
+          source: DataFrame | None = None) -> DataFrame:
+    """Adds ``name``: the number of cumulative bounds (per stratum) at or below the row's hash rank.
+
+    ``source`` has the same rows with fewer columns made on the way; the cuts are looked for there."""
+    cuts = hash_cuts(df if source is None else source, col(key), stratum, bounds, seed)
     few = cuts.limit(FEW + 1).collect()
     h, s = hash60(col(key), seed), stratum.cast("string")
     below = lambda cut, extra: (h < cut) | ((h == cut) & (F.col("__tie") > 0) & (F.col("__tie") <= extra))
@@ -242,12 +245,22 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42
     return _band(df, key, col(label), _fold_bounds(strata(df, col(label)), k), seed, column)
 
 
+def fold_columns(df: DataFrame, key: str, label: str, k: int, seeds: Sequence[int], column: str = "folds") -> DataFrame:
+    """Adds an array with the row's stratified fold under every seed: rows are counted once and written by one projection."""
+    if not seeds:
+        raise ValueError("at least one seed is needed")
+    bounds = stage(_fold_bounds(strata(df, col(label)), k), "fold_bounds")
+    out, names = df, [f"__fold_{i}" for i in range(len(seeds))]
+    for name, seed in zip(names, seeds):
+        out = _band(out, key, col(label), bounds, seed, name, df)
+    return out.select(*[col(c) for c in df.columns], F.array(*names).alias(column))
+
+
 def repeated_folds(df: DataFrame, key: str, label: str, k: int, repeats: int, seed: int = 42) -> DataFrame:
     """``repeats`` independent stratified foldings, one row per (row, repeat)."""
-    bounds = stage(_fold_bounds(strata(df, col(label)), k), "fold_bounds")
-    parts = [_band(df, key, col(label), bounds, seed + r, "fold").select(*[col(c) for c in df.columns], F.lit(r).alias("repeat"), "fold")
-             for r in range(1, repeats + 1)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    folded = fold_columns(df, key, label, k, [seed + r for r in range(1, repeats + 1)], "__folds")
+    return folded.select(*[col(c) for c in df.columns], F.posexplode("__folds").alias("__r", "fold")).select(
+        *[col(c) for c in df.columns], (F.col("__r") + 1).alias("repeat"), "fold")
 
 
 def holdout_split(df: DataFrame, key: str, label: str, fraction: float, seed: int = 42,

@@ -70,6 +70,15 @@ def search_grid(spark, sf):
     return trials.withColumn("is_best", F.col("params") == json.dumps({k: v for k, v in best.items() if k not in m.METADATA_KEYS}, sort_keys=True))
 
 
+@query("search_grid_repeated")
+def search_grid_repeated(spark, sf):
+    """Two foldings per candidate; a setting MLlib lacks does not make a second trial."""
+    train, _ = data(spark, sf)
+    _, trials = m.grid_search(train, "id", "target", FEATURES, {
+        m.HIST_BOOSTING: {"max_iter": [2], "max_depth": [2, 3], "l2_regularization": [0.0, 1.0]}}, folds=3, repeats=2)
+    return trials
+
+
 @query("search_random")
 def search_random(spark, sf):
     train, _ = data(spark, sf)

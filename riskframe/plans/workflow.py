@@ -27,6 +27,7 @@ class Settings:
     search_families: tuple = tuple(model.FAMILIES)
     search_rows: int = 50_000
     folds: int = 4
+    repeats: int = 1
     calibration: str | None = "isotonic"
     calibration_folds: int = 3
     strategy: str = "cost"
@@ -92,9 +93,9 @@ def train(raw: DataFrame, unlabelled: DataFrame, root: str, cfg: Settings = Sett
     data = {n: t.write_layer(model.prepare(d, kept, label if label in d.columns else None, [key]), root, "05_model_input", n)
             for n, d in model_in.items()}
 
-    grid, _ = model.grid_search(data["train"], key, label, kept, cfg.grids, cfg.folds, cfg.seed, cfg.search_rows)
+    grid, _ = model.grid_search(data["train"], key, label, kept, cfg.grids, cfg.folds, cfg.seed, cfg.search_rows, repeats=cfg.repeats)
     found = model.random_search(data["train"], key, label, kept, cfg.n_trials, cfg.search_families, folds=cfg.folds, seed=cfg.seed,
-                                max_rows=cfg.search_rows)[0] if cfg.n_trials else {}
+                                max_rows=cfg.search_rows, repeats=cfg.repeats)[0] if cfg.n_trials else {}
     best = model.choose_best(grid, found)
     fitted = model.train_final(data["train"], key, label, best, kept, True, cfg.calibration, cfg.calibration_folds, cfg.seed)
 

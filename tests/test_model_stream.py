@@ -190,6 +190,38 @@ def test_search_fits_once_per_fold(spark, monkeypatch):
     assert sorted(fits) == [1] * 3 + [2] * 3 and trials.count() == 2 and best["search_strategy"] == "grid"
 
 
+def test_search_repeats_and_tries_every_model_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, i % 2, float(i % 7) + i % 2) for i in range(120)], "id long, y int, a double")
+    seen, scores = [], model._cv_scores
+    monkeypatch.setattr(model, "_cv_scores", lambda data, label, features, combos, *a: (seen.append((data, combos)), scores(data, label, features, combos, *a))[1])
+    grids = {model.HIST_BOOSTING: {"max_iter": [1], "max_depth": [1, 2], "l2_regularization": [0.0, 1.0]}}
+    best, trials = model.grid_search(rows, "id", "y", ["a"], grids, folds=3, repeats=2)
+    assert trials.count() == 2 and "l2_regularization" not in best and 0.5 < best["cv_score"] <= 1
+    folds = seen[0][0].select("id", "y", "__folds").collect()
+    for r in (0, 1):
+        sizes = {(y, f): sum(x.y == y and x["__folds"][r] == f for x in folds) for y in (0, 1) for f in range(3)}
+        assert set(sizes.values()) == {20}
+    assert sum(x["__folds"][0] != x["__folds"][1] for x in folds) > 40  # the repeats are foldings of their own
+    one = model._cv_scores(seen[0][0], "y", ["a"], seen[0][1], 3, 1, 42, 2)
+    assert len(one) == 2 and all(0 <= s <= 1 for s in one)
+    space = {model.RANDOM_FOREST: {"n_estimators": ("int", 1, 2), "max_depth": ("int", 1, 1)}}
+    _, trials = model.random_search(rows, "id", "y", ["a"], n_trials=5, families=list(space), spaces=space, folds=2)
+    assert trials.select("params").distinct().count() == trials.count() == 2  # the space has two points
+
+
+def test_settings_without_effect_are_refused():
+    for kind, hp in ((model.HIST_BOOSTING, {"l2_regularization": 1.0}), (model.LEAFWISE_BOOSTING, {"reg_lambda": 2.0}),
+                     (model.RANDOM_FOREST, {"n_estimator": 3}), (model.CLASSIC_BOOSTING, {"max_features": "sqrt"})):
+        with pytest.raises(ValueError, match="cannot honour"):
+            model.build_estimator(kind, hp, ["a"], "y")
+    depth = lambda kind, **hp: model.build_estimator(kind, hp, ["a"], "y").getStages()[-1].getMaxDepth()
+    assert depth(model.HIST_BOOSTING, l2_regularization=0.0, max_depth=6) == 6 and depth(model.HIST_BOOSTING) == 5
+    assert depth(model.HIST_BOOSTING, max_depth=9, max_leaf_nodes=15) == 4 and depth(model.HIST_BOOSTING, max_depth=3, max_leaf_nodes=60) == 3
+    assert depth(model.LEAFWISE_BOOSTING, num_leaves=7) == 3 and depth(model.LEAFWISE_BOOSTING, num_leaves=64, max_depth=-1) == 6
+    kept = {k: {p for p in model.SEARCH_SPACES[k] if p not in model.HONOURED[k]} for k in model.FAMILIES}
+    assert {p for v in kept.values() for p in v} == {"l2_regularization", "reg_lambda"}  # all else in the spaces has an effect
+
+
 def test_unique_rules_hold_across_batches_and_restarts(spark, tmp_path):
     from riskframe.operators.quality import unique
     rules = [q.between("v", 0), unique("id"), unique("code")]
