@@ -70,13 +70,23 @@ def permutation_importance(df: DataFrame, key: str, label: str, features: Sequen
     return importance_rank(small_table(df.sparkSession, out, "feature string, importance double"), len(features))
 
 
-def model_importance(model, features: Sequence[str], spark) -> DataFrame:
-    """Impurity importances, absolute coefficients, or zeros."""
+def _weights(model, features: Sequence[str]) -> dict[str, float]:
+    if hasattr(model, "members"):  # calibrated: each member's shares of its own total count the same
+        parts = [_weights(base, features) for base, _ in model.members]
+        shares = [{f: w / (sum(p.values()) or 1.0) for f, w in p.items()} for p in parts]
+        return {f: sum(p[f] for p in shares) / len(shares) for f in features}
+    if hasattr(model, "stages"):
+        return _weights(model.stages[-1], features)
     if hasattr(model, "featureImportances"):
-        w = model.featureImportances.toArray()
-    elif hasattr(model, "coefficients"):
-        w = abs(model.coefficients.toArray())
-    else:
-        w = [0.0] * len(features)
-    return importance_rank(small_table(spark, [(f, float(x)) for f, x in zip(features, w)],
-                                       "feature string, importance double"), len(features))
+        return dict(zip(features, model.featureImportances.toArray()))
+    if hasattr(model, "coefficients"):
+        found = model.coefficients
+        found = found if isinstance(found, Mapping) else dict(zip(features, found.toArray()))
+        return {f: abs(found.get(f, 0.0)) for f in features}
+    raise ValueError(f"{type(model).__name__} tells no importances; use permutation_importance")
+
+
+def model_importance(model, features: Sequence[str], spark) -> DataFrame:
+    """Impurity importances or absolute coefficients (of z-scores in the scorecard), averaged over a calibrated model's members."""
+    rows = [(f, float(w)) for f, w in _weights(model, features).items()]
+    return importance_rank(small_table(spark, rows, "feature string, importance double"), len(features))

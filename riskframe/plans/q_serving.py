@@ -98,11 +98,8 @@ def window_sql(x, expr):
 WINDOWS = {"f_num": "value", "f_user": "user_id"}
 
 
-@query("stream_drift_window", "WITH ev AS (SELECT date_trunc('day', ts) AS ts, value, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16') "
-       "SELECT *, CASE WHEN psi < 0.1 THEN 'none' WHEN psi < 0.25 THEN 'small' ELSE 'major' END AS drift_level FROM ("
-       + " UNION ALL ".join(window_sql(x, e) for x, e in WINDOWS.items()) + ")", ["v_ref_cur"], doubles="psi")
-def stream_drift_window(spark, sf):
-    """Daily PSI of the arriving events against the first half of the month."""
+def _drift_stream(spark, sf):
+    """Edges and reference bins of the first half of the month, and the arriving events of the second."""
     both = staged(spark, sf, "v_ref_cur")
     reference = both.where("split = 'reference'")
     edges = {x: (e or [])[1:-1] for x, e in drift.quantile_edges(reference, list(WINDOWS)).items()}
@@ -112,6 +109,18 @@ def stream_drift_window(spark, sf):
     # a watermark needs an instant: wall-clock times are read in the session zone
     recent = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("f_num"), F.col("user_id").alias("f_user")).where(
         F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    return edges, ref, recent
+
+
+WINDOW_PSI = ("WITH ev AS (SELECT date_trunc('day', ts) AS ts, value, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16') "
+              "SELECT *, CASE WHEN psi < 0.1 THEN 'none' WHEN psi < 0.25 THEN 'small' ELSE 'major' END AS drift_level FROM ("
+              + " UNION ALL ".join(window_sql(x, e) for x, e in WINDOWS.items()) + ")")
+
+
+@query("stream_drift_window", WINDOW_PSI, ["v_ref_cur"], doubles="psi")
+def stream_drift_window(spark, sf):
+    """Daily PSI of the arriving events against the first half of the month."""
+    edges, ref, recent = _drift_stream(spark, sf)
     counts = jobs.windowed_bin_counts(recent, "ts", edges, "1 day")
     # complete mode keeps every window: a bounded replay has no later data to close the last one
     out = jobs.run_latest(counts, fresh_path(spark, "windows"), fresh_path(spark, "offsets"))
@@ -119,6 +128,15 @@ def stream_drift_window(spark, sf):
     return res.withColumn("start", F.date_format("start", "yyyy-MM-dd"))
 
 
+@query("stream_drift_closed", f"SELECT * FROM ({WINDOW_PSI}) WHERE CAST(start AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)",
+       ["v_ref_cur"], doubles="psi")
+def stream_drift_closed(spark, sf):
+    """As above for the days that are over: each is appended once, when events an hour past its end have come."""
+    edges, ref, recent = _drift_stream(spark, sf)
+    out, _ = jobs.run_closed(jobs.closed_window_psi(recent, "ts", edges, ref, "1 day"), fresh_path(spark, "closed"), fresh_path(spark, "offsets"))
+    return out.select(F.date_format("start", "yyyy-MM-dd").alias("start"), "feature", "psi", "drift_level")
+
+
 @query("stream_quarantine", """SELECT c_custkey AS id, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'between:c_acctbal' END, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'distinct_in_set:c_mktsegment' END) AS broken,
  c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE' AS valid FROM customer""")
 def stream_quarantine(spark, sf):

@@ -85,6 +85,48 @@ def window_psi(counts: DataFrame, reference_bins: DataFrame) -> DataFrame:
             .withColumn("drift_level", drift_level(F.col("psi"))))
 
 
+def closed_window_psi(stream: DataFrame, ts: str, features: Mapping[str, Sequence[float]], reference_bins: DataFrame, width: str,
+                      lateness: str = "1 hour") -> DataFrame:
+    """``start, feature, n, psi, drift_level`` of a stream's windows, each emitted once, when the watermark closes it (append mode).
+
+    The state is one array of bin counts per open (window, feature), combined inside the tasks before rows move. A closed window meets the reference,
+    ``feature, bin, n_ref``, in a stream-static join, so its PSI is a projection. Rows without a value have no bin; rows
+    later than ``lateness`` are dropped (``run_closed`` counts them). Windows that are not closed yet stay in the state.
+    """
+    codes = {f: edge_code(value_of(stream, f).cast("double"), inner) for f, inner in features.items()}
+    most = 1 + max((len(e) for e in features.values()), default=0)
+    long = long_form(stream.withWatermark(ts, lateness), codes, keep=[col(ts)], value="bin").where("bin is not null")
+    per = long.groupBy(F.window(col(ts), width).alias("w"), "feature").agg(
+        F.array(*[F.count_if(F.col("bin") == b) for b in range(most)]).alias("held"))
+    total = Window.partitionBy("feature")
+    ref = (reference_bins.select("feature", F.col("bin").cast("int").alias("bin"), safe_div(F.col("n_ref"), F.sum("n_ref").over(total)).alias("r"))
+           .groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "r"))).alias("ref")))  # features x bins
+    share = lambda v: F.when(F.coalesce(v, F.lit(0.0)) == 0, F.lit(EMPTY_SHARE)).otherwise(v)
+    n = F.aggregate("held", F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def term(held: Column, i: Column) -> Column:
+        c, r = share(held / F.col("n")), share(F.col("ref")[i])
+        # a bin above the feature's last edge exists on neither side
+        return F.when((held == 0) & F.col("ref")[i].isNull(), F.lit(0.0)).otherwise((c - r) * F.log(c / r))
+
+    psi = F.aggregate(F.transform("held", term), F.lit(0.0), lambda a, x: a + x)
+    joined = per.withColumn("n", n).join(lookup_side(ref, "reference"), "feature")
+    return joined.select(F.col("w.start").alias("start"), "feature", "n", psi.alias("psi")).withColumn("drift_level", drift_level(F.col("psi")))
+
+
+def run_closed(stream: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> tuple[DataFrame, int]:
+    """Appends what the watermark has closed to a table; the table, and the groups of late rows dropped in this run.
+
+    Late rows are counted after they were combined inside a task: one per task, batch, window and feature that came too late. Spark keeps the
+    progress of the last ``spark.sql.streaming.numRecentProgressUpdates`` batches; only these are counted.
+    """
+    query = (stream.writeStream.format("parquet").outputMode("append").option("path", path)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finish(query, timeout)
+    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return stream.sparkSession.read.schema(stream.schema).parquet(path), late
+
+
 def stream_repeated_keys(stream: DataFrame, column: str, path: str, checkpoint: str, ts: str | None = None, within: int | None = None,
                          timeout: int | None = None) -> DataFrame:
     """``key``: the values of a column that arrived more than once, in one batch or in different ones, or before a restart.

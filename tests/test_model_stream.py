@@ -150,6 +150,47 @@ def test_late_windows_close_and_append(spark, tmp_path):
     assert out.agg(F.sum("n")).first()[0] == 96  # the last, unfinished day stays open
 
 
+def test_closed_windows_are_emitted_once(spark, tmp_path):
+    from datetime import datetime, timedelta
+    start, schema = datetime(2024, 5, 1), "ts timestamp, x double, y double"
+    rows = lambda lo, hi: [(start + timedelta(hours=i), float(i % 10), None if i % 3 else float(i)) for i in range(lo, hi)]
+    ref = spark.createDataFrame([("x", "0", 5), ("x", "1", 3), ("x", "2", 2), ("y", "0", 1), ("y", "1", 1)], "feature string, bin string, n_ref long")
+    edges = {"x": [5.0, 8.0], "y": [50.0]}
+    late = [(start, 1.0, 1.0)]  # comes when its window is closed
+    seen, dropped = [], 0
+    for i, part in enumerate([rows(0, 30), rows(30, 60), late, rows(60, 100)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, files_per_batch=1)
+        out, n = jobs.run_closed(jobs.closed_window_psi(stream, "ts", edges, ref, "1 day"), str(tmp_path / "out"), str(tmp_path / "chk"))
+        dropped += n
+        seen.append(out.select("start").distinct().count())
+    assert seen == [1, 2, 2, 4] and dropped == 2  # both features of the late row
+    got = {(r.start, r.feature): r for r in out.collect()}
+    assert len(got) == out.count() == 8
+    whole = spark.createDataFrame(rows(0, 96), schema)
+    want = jobs.window_psi(jobs.windowed_bin_counts(whole, "ts", edges, "1 day").withColumn("bin", F.col("bin").cast("string")), ref).collect()
+    for r in want:
+        assert got[r.start, r.feature].psi == pytest.approx(r.psi, abs=1e-12) and got[r.start, r.feature].drift_level == r.drift_level
+    assert {r.n for k, r in got.items() if k[1] == "x"} == {24} and {r.n for k, r in got.items() if k[1] == "y"} == {8}
+
+
+@pytest.mark.parametrize("kind", ["card", "forest", "line"])
+def test_importance_of_every_kind_of_model(spark, data, kind):
+    from riskframe.operators import explain
+    if kind == "card":
+        fitted = m.WoeScorecard(FEATS, "y", n_bins=4, max_iter=50).fit(data)
+        want = {f: abs(w) for f, w in fitted.coefficients.items()}
+    else:
+        fitted = m.calibrate(data, "id", "y", m.RANDOM_FOREST if kind == "forest" else m.WOE_SCORECARD,
+                             {"n_estimators": 5} if kind == "forest" else {"woe__n_bins": 4}, FEATS, "sigmoid", 2)
+        want = None
+    got = {r.feature: r.importance for r in explain.model_importance(fitted, FEATS, spark).collect()}
+    assert set(got) == set(FEATS) and max(got, key=got.get) == "f0"
+    assert got == pytest.approx(want) if want else sum(got.values()) == pytest.approx(1.0)
+    with pytest.raises(ValueError, match="permutation"):
+        explain.model_importance(object(), FEATS, spark)
+
+
 def test_replayed_quarantine_leaves_no_duplicates(spark, tmp_path):
     df = spark.range(50).select("id", (F.col("id") - 10).alias("v"))
     df.write.parquet(str(tmp_path / "in"))
