@@ -276,13 +276,14 @@ def region_members(docs: DataFrame, percent: int) -> DataFrame:
     """region, cid, n: classes that may link, in the regions of the pivots that lead their shared prefix shingles.
 
     A pivot is the least class key among those that share a shingle. Keys are hashes, so this is a choice by hash.
-    Copies of a class in several tasks only raise its count of shared shingles, so none is missed.
+    Copies of a class in several tasks only raise its count of shared shingles, so none is missed. The least and the greatest
+    key of a shingle are combined inside the tasks, and the join back splits a shingle that many classes hold (AQE), so no
+    shingle's classes meet in one task.
     """
     late = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, docs.count()))
-    w = Window.partitionBy("s")
-    shared = stage(_prefixes(docs, late, percent)
-                   .select("cid", "n", F.min("cid").over(w).alias("region"), F.max("cid").over(w).alias("last"))
-                   .where("region != last").groupBy("region", "cid", "n").agg(F.count("*").alias("shared")), "shared")
+    prefixes = stage(_prefixes(docs, late, percent), "prefixes")
+    leads = prefixes.groupBy("s").agg(F.min("cid").alias("region"), F.max("cid").alias("last")).where("region != last").select("s", "region")
+    shared = stage(prefixes.join(leads, "s").groupBy("region", "cid", "n").agg(F.count("*").alias("shared")), "shared")
     least, prefix = f"ceil({percent} * n / 100)", f"least(n, n - ceil({percent} * n / 100) + 1 + floor(n / 10))"
     need = f"(1 + least(floor({least} / 10), {prefix} - (n - {least} + 1)))"
     able = shared.groupBy("cid", "n").agg(F.sum("shared").alias("all")).where(f"all >= {need}").select("cid")
