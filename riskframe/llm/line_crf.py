@@ -10,7 +10,7 @@ without chain is fitted with the document's label on every line, and lines of ba
 good count as good. Scoring reads every line of every whole text.
 
 Defined results: a null or empty text (or one of white space) counts as one empty line. Labels that are null
-are not used; a document labelled twice counts with its lowest label. With no usable labels every score is
+are not used; a document labelled twice counts with its lowest label, one in several rows is learned once. With no usable labels every score is
 0.5. Repeated rows give repeated results. Extra columns are ignored unless named in ``keep``.
 """
 
@@ -93,8 +93,7 @@ class LineCrf:
             r = (gg * s + gb) / (bg * s + bb)
         return out
 
-    def share(self, lines: Sequence[str], p: Sequence[float]) -> float:
-        sizes = [len(x) or 1 for x in lines]
+    def share(self, sizes: Sequence[int], p: Sequence[float]) -> float:
         return sum(s * v for s, v in zip(sizes, p, strict=True)) / sum(sizes)
 
     def calibrated(self, share: float) -> float:
@@ -114,7 +113,7 @@ class LineCrf:
             e, at = self.emissions(x, first).tolist(), 0
             for d in docs:
                 p = self.marginals(e[at:at + len(d)])
-                yield self.calibrated(self.share(d, p)), d, p
+                yield self.calibrated(self.share([len(v) or 1 for v in d], p)), d, p
                 at += len(d)
 
 
@@ -165,10 +164,16 @@ def _chain_gradient(e: np.ndarray, y: np.ndarray, live: np.ndarray, start: np.nd
     return d_e, d_start, d_chain
 
 
-def fit_chain(docs: list[np.ndarray], labels: list[np.ndarray], steps: int = 250, l2: float = 1e-3) -> LineCrf:
-    """Maximum conditional likelihood by Adam over all sequences; docs: features per line, labels: 0 or 1 per line."""
-    runs = [(x[i:i + _RUN], y[i:i + _RUN], x[i - 1] if i else None, x[i + _RUN] if i + _RUN < len(x) else None)
-            for x, y in zip(docs, labels, strict=True) for i in range(0, len(x), _RUN)]
+def fit_chain(docs: list[np.ndarray], labels: list[np.ndarray], steps: int = 250, l2: float = 1e-3,
+              starts: Sequence[Sequence[int]] | None = None) -> LineCrf:
+    """Maximum conditional likelihood by Adam over all sequences; docs: features per line, labels: 0 or 1 per line.
+
+    ``starts`` gives the first line of each run of a document whose lines do not all follow each other."""
+    runs = []
+    for x, y, first in zip(docs, labels, starts if starts is not None else [[0]] * len(docs), strict=True):
+        for a, b in zip(first, [*first[1:], len(x)], strict=True):
+            runs += [(x[i:min(i + _RUN, b)], y[i:min(i + _RUN, b)], x[i - 1] if i > a else None, x[i + _RUN] if i + _RUN < b else None)
+                     for i in range(a, b, _RUN)]
     width, k = max(len(r[0]) for r in runs), len(FEATURES)
     x = np.zeros((len(runs), width, 3 * k))
     y, live = np.zeros((len(runs), width)), np.zeros((len(runs), width), dtype=bool)
@@ -197,11 +202,29 @@ def fit_chain(docs: list[np.ndarray], labels: list[np.ndarray], steps: int = 250
     return LineCrf(params[0].reshape(3, k).T.copy(), params[1], params[2])
 
 
+def training_rows(text: str | None, max_lines: int) -> tuple[list[tuple[float, ...]], list[int], list[int]]:
+    """Features and length of a document's lines, or of evenly spaced runs of them, and where the runs start."""
+    lines = lines_of(text)
+    if len(lines) <= max_lines:
+        runs = [lines]
+    else:
+        n = max(1, max_lines // _RUN)
+        step = len(lines) / n
+        runs = [lines[int(r * step):int(r * step) + min(_RUN, max_lines)] for r in range(n)]
+    starts = np.cumsum([0, *map(len, runs)])[:-1].tolist()
+    return [line_features(v) for run in runs for v in run], [len(v) or 1 for run in runs for v in run], starts
+
+
 def fit(texts: Sequence[list[str]], labels: Sequence[int]) -> LineCrf:
     """A model from the lines of labelled documents."""
-    if not texts or len(set(labels)) < 2:
+    return fit_rows([np.array([line_features(v) for v in lines]) for lines in texts], [[len(v) or 1 for v in lines] for lines in texts],
+                    [[0]] * len(texts), labels)
+
+
+def fit_rows(features: Sequence[np.ndarray], sizes: Sequence[Sequence[int]], starts: Sequence[Sequence[int]], labels: Sequence[int]) -> LineCrf:
+    """A model from the ``training_rows`` of labelled documents."""
+    if not len(features) or len(set(labels)) < 2:
         return NEUTRAL
-    features = [np.array([line_features(v) for v in lines]) for lines in texts]
     of_doc = [np.full(len(x), float(y)) for x, y in zip(features, labels, strict=True)]
     single = _logistic(np.concatenate(features), np.concatenate(of_doc))
     refined = []
@@ -211,12 +234,14 @@ def fit(texts: Sequence[list[str]], labels: Sequence[int]) -> LineCrf:
             y = (z > 0).astype(float)
             y[z.argmin()] = 0.0  # a bad document has a bad line
         refined.append(y)
-    model = fit_chain(features, refined)
+    model = fit_chain(list(features), refined, starts=starts)
     shares = []
-    for lines, x in zip(texts, features, strict=True):
+    for x, size, begin in zip(features, sizes, starts, strict=True):
         first = np.zeros(len(x), dtype=bool)
-        first[0] = True
-        shares.append(model.share(lines, model.marginals(model.emissions(x, first).tolist())))
+        first[begin] = True
+        e = model.emissions(x, first).tolist()
+        p = [v for a, b in zip(begin, [*begin[1:], len(x)], strict=True) for v in model.marginals(e[a:b])]
+        shares.append(model.share(size, p))
     s = np.clip(np.array(shares), 1e-6, 1 - 1e-6)
     slope, shift = _logistic(np.stack([np.log(s / (1 - s)), np.ones(len(s))], axis=1), np.array(labels, dtype=float))
     if slope <= 0:
@@ -225,24 +250,25 @@ def fit(texts: Sequence[list[str]], labels: Sequence[int]) -> LineCrf:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> LineCrf:
-    """Fits on documents (doc_id, text) and labels (doc_id, quality); the bounded sample is fitted on the driver."""
+    """Fits on documents (doc_id, text) and labels (doc_id, quality); the bounded sample is fitted on the driver.
+
+    What reaches the driver is at most ``max_docs`` x ``max_lines`` rows of features; texts stay in the tasks."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
 
     def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for d, y, t in zip(f["doc_id"], f["quality"], f["text"], strict=True):
-                lines = lines_of(t)
-                if len(lines) > max_lines:
-                    runs = max(1, max_lines // _RUN)
-                    step = len(lines) / runs
-                    lines = [v for r in range(runs) for v in lines[int(r * step):int(r * step) + _RUN]]
-                yield pd.DataFrame({"doc_id": [d], "quality": [y], "lines": [lines]})
+                x, sizes, starts = training_rows(t, max_lines)
+                yield pd.DataFrame({"doc_id": [d], "quality": [y], "x": [[v for row in x for v in row]], "sizes": [sizes], "starts": [starts]})
 
     got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(
-        take, "doc_id long, quality int, lines array<string>").collect()
-    got = sorted(got, key=lambda r: (r["doc_id"], r["lines"]))[:max_docs]
-    return fit([list(r["lines"]) for r in got], [int(r["quality"] > 0) for r in got])
+        take, "doc_id long, quality int, x array<double>, sizes array<int>, starts array<int>")
+    # a document in several rows counts once, with its least features
+    got = got.groupBy("doc_id").agg(F.min(F.struct("x", "sizes", "starts", "quality")).alias("m")).select("doc_id", "m.*").collect()
+    got = sorted(got, key=lambda r: r["doc_id"])
+    return fit_rows([np.array(r["x"]).reshape(-1, len(FEATURES)) for r in got], [r["sizes"] for r in got], [r["starts"] for r in got],
+                    [int(r["quality"] > 0) for r in got])
 
 
 def score(docs: DataFrame, model: LineCrf, keep: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:

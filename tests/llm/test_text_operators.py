@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskframe.llm import line_crf, nbest, packing, q_line_crf, q_nbest, q_packing, quality_rules as qr, secrets
@@ -99,6 +100,23 @@ def test_classifier_edges(spark):
     assert line_crf.label_lines(docs, model).where("doc_id = 8").count() == 3
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert line_crf.train(docs, none) is line_crf.NEUTRAL
+
+
+def test_training_rows_keep_runs_apart(spark):
+    text = "\n".join(f"Line {i} of the text." for i in range(500))
+    x, sizes, starts = line_crf.training_rows(text, 128)
+    assert len(x) == len(sizes) == 128 and starts == [0, 64]
+    assert line_crf.training_rows("a\n\nb c", 128)[1:] == ([1, 3], [0]) and line_crf.training_rows(None, 128)[1:] == ([1], [0])
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(100, len(line_crf.FEATURES))), rng.normal(size=(30, len(line_crf.FEATURES)))
+    y, z = np.arange(100) % 2.0, np.arange(30) % 2.0
+    apart = line_crf.fit_chain([a, b], [y, z], steps=5)
+    glued = line_crf.fit_chain([np.concatenate([a, b])], [np.concatenate([y, z])], steps=5, starts=[[0, 100]])
+    assert np.allclose(apart.weights, glued.weights) and np.allclose(apart.chain, glued.chain)  # a run has no neighbour in another
+    docs = spark.createDataFrame([(i, "Good words of the line." if i % 2 else "A|B|C ###") for i in range(20)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    once, twice = line_crf.train(docs, labels), line_crf.train(docs.union(docs), labels)
+    assert np.allclose(once.weights, twice.weights) and once.slope == pytest.approx(twice.slope)
     assert line_crf.score(docs.limit(0), model).count() == 0
 
 
