@@ -281,8 +281,8 @@ def region_members(docs: DataFrame, percent: int) -> DataFrame:
     shingle's classes meet in one task.
     """
     late = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, docs.count()))
-    prefixes = stage(_prefixes(docs, late, percent), "prefixes")
-    leads = prefixes.groupBy("s").agg(F.min("cid").alias("region"), F.max("cid").alias("last")).where("region != last").select("s", "region")
+    prefixes = _prefixes(docs, late, percent)  # made twice, which costs less than keeping them
+    leads = stage(prefixes.groupBy("s").agg(F.min("cid").alias("region"), F.max("cid").alias("last")).where("region != last").select("s", "region"), "leads")
     shared = stage(prefixes.join(leads, "s").groupBy("region", "cid", "n").agg(F.count("*").alias("shared")), "shared")
     least, prefix = f"ceil({percent} * n / 100)", f"least(n, n - ceil({percent} * n / 100) + 1 + floor(n / 10))"
     need = f"(1 + least(floor({least} / 10), {prefix} - (n - {least} + 1)))"
