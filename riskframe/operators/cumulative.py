@@ -8,8 +8,6 @@ and the cut points only affect balance, never the result.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.scalars import edge_code
@@ -25,12 +23,10 @@ def default_ranges(df: DataFrame) -> int:
 
 
 def range_code(score: Column, cuts: Column, n: int) -> Column:
-    """Number of cuts <= score, looked up in two levels (about 2*sqrt(n) comparisons)."""
-    k = max(1, math.isqrt(n))
-    heads = F.filter(cuts, lambda c, i: (i % k == 0) & (c <= score))
-    block = F.greatest(F.size(heads) - 1, F.lit(0)) * k
-    inside = F.size(F.filter(F.slice(cuts, block + 1, F.lit(k)), lambda c: c <= score))
-    return block + inside
+    """Number of cuts <= score; ``cuts`` ascend and are at most ``n``. A binary search, so a row costs log2(n) comparisons."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    # past the end get() is null, which is not <= score
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= score, at + step).otherwise(at))
 
 
 def cumulative_by_score(df: DataFrame, score: str, label: str, feature: str | None = None,

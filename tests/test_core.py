@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import split
 from riskframe.operators.correlate import corr_pairs, target_corr
-from riskframe.operators.cumulative import cumulative_by_score
+from riskframe.operators.cumulative import cumulative_by_score, range_code
 from riskframe.operators.quantiles import class_quantiles, exact_quantiles
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
@@ -223,3 +223,15 @@ def test_medians_and_outlier_bounds_with_infinite_values(spark):
     assert clean.medians(df, ["v"])["v"] == 3.5
     stats = clean.outlier_stats(df.union(spark.createDataFrame([(0.0,)] * 6, "v double")), ["v"], 1.0).first()
     assert (stats.q1, stats.q3, stats.high_fence, stats.max_value, stats.n_outliers) == (0.0, 3.25, 6.5, math.inf, 2)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 399, 400])
+def test_range_code_is_a_binary_search(spark, n):
+    rng = np.random.default_rng(n)
+    cuts = np.sort(rng.integers(0, 50, n) / 10).tolist()
+    scores = [*cuts, *(rng.integers(-10, 70, 60) / 10).tolist(), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(x, cuts) for x in scores], "s double, c array<double>")
+    code = range_code(F.col("s"), F.col("c"), n)
+    want = [0 if x is None else int(np.searchsorted(cuts, x, "right")) for x in scores]
+    assert [r.k for r in df.select(code.alias("k")).collect()] == want
+    assert "filter(" not in str(code)  # a filter would look at every cut for every row
