@@ -100,7 +100,8 @@ def _filter(ids: DataFrame) -> np.ndarray:
     """A Bloom filter of the classes as 64-bit words; its size is bounded, and false hits only cost time."""
     n = ids.count()
     bits = min(_BITS, 1 << max(10, (16 * n).bit_length()))
-    at = F.explode(F.array(*[F.pmod(F.xxhash64("cid", F.lit(i)), F.lit(bits)) for i in range(3)]))
+    low, high = F.col("cid").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("cid", 32)  # the halves of a hash, see _hit
+    at = F.explode(F.array(*[(low + i * high) % bits for i in range(3)]))
     words = (ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("m")).toArrow())
     out = np.zeros(bits // 64, dtype=np.uint64)
@@ -108,31 +109,34 @@ def _filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each of the keys."""
+    low, high = keys.view(np.uint64) & np.uint64(0xFFFFFFFF), keys.view(np.uint64) >> np.uint64(32)
+    ok = np.ones(len(keys), dtype=bool)
+    for i in range(3):
+        at = (low + np.uint64(i) * high) % np.uint64(len(bits) * 64)
+        ok &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return ok
+
+
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """cid, n, shingles (little-endian 64-bit) of the classes in ids, and of few others."""
+    """cid, n, shingles (little-endian 64-bit) of the classes in ids, and of few others.
+
+    The filter is asked where the sets are made: a second Python step in the same task would need a second worker.
+    """
     spark = docs.sparkSession
     words = spark.sparkContext.broadcast(_filter(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, sets, keys in _classes(batches):
-            fresh = [(k, s) for k, s in zip(keys.tolist(), sets, strict=True) if len(s) and k not in seen]
-            seen.update(k for k, _ in fresh)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in fresh], pa.int64()), pa.array([len(s) for _, s in fresh], pa.int64()),
-                                              pa.array([s.tobytes() for _, s in fresh], pa.binary())], names=["cid", "n", "shingles"])
-
-    def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = words.value
-        for batch in batches:
-            ok = np.ones(batch.num_rows, dtype=bool)
-            for i in range(3):
-                at = batch.column(f"h{i}").to_numpy() % (len(bits) * 64)
-                ok &= (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
-            yield batch.select(["cid", "n", "shingles"]).filter(pa.array(ok))
-
-    found = docs.select("text").mapInArrow(run, "cid long, n long, shingles binary")
-    found = found.select("*", *[F.xxhash64("cid", F.lit(i)).alias(f"h{i}") for i in range(3)]).mapInArrow(hit, "cid long, n long, shingles binary")
-    return found.dropDuplicates(["cid"])
+            held = _hit(words.value, keys).tolist()
+            fresh = {k: s for k, s, h in zip(keys.tolist(), sets, held, strict=True) if h and len(s) and k not in seen}
+            seen.update(fresh)
+            yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.int64()), pa.array([len(s) for s in fresh.values()], pa.int64()),
+                                              pa.array([s.tobytes() for s in fresh.values()], pa.binary())], names=["cid", "n", "shingles"])
+
+    return docs.select("text").mapInArrow(run, "cid long, n long, shingles binary").dropDuplicates(["cid"])
 
 
 def join_region(ids: np.ndarray, sets: list[np.ndarray], percent: int, tags: np.ndarray | None = None) -> list[tuple[int, int]]:

@@ -72,6 +72,17 @@ def test_prefixes_share_what_they_must():
             assert len(set(a[:pa].tolist()) & set(b[:pb].tolist())) >= max(na, nb) >= 1
 
 
+def test_sets_need_one_python_worker_and_hold_every_class_asked_for(spark):
+    docs = spark.createDataFrame([(f"one two three four five six{i} seven{i % 7}",) for i in range(300)] + [(None,), ("",)], "text string").repartition(5)
+    keys = sorted({sh.set_key(s) for s in sh.texts_sets([r.text for r in docs.collect()])} - {0})
+    wanted = keys[::3]
+    got = jaccard._sets(docs, spark.createDataFrame([(k,) for k in wanted], "cid long"))
+    rows = {r.cid: r for r in got.collect()}
+    assert set(wanted) <= set(rows) <= set(keys) and len(rows) < len(keys)
+    assert all(sh.set_key(np.frombuffer(r.shingles, dtype=np.uint64)) == k and r.n == len(r.shingles) // 8 for k, r in rows.items())
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # two in one task keep two workers, which took op9 over an executor's memory
+
+
 def test_jaccard_edges_and_keep_one(spark):
     docs = edge_docs(spark)
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.with_components(docs).collect()]
